@@ -24,7 +24,9 @@ def clean_trades(raw: DataFrame, width: str = "1 minute", positive_only: bool =
     maker_type = raw.schema["is_buyer_maker"].dataType
     price = F.col("price").try_cast("double")
     qty = F.col("quantity").try_cast("double")
+    passthrough = [c for c in ("dt",) if c in raw.columns]  # landing partition column
     out = raw.select(
+        *passthrough,
         F.col("symbol"),
         F.col("trade_id"),
         F.col("trade_time"),

@@ -346,3 +346,7 @@ def gold_tables(spark, sf_dir, width=WIDTH) -> dict[str, DataFrame]:
 def q_dq_report(spark, sf_dir):
     """The 17 star-schema checks over the gold tables built from the tape."""
     return dq_report(gold_tables(spark, sf_dir))
+
+
+# Source, sink and streaming queries register themselves on import.
+from tapecraft.plans import io_queries as _io  # noqa: E402,F401
