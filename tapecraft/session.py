@@ -71,10 +71,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def local_path(path: str) -> str:
+    """OS path of a ``file:`` URI (local runs and tests only)."""
+    if path.startswith("file://"):
+        return path[len("file://"):]
+    if path.startswith("file:"):
+        return path[len("file:"):]
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
     path = f"{root}/tapecraft-scratch/{name}-{uuid.uuid4().hex[:12]}"
     if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+        os.makedirs(local_path(path), exist_ok=True)
     return path
