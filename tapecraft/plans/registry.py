@@ -348,5 +348,58 @@ def q_dq_report(spark, sf_dir):
     return dq_report(gold_tables(spark, sf_dir))
 
 
+# --- 2.13: analyses ------------------------------------------------------------------
+
+from tapecraft.operators import analysis as A  # noqa: E402
+
+_CORR = ("covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0)")
+
+
+@register("ofi_corr_by_regime", REGIME_SQL + f"""SELECT volatility_regime,
+       CAST(count(*) AS BIGINT) AS windows,
+       round(avg(ofi), {O.DIGITS}) AS avg_ofi,
+       round(avg(window_return), {O.DIGITS}) AS avg_return,
+       round(avg(realized_vol), {O.DIGITS}) AS avg_realized_vol,
+       round({_CORR.format(x='ofi', y='window_return')}, {O.DIGITS}) AS corr_ofi_return,
+       round({_CORR.format(x='ofi', y='realized_vol')}, {O.DIGITS}) AS corr_ofi_vol
+FROM classified GROUP BY volatility_regime""")
+def q_ofi_corr_by_regime(spark, sf_dir):
+    """OFI vs return / volatility per volatility regime."""
+    return A.ofi_corr_by_regime(R.ofi_return_by_regime(_regime_input(spark, sf_dir)))
+
+
+@register("vol_by_session", GOLD + f"""SELECT {O.session_case('CAST(extract(hour FROM window_start) AS BIGINT)')}
+         AS trading_session,
+       CAST(count(*) AS BIGINT) AS windows,
+       round(avg(realized_vol), {O.DIGITS}) AS avg_realized_vol,
+       round(avg(abs(window_return)), {O.DIGITS}) AS avg_abs_return,
+       round(sum(volume), {O.DIGITS}) AS volume
+FROM fct GROUP BY 1""")
+def q_vol_by_session(spark, sf_dir):
+    return A.vol_by_session(_fct(spark, sf_dir))
+
+
+@register("vol_by_tier", GOLD + f"""SELECT {O._case("replace(asset_id, 'USDT', '')", O.MARKET_CAP_TIERS, O.UNKNOWN)}
+         AS market_cap_tier,
+       CAST(count(*) AS BIGINT) AS windows,
+       CAST(count(DISTINCT asset_id) AS BIGINT) AS assets,
+       round(avg(realized_vol), {O.DIGITS}) AS avg_realized_vol,
+       round(avg(realized_variance), {O.DIGITS}) AS avg_realized_variance,
+       round(avg(jump_component), {O.DIGITS}) AS avg_jump_component
+FROM fct GROUP BY 1""")
+def q_vol_by_tier(spark, sf_dir):
+    return A.vol_by_tier(_fct(spark, sf_dir))
+
+
+@register("vol_rollup_time", GOLD + f"""SELECT CAST(window_start AS DATE) AS window_date,
+       CAST(extract(hour FROM window_start) AS BIGINT) AS hour,
+       CAST(count(*) AS BIGINT) AS windows,
+       round(avg(realized_vol), {O.DIGITS}) AS avg_realized_vol,
+       round(sum(volume), {O.DIGITS}) AS volume
+FROM fct GROUP BY ROLLUP (CAST(window_start AS DATE), CAST(extract(hour FROM window_start) AS BIGINT))""")
+def q_vol_rollup_time(spark, sf_dir):
+    return A.vol_rollup_time(_fct(spark, sf_dir))
+
+
 # Source, sink and streaming queries register themselves on import.
 from tapecraft.plans import io_queries as _io  # noqa: E402,F401
