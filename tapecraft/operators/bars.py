@@ -136,10 +136,9 @@ def minute_bars(clean: DataFrame, width: str = "1 minute", part: str | None = No
     return _finish(bars).select(*BARS_COLUMNS)
 
 
-def minute_bars_stream(clean: DataFrame, width: str = "1 minute", part: str | None = None) -> DataFrame:
-    """Silver bars, speed-layer shape: no bipower/jump, adds ``window_end``."""
+def as_stream_shape(bars: DataFrame, width: str = "1 minute") -> DataFrame:
+    """Batch bars -> speed-layer shape (``window_start``/``window_end``, no bipower/jump)."""
     secs = interval_seconds(width)
-    bars = minute_bars(clean, width, part)
     return (
         bars.withColumnRenamed("minute", "window_start")
         .withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {secs} SECONDS"))
@@ -147,6 +146,11 @@ def minute_bars_stream(clean: DataFrame, width: str = "1 minute", part: str | No
     )
 
 
+def minute_bars_stream(clean: DataFrame, width: str = "1 minute", part: str | None = None) -> DataFrame:
+    """Silver bars, speed-layer shape: no bipower/jump, adds ``window_end``."""
+    return as_stream_shape(minute_bars(clean, width, part), width)
+
+
 # --- order-free bars: single aggregation, partial (map-side) combine -----------
 
 def _first_last(col: str):

@@ -60,24 +60,56 @@ def relationship_failures(child: DataFrame, col: str, parent: DataFrame, parent_
     return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("failing_rows"))
 
 
-def dq_report(tables: dict[str, DataFrame], checks=GOLD_CHECKS) -> DataFrame:
-    """Run ``checks`` over named tables; one row per check."""
-    rows = []
-    for i, (check, table, col, ptable, pcol) in enumerate(checks, start=1):
-        df = tables[table]
-        if check == "unique":
-            res = unique_failures(df, col)
-        elif check == "not_null":
-            res = not_null_failures(df, col)
+def _column_checks(df: DataFrame, col: str, checks: list, tables: dict[str, DataFrame]) -> DataFrame:
+    """All checks on one (table, column) from a single pass over the table.
+
+    ``not_null`` alone needs one plain count. Otherwise the column is grouped
+    once (partial aggregation: a key holding most rows is combined map-side)
+    and that grouping serves ``unique``, ``not_null`` and ``relationships``.
+    Returns (check_order, failing_rows) rows.
+    """
+    names = {c[1] for c in checks}
+    if names == {"not_null"}:
+        (order, _), = [(i, c) for i, c in checks]
+        return df.agg(F.lit(order).cast("long").alias("check_order"),
+                      F.count(F.when(F.col(col).isNull(), F.lit(1))).cast("long").alias("failing_rows"))
+    keys = df.groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = []
+    for order, (check, _table, _col, ptable, pcol) in checks:
+        if check == "not_null":
+            res = keys.agg(F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_n"))), F.lit(0))
+                           .alias("failing_rows"))
+        elif check == "unique":
+            res = keys.agg(F.count(F.when(F.col("_k").isNotNull() & (F.col("_n") > 1), F.lit(1)))
+                           .alias("failing_rows"))
         elif check == "relationships":
-            res = relationship_failures(df, col, tables[ptable], pcol)
+            parents = (tables[ptable].select(F.col(pcol).alias("_k"))
+                       .where(F.col("_k").isNotNull()).distinct())
+            missing = keys.where(F.col("_k").isNotNull()).join(parents, "_k", "left_anti")
+            res = missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failing_rows"))
         else:
             raise ValueError(f"unknown check {check!r}")
-        rows.append(res.select(
-            F.lit(i).cast("long").alias("check_order"),
-            F.lit(check).alias("check_name"), F.lit(table).alias("table_name"),
-            F.lit(col).alias("column_name"),
-            F.col("failing_rows").cast("long").alias("failing_rows"),
-            (F.col("failing_rows") == 0).alias("passed"),
-        ))
-    return reduce(DataFrame.unionByName, rows)
+        parts.append(res.select(F.lit(order).cast("long").alias("check_order"),
+                                F.col("failing_rows").cast("long").alias("failing_rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def dq_report(tables: dict[str, DataFrame], checks=GOLD_CHECKS) -> DataFrame:
+    """Run ``checks`` over named tables; one row per check, in check order.
+
+    Checks on the same (table, column) share one aggregation of that column
+    (the grouped key counts are computed once and reused), so each table is
+    read once per checked column, not once per check.
+    """
+    by_column: dict[tuple[str, str], list] = {}
+    for i, c in enumerate(checks, start=1):
+        by_column.setdefault((c[1], c[2]), []).append((i, c))
+    results = [_column_checks(tables[t], col, cs, tables) for (t, col), cs in by_column.items()]
+    failing = reduce(DataFrame.unionByName, results)
+    spec = failing.sparkSession.createDataFrame(
+        [(i, c[0], c[1], c[2]) for i, c in enumerate(checks, start=1)],
+        "check_order long, check_name string, table_name string, column_name string")
+    # the spec has one row per check: a fixed, tiny table
+    out = failing.join(F.broadcast(spec), "check_order")
+    return out.select("check_order", "check_name", "table_name", "column_name", "failing_rows",
+                      (F.col("failing_rows") == 0).alias("passed"))

@@ -330,8 +330,21 @@ def _dq_sql() -> str:
             O.latest_metadata_cte() + ",\n" + O.dim_asset_cte() + "\n" + "\nUNION ALL\n".join(parts))
 
 
-def gold_tables(spark, sf_dir, width=WIDTH) -> dict[str, DataFrame]:
-    stg, stg_s = _stg(spark, sf_dir, width), _stg_stream(spark, sf_dir, width)
+def gold_tables(spark, sf_dir, width=WIDTH, materialize=True) -> dict[str, DataFrame]:
+    """The four gold tables the checks run on.
+
+    With ``materialize`` the silver bars are computed once and checkpointed to
+    the shared checkpoint folder (like a model materialized as a table before
+    it is tested); every gold table and every check then reads that copy
+    instead of re-deriving the bars from the tape.
+    """
+    from tapecraft.session import checkpoint_root
+    bars = _bars(spark, sf_dir, width)
+    if materialize:
+        checkpoint_root(spark)
+        bars = bars.checkpoint(eager=True)
+    stg = G.stg_trades_minute(bars)
+    stg_s = G.stg_trades_minute_stream(B.as_stream_shape(bars, width))
     fct = G.fct_market_window(stg)
     fct_s = G.fct_market_window_stream(stg_s)
     return {
