@@ -98,6 +98,11 @@ def _stitch(parts: DataFrame) -> DataFrame:
     )
 
 
+def _vwap(notional, volume, empty_vwap: float | None = None):
+    v = F.try_divide(notional, volume)
+    return v if empty_vwap is None else F.coalesce(v, F.lit(float(empty_vwap)))
+
+
 def _finish(bars: DataFrame, bipower: bool = True) -> DataFrame:
     out = (
         bars
@@ -113,10 +118,13 @@ def _finish(bars: DataFrame, bipower: bool = True) -> DataFrame:
     return out
 
 
-def minute_bars(clean: DataFrame, width: str = "1 minute", part: str | None = None) -> DataFrame:
+def minute_bars(clean: DataFrame, width: str = "1 minute", part: str | None = None,
+                empty_vwap: float | None = None) -> DataFrame:
     """Silver bars, batch semantics (17 columns, see ``schemas.BARS_COLUMNS``).
 
     ``clean`` must come from ``clean_trades`` with the same ``width``.
+    ``empty_vwap``: VWAP of a window without volume (NULL by default; the
+    message-stream reducer uses 0.0). Reachable only without ``positive_only``.
     """
     parts = _part_summaries(_in_part_returns(_with_part(clean, width, part)))
     stitched = _stitch(parts)
@@ -127,7 +135,7 @@ def minute_bars(clean: DataFrame, width: str = "1 minute", part: str | None = No
         F.max_by("last_price", "part").alias("close"),
         F.sum("volume").alias("volume"),
         F.sum("n").alias("trade_count"),
-        F.try_divide(F.sum("notional"), F.sum("volume")).alias("vwap"),
+        _vwap(F.sum("notional"), F.sum("volume"), empty_vwap).alias("vwap"),
         F.sum("rv_part").alias("realized_variance"),
         (F.lit(MU) * F.sum("bp_part")).alias("bipower_variation"),
         F.sum("buy_volume").alias("buy_volume"),
@@ -146,9 +154,10 @@ def as_stream_shape(bars: DataFrame, width: str = "1 minute") -> DataFrame:
     )
 
 
-def minute_bars_stream(clean: DataFrame, width: str = "1 minute", part: str | None = None) -> DataFrame:
+def minute_bars_stream(clean: DataFrame, width: str = "1 minute", part: str | None = None,
+                       empty_vwap: float | None = None) -> DataFrame:
     """Silver bars, speed-layer shape: no bipower/jump, adds ``window_end``."""
-    return as_stream_shape(minute_bars(clean, width, part), width)
+    return as_stream_shape(minute_bars(clean, width, part, empty_vwap), width)
 
 
 # --- order-free bars: single aggregation, partial (map-side) combine -----------

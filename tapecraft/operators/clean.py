@@ -12,15 +12,20 @@ from tapecraft.functions.columns import aggressor_side, interval_seconds, ms_to_
 CLEAN_COLUMNS = ["symbol", "trade_id", "trade_time", "ts", "price", "quantity", "side", "minute"]
 
 
-def clean_trades(raw: DataFrame, width: str = "1 minute", positive_only: bool = True) -> DataFrame:
+def clean_trades(raw: DataFrame, width: str = "1 minute", positive_only: bool = True,
+                 null_trade_id: str = "keep") -> DataFrame:
     """Type and filter bronze trades.
 
     price/quantity text -> double (malformed -> NULL, then dropped), epoch ms ->
     TIMESTAMP_NTZ ``ts``, maker flag -> aggressor ``side``, ``minute`` = start
     of the tumbling window of ``width`` holding the trade. With
     ``positive_only`` (batch and Spark-stream semantics) only trades with
-    price > 0 and quantity > 0 survive.
+    price > 0 and quantity > 0 survive; without it (message-stream semantics)
+    only a missing trade time drops a row and returns guard the log instead.
+    ``null_trade_id``: ``"keep"`` (NULL sorts first) or ``"zero"`` (NULL -> 0).
     """
+    if null_trade_id not in ("keep", "zero"):
+        raise ValueError("null_trade_id must be 'keep' or 'zero'")
     maker_type = raw.schema["is_buyer_maker"].dataType
     price = F.col("price").try_cast("double")
     qty = F.col("quantity").try_cast("double")
@@ -28,7 +33,8 @@ def clean_trades(raw: DataFrame, width: str = "1 minute", positive_only: bool =
     out = raw.select(
         *passthrough,
         F.col("symbol"),
-        F.col("trade_id"),
+        (F.coalesce(F.col("trade_id").try_cast("long"), F.lit(0).cast("long"))
+         if null_trade_id == "zero" else F.col("trade_id")).alias("trade_id"),
         F.col("trade_time"),
         ms_to_ts(F.col("trade_time")).alias("ts"),
         price.alias("price"),

@@ -32,6 +32,24 @@ def partitioned_landing(trades: DataFrame, path: str, day: str | None = None,
         .write.mode(mode).partitionBy("symbol", "dt").json(path))
 
 
+def land_metadata(meta: DataFrame, path: str, day: str | None = None, mode: str = "append") -> None:
+    """Write flattened metadata as JSON lines under ``path/dt=YYYY-MM-DD/``
+    (``day`` of the landing run, or each record's own UTC day)."""
+    dt = F.lit(day) if day is not None else F.date_format(
+        F.timestamp_add("SECOND", F.col("timestamp"), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")),
+        "yyyy-MM-dd")
+    (meta.withColumn("dt", dt).repartition("dt")
+         .write.mode(mode).partitionBy("dt").json(path))
+
+
+def land_stream(trades_stream: DataFrame, path: str, checkpoint: str, every: str = "5 seconds"):
+    """Continuously land a trade stream as small JSON-lines files (one set per
+    trigger) for a downstream file-stream reader. Returns the StreamingQuery."""
+    return (trades_stream.writeStream.format("json").outputMode("append")
+            .option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=every).start())
+
+
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Landed trades with the declared schema; unknown fields are ignored,
     ``symbol``/``dt`` come from the directory names."""

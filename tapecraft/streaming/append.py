@@ -94,9 +94,9 @@ def stitch_parts(parts: Column) -> dict[str, Column]:
 
 def stream_minute_append(clean_stream: DataFrame, width: str = "1 minute",
                          watermark: str = "30 seconds", part: str | None = None,
-                         bipower: bool = False) -> DataFrame:
+                         bipower: bool = False, empty_vwap: float | None = None) -> DataFrame:
     """Streaming bars in append mode (speed-layer shape; ``bipower=True`` adds
-    bipower_variation and jump_component)."""
+    bipower_variation and jump_component; ``empty_vwap`` as in ``minute_bars``)."""
     part = part or default_part(width)
     trade = F.struct("ts", "trade_id", "price", "quantity", "side")
     # Watermarks need an instant (TIMESTAMP) column; windows are epoch aligned,
@@ -127,7 +127,8 @@ def stream_minute_append(clean_stream: DataFrame, width: str = "1 minute",
         st["open"].alias("open"), st["high"].alias("high"), st["low"].alias("low"),
         st["close"].alias("close"),
         st["volume"].alias("volume"), st["trade_count"].alias("trade_count"),
-        F.try_divide(st["notional"], st["volume"]).alias("vwap"),
+        (F.try_divide(st["notional"], st["volume"]) if empty_vwap is None else
+         F.coalesce(F.try_divide(st["notional"], st["volume"]), F.lit(float(empty_vwap)))).alias("vwap"),
         st["realized_variance"].alias("realized_variance"),
         st["bipower_variation"].alias("bipower_variation"),
         st["buy_volume"].alias("buy_volume"), st["sell_volume"].alias("sell_volume"),

@@ -201,3 +201,15 @@ def test_part_must_divide_width(spark):
     clean = clean_trades(make_trades(spark, H3), "1 minute")
     with pytest.raises(ValueError):
         B.minute_bars(clean, "1 minute", "7 seconds")
+
+
+def test_message_stream_options(spark):
+    rows = [("BTCUSDT", None, "100", "0", WINDOW_MS + 5, "false"),
+            ("BTCUSDT", 3, "0", "0", WINDOW_MS + 5, "true")]
+    clean = clean_trades(make_trades(spark, rows), positive_only=False, null_trade_id="zero")
+    ids = sorted(r.trade_id for r in clean.collect())
+    assert ids == [0, 3]
+    (row,) = B.minute_bars(clean, empty_vwap=0.0).collect()
+    assert row.vwap == 0.0 and row.volume == 0.0 and row.realized_variance == 0.0
+    (row,) = B.minute_bars(clean).collect()
+    assert row.vwap is None

@@ -98,3 +98,31 @@ def test_symbol_coverage(spark):
     assert out["BTCUSDT"].meets_quota and out["BTCUSDT"].trades == 60
     assert not out["ETHUSDT"].meets_quota and out["ETHUSDT"].trades == 59
     assert out["AVAXUSDT"].trades == 0
+
+
+def test_land_metadata_partitions(spark):
+    meta = spark.createDataFrame(
+        [("c:btc", "BTC", 1.0, 1781501520, 0.9, "defillama"), ("c:eth", "ETH", 2.0, 1781587920, 0.8, "defillama")],
+        "coin_id string, symbol string, price double, timestamp long, confidence double, source string")
+    path = scratch_path(spark, "test-meta-landing")
+    L.land_metadata(meta, path)
+    back = spark.read.json(path)
+    assert sorted(r.dt for r in back.select(F.col("dt").cast("string")).collect()) == ["2026-06-15", "2026-06-16"]
+
+
+def test_land_stream_then_read(spark):
+    import os
+    from tapecraft.schemas import TRADE
+    from tapecraft.session import local_path
+    src = scratch_path(spark, "test-land-src")
+    make_trades(spark, [("BTCUSDT", 1, "1", "1", WINDOW_MS, "false")]).write.mode("overwrite").json(src)
+    out, ckpt = scratch_path(spark, "test-land-out"), scratch_path(spark, "test-land-ckpt")
+    q = (spark.readStream.schema(TRADE).json(src).writeStream.format("json")
+         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.schema(TRADE).json(out).count() == 1
+    q2 = L.land_stream(spark.readStream.schema(TRADE).json(src), scratch_path(spark, "test-land-out2"),
+                       scratch_path(spark, "test-land-ckpt2"), every="1 second")
+    q2.processAllAvailable()
+    q2.stop()
+    assert os.path.isdir(local_path(out))
