@@ -207,34 +207,48 @@ def bipower_jump(clean: DataFrame, width: str = "1 minute", part: str | None = N
 
 # --- per-trade returns ----------------------------------------------------
 
-RETURN_COLUMNS = ["symbol", "minute", "ts", "trade_id", "price", "prev_price",
+RETURN_COLUMNS = ["symbol", "minute", "ts", "trade_id", "price", "quantity", "side", "prev_price",
                   "log_ret", "abs_ret", "prev_abs_ret", "bipower_term"]
 
 
 def log_returns(clean: DataFrame, width: str = "1 minute", part: str | None = None) -> DataFrame:
     """Per-trade lagged returns inside each window (first trade: NULL).
 
-    Same two-level split as the bars: lag inside parts, then the first and
-    second trade of each part are patched from the stitched part summaries
-    (one row per part, joined back on the part key; the trades keep their
-    partitioning so only the small side moves).
+    Same split as the bars, in one pass over the trades: lag inside parts;
+    in the same ordered Window, the first two rows of each part also carry
+    their part's summary (size, last price, last and second |r|) as
+    whole-part window aggregates. Only those rows -- at most two per part,
+    so at most 2*width/part per window -- are regrouped by window and ordered
+    by (part, rn); two stacked lags give the previous part's last price and
+    its trailing |r|, which patch rows 1 and 2. Rows 3+ need nothing from
+    other parts and pass straight through. One scan, one trade shuffle, no join.
     """
-    rets = _in_part_returns(_with_part(clean, width, part))
-    stitched = _stitch(_part_summaries(rets)).select(
-        "symbol", "minute", "part",
-        F.col("prev_last").alias("_prev_last"),
-        F.abs(F.col("b")).alias("_b_abs"),
-        F.col("prev_tail").alias("_prev_tail"),
-    )
-    j = rets.join(stitched, ["symbol", "minute", "part"], "left")
+    parted = _with_part(clean, width, part)
+    w = Window.partitionBy("symbol", "minute", "part").orderBy("ts", "trade_id")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rets = _in_part_returns(parted)
     rn = F.col("rn")
-    prev_price = F.when(rn == 1, F.col("_prev_last")).otherwise(F.col("prev_price"))
-    out = (
-        j.withColumn("prev_price", prev_price)
+    head = (
+        rets.withColumn("_n", F.count(F.lit(1)).over(whole))
+        .withColumn("_last_price", F.last("price").over(whole))
+        .withColumn("_last_abs", F.last("abs_ret").over(whole))
+        .where(rn <= 2)
+    )
+    w2 = Window.partitionBy("symbol", "minute").orderBy("part", "rn")
+    b = safe_log_ratio(F.col("price"), F.lag("_last_price").over(w2))
+    head = (
+        head.withColumn("_b", F.when(rn == 1, b))
+        # |return| into the part's last trade; read on the part's last head row
+        .withColumn("_tail", F.when(F.col("_n") >= 2, F.col("_last_abs")).otherwise(F.abs("_b")))
+        .withColumn("_prev_tail", F.lag("_tail").over(w2))
+        .withColumn("_prev_b_abs", F.lag(F.abs("_b")).over(w2))
+        .withColumn("_prev_last", F.lag("_last_price").over(w2))
+        .withColumn("prev_price", F.when(rn == 1, F.col("_prev_last")).otherwise(F.col("prev_price")))
         .withColumn("log_ret", safe_log_ratio(F.col("price"), F.col("prev_price")))
         .withColumn("abs_ret", F.abs("log_ret"))
-        .withColumn("prev_abs_ret", F.when(rn == 1, F.col("_prev_tail"))
-                    .when(rn == 2, F.col("_b_abs")).otherwise(F.col("prev_abs_ret")))
-        .withColumn("bipower_term", F.col("abs_ret") * F.col("prev_abs_ret"))
+        .withColumn("prev_abs_ret", F.when(rn == 1, F.col("_prev_tail")).otherwise(F.col("_prev_b_abs")))
     )
-    return out.select(*RETURN_COLUMNS)
+    tail = rets.where(rn > 2)
+    cols = RETURN_COLUMNS[:-1]
+    out = head.select(*cols).unionByName(tail.select(*cols))
+    return out.withColumn("bipower_term", F.col("abs_ret") * F.col("prev_abs_ret"))
