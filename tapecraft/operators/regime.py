@@ -28,6 +28,9 @@ def rolling_vol_baseline(fact: DataFrame, rows: int = ROLL_ROWS, key: str = "ass
     block are copied into the next block as a halo. The rolling Window then
     runs per (series, block); halo copies are dropped afterwards. Exact for
     any block size >= rows.
+
+    The input is read twice (day counts of ``key``/``order`` only, then the
+    rows): pass a materialized table, not a long lazy lineage.
     """
     if block_rows < rows:
         raise ValueError("block_rows must be >= rows")

@@ -252,8 +252,18 @@ REGIME_SQL = GOLD + ",\n" + _ROLL + "\n"
 REGIME_DOUBLES = STG_DOUBLES | {"roll_mean_vol", "roll_std_vol", "vol_zscore"}
 
 
+def materialized_fct(spark, sf_dir, width=WIDTH):
+    """The batch fact as the mart reads it: materialized once (checkpoint in
+    the shared folder), like a model built as a table before its dependents.
+    The blocked rolling window reads its input twice (day counts, then rows);
+    from a materialized fact that is a narrow second scan, not a recompute."""
+    from tapecraft.session import checkpoint_root
+    checkpoint_root(spark)
+    return _fct(spark, sf_dir, width).checkpoint(eager=True)
+
+
 def _regime_input(spark, sf_dir):
-    return _fct(spark, sf_dir)
+    return materialized_fct(spark, sf_dir)
 
 
 @register("rolling_vol_baseline", REGIME_SQL + select_rounded(
