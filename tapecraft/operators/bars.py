@@ -44,7 +44,10 @@ def _with_part(clean: DataFrame, width: str, part: str | None) -> DataFrame:
     part = part or default_part(width)
     if interval_seconds(width) % interval_seconds(part):
         raise ValueError(f"part {part!r} must divide window width {width!r}")
-    return clean.withColumn("part", F.window("ts", part).start)
+    # the buy flag travels through the shuffle as a boolean, not the side text
+    return (clean.withColumn("part", F.window("ts", part).start)
+            .withColumn("_buy", F.col("side") == F.lit(BUY))
+            .withColumn("_sell", F.col("side") == F.lit(SELL)))
 
 
 def _in_part_returns(parted: DataFrame) -> DataFrame:
@@ -74,8 +77,8 @@ def _part_summaries(rets: DataFrame) -> DataFrame:
         F.min("price").alias("low"),
         F.sum(q).alias("volume"),
         F.sum(p * q).alias("notional"),
-        F.sum(F.when(F.col("side") == BUY, q).otherwise(F.lit(0.0))).alias("buy_volume"),
-        F.sum(F.when(F.col("side") == SELL, q).otherwise(F.lit(0.0))).alias("sell_volume"),
+        F.sum(F.when(F.col("_buy"), q).otherwise(F.lit(0.0))).alias("buy_volume"),
+        F.sum(F.when(F.col("_sell"), q).otherwise(F.lit(0.0))).alias("sell_volume"),
     )
 
 

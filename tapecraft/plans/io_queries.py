@@ -218,7 +218,7 @@ def q_stream_upsert(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     L.partitioned_landing(S.trades(spark, sf_dir), landing)
     schema = T.StructType(TRADE.fields + [T.StructField("dt", T.StringType())])
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 256)
               .option("basePath", landing).json(landing))
     target = scratch_path(spark, "silver-stream")
     ckpt = scratch_path(spark, "stream-upsert-checkpoint")

@@ -18,27 +18,42 @@ def utc_day(trade_time_ms: str = "trade_time"):
     return F.date_format(ms_to_ts(F.col(trade_time_ms)), "yyyy-MM-dd")
 
 
+def _salted(df: DataFrame, keys: list[str], files_per_partition: int, salt_of: str | None) -> DataFrame:
+    """Cluster rows by the output partition columns, each output partition
+    spread over up to ``files_per_partition`` writer tasks (hash salt), so a
+    hot symbol/day is written in parallel and each task writes few files."""
+    if files_per_partition <= 1 or salt_of is None:
+        return df.repartition(*keys)
+    salt = F.pmod(F.xxhash64(F.col(salt_of)), F.lit(files_per_partition))
+    return df.repartition(*keys, salt)
+
+
 def partitioned_landing(trades: DataFrame, path: str, day: str | None = None,
-                        mode: str = "append") -> None:
+                        mode: str = "append", files_per_partition: int = 4,
+                        max_records_per_file: int = 5_000_000) -> None:
     """Write TRADE rows as JSON lines under ``path/symbol=SYM/dt=YYYY-MM-DD/``.
 
     ``dt`` is the given ``day`` (a landing run's date) or, by default, each
-    trade's own UTC day. Rows are clustered by the partition columns first so
-    each task writes few files.
+    trade's own UTC day. Rows are clustered by the partition columns (salted
+    by trade_id over ``files_per_partition`` writers) before the write, and no
+    file holds more than ``max_records_per_file`` rows: size the salt to the
+    partition volume (partition bytes / target file bytes).
     """
     dt = F.lit(day) if day is not None else utc_day()
     out = trades.withColumn("symbol", F.upper(F.col("symbol"))).withColumn("dt", dt)
-    (out.repartition("symbol", "dt")
-        .write.mode(mode).partitionBy("symbol", "dt").json(path))
+    (_salted(out, ["symbol", "dt"], files_per_partition, "trade_id")
+        .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+        .partitionBy("symbol", "dt").json(path))
 
 
-def land_metadata(meta: DataFrame, path: str, day: str | None = None, mode: str = "append") -> None:
+def land_metadata(meta: DataFrame, path: str, day: str | None = None, mode: str = "append",
+                  files_per_partition: int = 4) -> None:
     """Write flattened metadata as JSON lines under ``path/dt=YYYY-MM-DD/``
     (``day`` of the landing run, or each record's own UTC day)."""
     dt = F.lit(day) if day is not None else F.date_format(
         F.timestamp_add("SECOND", F.col("timestamp"), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")),
         "yyyy-MM-dd")
-    (meta.withColumn("dt", dt).repartition("dt")
+    (_salted(meta.withColumn("dt", dt), ["dt"], files_per_partition, "coin_id")
          .write.mode(mode).partitionBy("dt").json(path))
 
 
