@@ -37,29 +37,6 @@ GOLD_CHECKS = [
 DQ_COLUMNS = ["check_order", "check_name", "table_name", "column_name", "failing_rows", "passed"]
 
 
-def unique_failures(df: DataFrame, col: str) -> DataFrame:
-    c = F.col(col)
-    dup = df.where(c.isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return dup.agg(F.count(F.lit(1)).alias("failing_rows"))
-
-
-def not_null_failures(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.count(F.when(F.col(col).isNull(), F.lit(1))).alias("failing_rows"))
-
-
-def relationship_failures(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose non-NULL key is missing from the parent.
-
-    Child keys are counted first (partial aggregation), so a key holding most
-    of the child rows becomes one row before the anti join.
-    """
-    keys = (child.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_k"))
-            .agg(F.count(F.lit(1)).alias("_n")))
-    parents = parent.select(F.col(parent_col).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    missing = keys.join(parents, "_k", "left_anti")
-    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("failing_rows"))
-
-
 def _column_checks(df: DataFrame, col: str, checks: list, tables: dict[str, DataFrame]) -> DataFrame:
     """All checks on one (table, column) from a single pass over the table.
 

@@ -29,7 +29,7 @@ TRADE_TEXT_COLS = ["event_type", "event_time", "symbol", "trade_id", "price", "q
                    "trade_time", "is_buyer_maker"]
 
 def _tape_text_sql() -> str:
-    # props is needed as raw text; re-read it alongside the tape columns
+    """The tape as landed text records (prices and quantities as strings)."""
     return f"""WITH tape_text AS (
   SELECT 'trade' AS event_type, epoch_us(ts) // 1000 AS event_time,
          {O._case('event_type', S.EVENT_SYMBOLS)} AS symbol, event_id AS trade_id,
@@ -58,7 +58,7 @@ def q_parse_trade_envelope(spark, sf_dir):
     return M.parse_trade_envelope(M.trades_to_envelopes(S.trades(spark, sf_dir)))
 
 
-@register("encode_trades_json", TAPE_TEXT.replace("WITH ", "WITH ", 1) + """
+@register("encode_trades_json", TAPE_TEXT + """
 SELECT symbol AS key,
        to_json({'event_type': event_type, 'event_time': event_time, 'symbol': symbol,
                 'trade_id': trade_id, 'price': price, 'quantity': quantity,

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapecraft.functions.columns import BUY, MU, SELL, interval_seconds
+from tapecraft.functions.columns import BUY, MU, SELL
 from tapecraft.operators.bars import default_part
 from tapecraft.schemas import BARS_STREAM_COLUMNS
 
@@ -144,7 +144,3 @@ def stream_minute_append(clean_stream: DataFrame, width: str = "1 minute",
         return out.select(*BARS_STREAM_COLUMNS, "bipower_variation", "jump_component")
     return out.select(*BARS_STREAM_COLUMNS)
 
-
-def check_width(width: str, part: str) -> None:
-    if interval_seconds(width) % interval_seconds(part):
-        raise ValueError(f"part {part!r} must divide {width!r}")

@@ -213,3 +213,22 @@ def test_message_stream_options(spark):
     assert row.vwap == 0.0 and row.volume == 0.0 and row.realized_variance == 0.0
     (row,) = B.minute_bars(clean).collect()
     assert row.vwap is None
+
+
+def test_hot_window_is_split_across_parts(spark):
+    """One minute holding two thirds of the tape is reduced in 60 part groups,
+    none larger than ~1/60 of it, and the result is unchanged."""
+    rnd = random.Random(11)
+    hot = [("BTCUSDT", i, f"{round(rnd.uniform(99, 101), 2)}", "1", WINDOW_MS + (i * 50) % 60_000, "false")
+           for i in range(1200)]
+    cold = [("BTCUSDT", 5000 + i, "100", "1", WINDOW_MS + 60_000 * (1 + i % 10), "true") for i in range(600)]
+    rows = hot + cold
+    clean = clean_trades(make_trades(spark, rows))
+    parts = B._part_summaries(B._in_part_returns(B._with_part(clean, "1 minute", None)))
+    hot_parts = parts.where(F.col("minute") == dt.datetime(2026, 6, 15, 5, 32)).collect()
+    assert len(hot_parts) == 60
+    assert max(p.n for p in hot_parts) <= 2 * len(hot) // 60
+    expect = brute.bars(_as_dicts(rows), 60_000)
+    got = {(r["symbol"], r["minute"]): r for r in run_bars(spark, rows)}
+    for (sym, start), e in expect.items():
+        check(got[(sym, dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=start))], e)
