@@ -75,14 +75,16 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
 
 def load_bronze_day(spark: SparkSession, path: str, day: str | None = None,
                     symbols: list[str] | None = None, target: str | None = None,
-                    mode: str = "truncate") -> DataFrame:
+                    mode: str = "truncate", files_per_day: int = 4) -> DataFrame:
     """Load the landed partitions of ``day`` (all days if None) for ``symbols``.
 
     The filter is on partition columns, so only matching directories are
     listed and read; absent symbols are simply absent. Raises
     ``NoPartitionsError`` when nothing matches. With ``target`` the result is
-    written as parquet: ``mode='truncate'`` replaces the table, ``'replace_day'``
-    overwrites only the partitions present (dynamic partition overwrite).
+    written as parquet, compacted (the many small landing files of a day become
+    ``files_per_day`` salted writers' files): ``mode='truncate'`` replaces the
+    table, ``'replace_day'`` overwrites only the partitions present (dynamic
+    partition overwrite).
     """
     symbols = [s.upper() for s in (symbols or SYMBOLS)]
     df = read_landed(spark, path)
@@ -93,7 +95,7 @@ def load_bronze_day(spark: SparkSession, path: str, day: str | None = None,
     if df.isEmpty():
         raise NoPartitionsError(f"no landed partitions for day={day} symbols={symbols}")
     if target is not None:
-        w = df.write.partitionBy("dt")
+        w = _salted(df, ["dt"], files_per_day, "trade_id").write.partitionBy("dt")
         if mode == "replace_day":
             w = w.option("partitionOverwriteMode", "dynamic")
         w.mode("overwrite").parquet(target)
