@@ -52,9 +52,10 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def select_rounded(cols: list[str], doubles: set[str], src: str, order: str = "") -> str:
+def select_rounded(cols: list[str], doubles: set[str], src: str, tail: str = "") -> str:
+    """SELECT of ``cols`` from ``src`` with doubles rounded; ``tail`` is appended (e.g. a WHERE)."""
     items = [O.r(c) if c in doubles else c for c in cols]
-    return f"SELECT {', '.join(items)} FROM {src}{order}"
+    return f"SELECT {', '.join(items)} FROM {src}{tail}"
 
 
 # --- shared Spark building blocks ---------------------------------------------
@@ -229,23 +230,24 @@ def q_dim_asset(spark, sf_dir):
 
 # --- MD9: regime mart ---------------------------------------------------------------
 
-_ROLL = """rolling AS (
+_ROLL = f"""rolling AS (
   SELECT b.*,
          avg(realized_vol) OVER w AS roll_mean_vol,
          stddev_samp(realized_vol) OVER w AS roll_std_vol,
          count(*) OVER w AS roll_n
   FROM fct b
-  WINDOW w AS (PARTITION BY asset_id ORDER BY window_start ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)),
+  WINDOW w AS (PARTITION BY asset_id ORDER BY window_start
+               ROWS BETWEEN {R.ROLL_ROWS} PRECEDING AND 1 PRECEDING)),
 classified AS (
   SELECT r.*,
          CASE WHEN roll_std_vol IS NOT NULL AND roll_std_vol > 0
               THEN (realized_vol - roll_mean_vol) / roll_std_vol END AS vol_zscore,
-         CASE WHEN roll_n IS NULL OR roll_n < 5 THEN 'warmup'
+         CASE WHEN roll_n IS NULL OR roll_n < {R.MIN_ROWS} THEN 'warmup'
               WHEN roll_std_vol IS NULL OR roll_std_vol = 0 THEN 'normal'
-              WHEN (realized_vol - roll_mean_vol) / roll_std_vol <= -0.5 THEN 'calm'
-              WHEN (realized_vol - roll_mean_vol) / roll_std_vol >= 1.0 THEN 'turbulent'
+              WHEN (realized_vol - roll_mean_vol) / roll_std_vol <= {R.CALM_Z} THEN 'calm'
+              WHEN (realized_vol - roll_mean_vol) / roll_std_vol >= {R.TURBULENT_Z} THEN 'turbulent'
               ELSE 'normal' END AS volatility_regime,
-         CASE WHEN realized_variance > 0 AND (jump_component / realized_variance) > 0.5
+         CASE WHEN realized_variance > 0 AND (jump_component / realized_variance) > {R.JUMP_RATIO}
               THEN true ELSE false END AS is_jump_minute
   FROM rolling r)"""
 REGIME_SQL = GOLD + ",\n" + _ROLL + "\n"
