@@ -22,6 +22,16 @@ OPS = ["Exchange hashpartitioning", "Exchange SinglePartition", "ReusedExchange"
        "ObjectHashAggregate", "BroadcastHashJoin", "SortMergeJoin", "Expand", "Generate"]
 
 
+def landing_day_read(spark, sf):
+    """The partition-pruned read of one landed day (what load_bronze_day loads)."""
+    from tapecraft.functions.columns import SYMBOLS
+    from tapecraft.session import scratch_path
+    from tapecraft.sources import landing as L
+    path = scratch_path(spark, "plan-landing")
+    L.partitioned_landing(S.trades(spark, sf), path)
+    return L.load_bronze_day(spark, path, "2024-01-15", SYMBOLS[:3])
+
+
 def minute(fn):
     return lambda spark, sf: fn(clean_trades(S.trades(spark, sf), "1 minute"))
 
@@ -32,7 +42,8 @@ TARGETS = {
     "ohlc_bars (1 minute)": minute(B.ohlc_bars),
     **{k: QUERIES[k] for k in ["ofi_return_by_regime", "dim_time", "dim_asset", "latest_metadata",
                                "dq_report", "vol_by_tier", "vol_rollup_time", "symbol_coverage",
-                               "recompute_touched", "load_bronze_day"]},
+                               "recompute_touched"]},
+    "load_bronze_day (landing read of one day, 3 symbols)": landing_day_read,
 }
 
 
@@ -41,7 +52,7 @@ def summarize(plan: str) -> dict:
     scans = []
     for line in plan.splitlines():
         if "FileScan" in line:
-            schema = re.search(r"ReadSchema: (struct<[^>]*>)", line)
+            schema = re.search(r"ReadSchema: (\S+)", line)
             pushed = re.search(r"PushedFilters: (\[[^\]]*\])", line)
             parts = re.search(r"PartitionFilters: (\[[^\]]*\])", line)
             scans.append((schema.group(1) if schema else "?", pushed.group(1) if pushed else "",
