@@ -43,20 +43,29 @@ BUY, SELL = "BUY", "SELL"
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
-_UNIT_SECONDS = {
-    "second": 1, "seconds": 1, "sec": 1, "s": 1,
-    "minute": 60, "minutes": 60, "min": 60, "m": 60,
-    "hour": 3600, "hours": 3600, "h": 3600,
-    "day": 86400, "days": 86400, "d": 86400,
+_UNIT_MS = {
+    "millisecond": 1, "milliseconds": 1, "ms": 1,
+    "second": 1000, "seconds": 1000, "sec": 1000, "s": 1000,
+    "minute": 60_000, "minutes": 60_000, "min": 60_000, "m": 60_000,
+    "hour": 3_600_000, "hours": 3_600_000, "h": 3_600_000,
+    "day": 86_400_000, "days": 86_400_000, "d": 86_400_000,
 }
 
 
-def interval_seconds(width: str) -> int:
-    """Length of a window width such as ``'1 minute'`` or ``'6 hours'``."""
+def interval_ms(width: str) -> int:
+    """Length in milliseconds of a width such as ``'100 milliseconds'`` or ``'6 hours'``."""
     m = re.fullmatch(r"\s*(\d+)\s*([a-zA-Z]+)\s*", width)
-    if not m or m.group(2).lower() not in _UNIT_SECONDS:
+    if not m or m.group(2).lower() not in _UNIT_MS:
         raise ValueError(f"unsupported window width: {width!r}")
-    return int(m.group(1)) * _UNIT_SECONDS[m.group(2).lower()]
+    return int(m.group(1)) * _UNIT_MS[m.group(2).lower()]
+
+
+def interval_seconds(width: str) -> int:
+    """Length in whole seconds of a window width (must be a whole number of seconds)."""
+    ms = interval_ms(width)
+    if ms % 1000:
+        raise ValueError(f"{width!r} is not a whole number of seconds")
+    return ms // 1000
 
 
 def ntz_literal(value) -> Column:

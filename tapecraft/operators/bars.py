@@ -25,24 +25,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapecraft.functions.columns import BUY, MU, SELL, interval_seconds, safe_log_ratio
+from tapecraft.functions.columns import BUY, MU, SELL, interval_ms, interval_seconds, safe_log_ratio
 from tapecraft.schemas import BARS_COLUMNS, BARS_STREAM_COLUMNS
 
 KEYS = ["symbol", "minute"]
 
 
 def default_part(width: str) -> str:
-    """Sub-window used to split a window: width/60, at least one second."""
-    secs = interval_seconds(width)
-    part = max(1, secs // 60)
-    while secs % part:
+    """Sub-window used to split a window: width/60 (a one-minute window is cut
+    into 1-second parts). Any divisor of the width works, down to milliseconds
+    (e.g. ``'100 milliseconds'`` splits a hot minute 600 ways)."""
+    ms = interval_ms(width)
+    part = max(1, ms // 60)
+    while ms % part:
         part -= 1
-    return f"{part} seconds"
+    return f"{part} milliseconds"
 
 
 def _with_part(clean: DataFrame, width: str, part: str | None) -> DataFrame:
     part = part or default_part(width)
-    if interval_seconds(width) % interval_seconds(part):
+    if interval_ms(width) % interval_ms(part):
         raise ValueError(f"part {part!r} must divide window width {width!r}")
     # the buy flag travels through the shuffle as a boolean, not the side text
     return (clean.withColumn("part", F.window("ts", part).start)

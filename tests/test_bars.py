@@ -15,7 +15,7 @@ from tapecraft.operators import bars as B
 from tapecraft.operators.clean import clean_trades
 from tapecraft.streaming.append import stream_minute_append
 
-PARTS = [None, "1 second", "10 seconds", "60 seconds"]
+PARTS = [None, "250 milliseconds", "1 second", "10 seconds", "60 seconds"]
 
 
 def run_bars(spark, rows, part=None, width="1 minute", maker_type="string"):

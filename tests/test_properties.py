@@ -40,7 +40,7 @@ def _close(a, b):
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(rows=st.lists(trade, min_size=1, max_size=60, unique_by=lambda r: (r[0], r[1], r[4])),
-       part=st.sampled_from(["1 second", "5 seconds", "30 seconds", "60 seconds"]))
+       part=st.sampled_from(["100 milliseconds", "1 second", "5 seconds", "30 seconds", "60 seconds"]))
 def test_split_reducer_equals_brute_force(spark, rows, part):
     expect = brute.bars(_brute_rows(rows), 60_000)
     clean = clean_trades(make_trades(spark, rows))
