@@ -54,7 +54,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     it is unset -- local runs and tests -- a private folder is created and
     registered as the checkpoint directory.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the server's setting applies
+        sc = None
+    if sc is None:
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            current = tempfile.mkdtemp(prefix="tapecraft-ckpt-")
+        return current.rstrip("/")
     current = None
     try:
         current = sc.getCheckpointDir()
