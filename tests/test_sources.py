@@ -126,3 +126,19 @@ def test_land_stream_then_read(spark):
     q2.processAllAvailable()
     q2.stop()
     assert os.path.isdir(local_path(out))
+
+
+def test_landed_unknown_fields_ignored(spark):
+    import os
+    from tapecraft.session import local_path
+    path = scratch_path(spark, "test-unknown-fields")
+    folder = os.path.join(local_path(path), "symbol=BTCUSDT", "dt=2026-06-15")
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, "a.json"), "w") as fh:
+        fh.write(json.dumps({"event_type": "trade", "trade_id": 1, "price": "1.5", "quantity": "2",
+                             "trade_time": WINDOW_MS, "is_buyer_maker": False, "extra": {"x": 1}}) + "\n")
+        fh.write(json.dumps({"trade_id": 2, "price": "2", "surprise": [1, 2]}) + "\n")
+    rows = sorted(L.load_bronze_day(spark, path, "2026-06-15").collect(), key=lambda r: r.trade_id)
+    assert [r.trade_id for r in rows] == [1, 2]
+    assert rows[0].symbol == "BTCUSDT" and rows[0].is_buyer_maker == "false" and rows[1].trade_time is None
+    assert "extra" not in L.read_landed(spark, path).columns
