@@ -212,7 +212,11 @@ def q_surrogate_key(spark, sf_dir):
 
 @register("dim_time", GOLD + ",\n" + O.dim_time_cte() + "\nSELECT * FROM dim_time")
 def q_dim_time(spark, sf_dir):
-    return G.dim_time(_stg(spark, sf_dir), _stg_stream(spark, sf_dir))
+    """Distinct window starts of the batch and speed-layer staging tables, both
+    derived from one bars lineage here, so their shuffles are shared."""
+    bars = _bars(spark, sf_dir)
+    return G.dim_time(G.stg_trades_minute(bars),
+                      G.stg_trades_minute_stream(B.as_stream_shape(bars, WIDTH)))
 
 
 @register("latest_metadata", "WITH " + O.metadata_cte() + ",\n" + O.latest_metadata_cte() +
