@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -93,6 +94,27 @@ def ts_to_seconds(ts: Column | str) -> Column:
     return F.timestamp_diff("SECOND", F.expr(EPOCH_NTZ), ts)
 
 
+_D38 = "decimal(38,0)"
+
+
+def trade_order_key(ts: Column | str = "ts", trade_id: Column | str = "trade_id") -> Column:
+    """One DECIMAL(38,0) that sorts exactly like ``struct(ts, trade_id)``.
+
+    ``ts`` in microseconds times 10^20 plus ``trade_id`` shifted to
+    [1, 2^64]; NULLs map below every value, as they sort first in the struct.
+    Unlike a struct, a decimal is a mutable aggregation-buffer type, so
+    ``min_by``/``max_by`` over it plan as a HashAggregate (no sort of the
+    input) with map-side partial aggregation.
+    """
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    trade_id = F.col(trade_id) if isinstance(trade_id, str) else trade_id
+    micros = F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), ts).cast(_D38)
+    micros = F.coalesce(micros, F.lit(Decimal(-10 ** 17)).cast(_D38))   # before year 1
+    tid = F.coalesce(trade_id.cast(_D38) + F.lit(Decimal(2 ** 63 + 1)).cast(_D38),
+                     F.lit(Decimal(0)).cast(_D38))
+    return micros * F.lit(Decimal(10 ** 20)).cast(_D38) + tid
+
+
 def window_start(ts: Column | str, width: str) -> Column:
     """Start of the tumbling event-time window holding ``ts`` (epoch aligned)."""
     return F.window(ts, width).start

@@ -25,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapecraft.functions.columns import BUY, MU, SELL, interval_ms, interval_seconds, safe_log_ratio
+from tapecraft.functions.columns import (BUY, MU, SELL, interval_ms, interval_seconds, safe_log_ratio,
+                                         trade_order_key)
 from tapecraft.schemas import BARS_COLUMNS, BARS_STREAM_COLUMNS
 
 KEYS = ["symbol", "minute"]
@@ -168,7 +169,7 @@ def minute_bars_stream(clean: DataFrame, width: str = "1 minute", part: str | No
 # --- order-free bars: single aggregation, partial (map-side) combine -----------
 
 def _first_last(col: str):
-    order = F.struct("ts", "trade_id")
+    order = trade_order_key("ts", "trade_id")   # sorts as (ts, trade_id), hash-aggregatable
     return F.min_by(col, order), F.max_by(col, order)
 
 

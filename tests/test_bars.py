@@ -232,3 +232,25 @@ def test_hot_window_is_split_across_parts(spark):
     got = {(r["symbol"], r["minute"]): r for r in run_bars(spark, rows)}
     for (sym, start), e in expect.items():
         check(got[(sym, dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=start))], e)
+
+
+def test_trade_order_key_sorts_like_struct(spark):
+    from tapecraft.functions.columns import trade_order_key
+    big, small = 2 ** 63 - 1, -2 ** 63
+    rng = random.Random(5)
+    rows = [(i, ts, tid) for i, (ts, tid) in enumerate(
+        [(None, None), (None, 4), ("1969-12-31 23:59:59.999999", big), ("1969-12-31 23:59:59.999999", small),
+         ("0001-01-01 00:00:00", 0), ("9999-12-31 23:59:59.999999", big), ("2026-06-15 05:32:00", None)]
+        + [(f"2026-06-15 05:32:{rng.randint(0, 2):02d}.{rng.randint(0, 2)}", rng.choice([None, small, -1, 0, 1, big]))
+           for _ in range(60)])]
+    df = (spark.createDataFrame(rows, "i int, t string, trade_id long")
+          .withColumn("ts", F.col("t").cast("timestamp_ntz")))
+    by_struct = [r.i for r in df.orderBy(F.struct("ts", "trade_id"), "i").collect()]
+    by_key = [r.i for r in df.orderBy(trade_order_key("ts", "trade_id"), "i").collect()]
+    assert by_key == by_struct
+
+
+def test_ohlc_bars_hash_aggregate_no_sort(spark):
+    clean = clean_trades(make_trades(spark, H3), "1 minute")
+    plan = B.ohlc_bars(clean)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
