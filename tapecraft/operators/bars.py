@@ -25,8 +25,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapecraft.functions.columns import (BUY, MU, SELL, interval_ms, interval_seconds, safe_log_ratio,
-                                         trade_order_key)
+from tapecraft.functions.columns import (BUY, EPOCH_NTZ, MU, SELL, interval_ms, interval_seconds,
+                                         safe_log_ratio, trade_order_key)
+from tapecraft.operators.joins import join_small
 from tapecraft.schemas import BARS_COLUMNS, BARS_STREAM_COLUMNS
 
 KEYS = ["symbol", "minute"]
@@ -43,14 +44,69 @@ def default_part(width: str) -> str:
     return f"{part} milliseconds"
 
 
-def _with_part(clean: DataFrame, width: str, part: str | None) -> DataFrame:
+# Bits of ``part`` reserved for the sub-part of a split hot part (see below).
+SUB_BITS = 20
+# Sub-parts a hot part is cut into.
+HOT_WAYS = 64
+
+
+def _with_part(clean: DataFrame, width: str, part: str | None,
+               max_part_rows: int | None = None, hot_ways: int = HOT_WAYS) -> DataFrame:
+    """Adds ``part``: a long that orders the parts of a window like their trades.
+
+    It is the part's time offset inside the window, then (low ``SUB_BITS``)
+    the sub-part index when ``max_part_rows`` splits hot parts.
+    """
     part = part or default_part(width)
     if interval_ms(width) % interval_ms(part):
         raise ValueError(f"part {part!r} must divide window width {width!r}")
+    if not 2 <= hot_ways <= 1 << SUB_BITS:
+        raise ValueError(f"hot_ways must be in [2, {1 << SUB_BITS}]")
     # the buy flag travels through the shuffle as a boolean, not the side text
-    return (clean.withColumn("part", F.window("ts", part).start)
-            .withColumn("_buy", F.col("side") == F.lit(BUY))
-            .withColumn("_sell", F.col("side") == F.lit(SELL)))
+    out = (clean.withColumn("_pt", F.window("ts", part).start)
+           .withColumn("_buy", F.col("side") == F.lit(BUY))
+           .withColumn("_sell", F.col("side") == F.lit(SELL)))
+    sub = F.lit(0).cast("long")
+    if max_part_rows is not None:
+        out = _split_hot_parts(out, max_part_rows, hot_ways)
+        sub = F.col("_sub")
+    offset = F.timestamp_diff("MILLISECOND", F.col("minute"), F.col("_pt"))
+    return out.withColumn("part", offset * F.lit(1 << SUB_BITS) + sub).drop("_pt", "_sub")
+
+
+def _split_hot_parts(parted: DataFrame, max_rows: int, ways: int) -> DataFrame:
+    """Cut every part holding more than ``max_rows`` trades into ``ways``
+    contiguous sub-parts at approximate time quantiles (``_sub``; 0 elsewhere).
+
+    The ordered work of a part normally runs in one task; this bounds it even
+    when one part holds a large share of the whole tape. Exact whatever the
+    cut points: a sub-part is a contiguous run of the part's (ts, trade_id)
+    order (trades with equal ts stay together), and the stitch step adds the
+    returns across every boundary. Costs two extra aggregating passes over
+    the trades (part counts with map-side combine, then mergeable quantile
+    sketches of the hot parts only); both results are small -- at most
+    (trades / max_rows) rows -- and are checkpointed to the shared folder.
+    """
+    from tapecraft.session import checkpoint_root
+    checkpoint_root(parted.sparkSession)
+    keys = ["symbol", "minute", "_pt"]
+    us = F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), F.col("ts"))
+    hot = (parted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > F.lit(max_rows)).select(*keys)
+           .checkpoint(eager=True))
+    probs = [i / ways for i in range(1, ways)]
+    cuts = (join_small(parted.select(*keys, us.alias("_us")), hot, keys, "left_semi")
+            .groupBy(*keys).agg(F.percentile_approx("_us", probs, HOT_ACCURACY).alias("_cuts"))
+            .checkpoint(eager=True))
+    # a cut list is ways-1 longs: keep the broadcast side near 8 MB
+    out = join_small(parted, cuts, keys, "left", max_rows=max(1, (1 << 20) // ways))
+    sub = F.when(F.col("_cuts").isNull(), F.lit(0).cast("long")).otherwise(
+        F.size(F.filter("_cuts", lambda c: c <= us)).cast("long"))
+    return out.withColumn("_sub", sub).drop("_cuts")
+
+
+# Quantile sketch accuracy for hot-part cuts (only balance depends on it).
+HOT_ACCURACY = 10_000
 
 
 def _in_part_returns(parted: DataFrame) -> DataFrame:
@@ -125,14 +181,17 @@ def _finish(bars: DataFrame, bipower: bool = True) -> DataFrame:
 
 
 def minute_bars(clean: DataFrame, width: str = "1 minute", part: str | None = None,
-                empty_vwap: float | None = None) -> DataFrame:
+                empty_vwap: float | None = None, max_part_rows: int | None = None,
+                hot_ways: int = HOT_WAYS) -> DataFrame:
     """Silver bars, batch semantics (17 columns, see ``schemas.BARS_COLUMNS``).
 
     ``clean`` must come from ``clean_trades`` with the same ``width``.
     ``empty_vwap``: VWAP of a window without volume (NULL by default; the
     message-stream reducer uses 0.0). Reachable only without ``positive_only``.
+    ``max_part_rows``: split parts holding more trades than this into
+    ``hot_ways`` sub-parts (see ``_split_hot_parts``); None skips the check.
     """
-    parts = _part_summaries(_in_part_returns(_with_part(clean, width, part)))
+    parts = _part_summaries(_in_part_returns(_with_part(clean, width, part, max_part_rows, hot_ways)))
     stitched = _stitch(parts)
     bars = stitched.groupBy(*KEYS).agg(
         F.min_by("first_price", "part").alias("open"),
@@ -161,9 +220,9 @@ def as_stream_shape(bars: DataFrame, width: str = "1 minute") -> DataFrame:
 
 
 def minute_bars_stream(clean: DataFrame, width: str = "1 minute", part: str | None = None,
-                       empty_vwap: float | None = None) -> DataFrame:
+                       empty_vwap: float | None = None, max_part_rows: int | None = None) -> DataFrame:
     """Silver bars, speed-layer shape: no bipower/jump, adds ``window_end``."""
-    return as_stream_shape(minute_bars(clean, width, part, empty_vwap), width)
+    return as_stream_shape(minute_bars(clean, width, part, empty_vwap, max_part_rows), width)
 
 
 # --- order-free bars: single aggregation, partial (map-side) combine -----------
@@ -217,7 +276,8 @@ RETURN_COLUMNS = ["symbol", "minute", "ts", "trade_id", "price", "quantity", "si
                   "log_ret", "abs_ret", "prev_abs_ret", "bipower_term"]
 
 
-def log_returns(clean: DataFrame, width: str = "1 minute", part: str | None = None) -> DataFrame:
+def log_returns(clean: DataFrame, width: str = "1 minute", part: str | None = None,
+                max_part_rows: int | None = None, hot_ways: int = HOT_WAYS) -> DataFrame:
     """Per-trade lagged returns inside each window (first trade: NULL).
 
     Same split as the bars, in one pass over the trades: lag inside parts;
@@ -228,8 +288,9 @@ def log_returns(clean: DataFrame, width: str = "1 minute", part: str | None = No
     by (part, rn); two stacked lags give the previous part's last price and
     its trailing |r|, which patch rows 1 and 2. Rows 3+ need nothing from
     other parts and pass straight through. One scan, one trade shuffle, no join.
+    ``max_part_rows`` / ``hot_ways`` split hot parts as in ``minute_bars``.
     """
-    parted = _with_part(clean, width, part)
+    parted = _with_part(clean, width, part, max_part_rows, hot_ways)
     w = Window.partitionBy("symbol", "minute", "part").orderBy("ts", "trade_id")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rets = _in_part_returns(parted)

@@ -254,3 +254,32 @@ def test_ohlc_bars_hash_aggregate_no_sort(spark):
     clean = clean_trades(make_trades(spark, H3), "1 minute")
     plan = B.ohlc_bars(clean)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+
+
+def test_hot_part_split_into_sub_parts(spark):
+    """One 1-second part holds most of the tape (with ts ties): with
+    ``max_part_rows`` it is cut into contiguous sub-parts of bounded size,
+    and bars and per-trade returns are unchanged."""
+    rnd = random.Random(23)
+    hot = [("BTCUSDT", i, f"{round(rnd.uniform(99, 101), 2)}", "1", WINDOW_MS + 7000 + (i % 40), "false")
+           for i in range(800)]
+    cold = [("BTCUSDT", 5000 + i, f"{100 + i % 7}", "2", WINDOW_MS + 500 * i, "true") for i in range(100)]
+    other = [("ETHUSDT", 9000 + i, f"{50 + i % 3}", "1", WINDOW_MS + 7000, None) for i in range(30)]
+    rows = hot + cold + other
+    clean = clean_trades(make_trades(spark, rows))
+    parted = B._with_part(clean, "1 minute", None, max_part_rows=50, hot_ways=16)
+    sizes = [r["count"] for r in parted.groupBy("symbol", "minute", "part").count().collect()]
+    assert max(sizes) <= 2 * 800 // 16
+    expect = brute.bars(_as_dicts(rows), 60_000)
+    got = {(r.symbol, r.minute): r for r in
+           B.minute_bars(clean, "1 minute", max_part_rows=50, hot_ways=16).collect()}
+    assert len(got) == len(expect)
+    for (sym, start), e in expect.items():
+        check(got[(sym, dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=start))], e)
+    plain = {(r.symbol, r.trade_id): r for r in B.log_returns(clean, "1 minute").collect()}
+    split = B.log_returns(clean, "1 minute", max_part_rows=50, hot_ways=16).collect()
+    assert len(split) == len(plain)
+    for r in split:
+        p = plain[(r.symbol, r.trade_id)]
+        for f in ("prev_price", "log_ret", "prev_abs_ret", "bipower_term"):
+            assert close(getattr(r, f), getattr(p, f)), (f, r, p)

@@ -55,3 +55,21 @@ def test_split_reducer_equals_brute_force(spark, rows, part):
             for f in ("open", "close", "high", "low", "volume", "realized_variance",
                       "bipower_variation", "buy_volume", "ofi"):
                 assert _close(getattr(r, f), e[f]), (f, getattr(r, f), e[f])
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(trade, min_size=1, max_size=60, unique_by=lambda r: (r[0], r[1], r[4])),
+       part=st.sampled_from(["1 second", "30 seconds", "60 seconds"]),
+       max_rows=st.integers(1, 6), ways=st.integers(2, 9))
+def test_hot_part_split_equals_brute_force(spark, rows, part, max_rows, ways):
+    expect = brute.bars(_brute_rows(rows), 60_000)
+    clean = clean_trades(make_trades(spark, rows))
+    got = {(r.symbol, r.minute): r for r in
+           B.minute_bars(clean, "1 minute", part, max_part_rows=max_rows, hot_ways=ways).collect()}
+    assert len(got) == len(expect)
+    for (sym, start), e in expect.items():
+        r = got[(sym, dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=start))]
+        assert r.trade_count == e["trade_count"]
+        for f in ("open", "close", "high", "low", "volume", "realized_variance",
+                  "bipower_variation", "buy_volume", "ofi"):
+            assert _close(getattr(r, f), e[f]), (f, getattr(r, f), e[f])
