@@ -44,6 +44,8 @@ def regime_1m(spark, sf_dir):
 
 HEADLINE = {
     "minute_bars_1m": minute_width(lambda c: B.minute_bars(c, "1 minute")),
+    # same, with the hot-part guard on (cost of its two extra aggregating passes)
+    "minute_bars_1m_hot_guard": minute_width(lambda c: B.minute_bars(c, "1 minute", max_part_rows=1000)),
     "log_returns_1m": minute_width(lambda c: B.log_returns(c, "1 minute")),
     "ohlc_bars_1m": minute_width(B.ohlc_bars),
     "regime_1m": regime_1m,
