@@ -39,12 +39,13 @@ def touched_minutes(batch: DataFrame) -> DataFrame:
 
 def recompute_touched(all_trades: DataFrame, touched: DataFrame, width: str = "1 minute",
                       as_of: datetime | None = None, horizon: str | None = "20 minutes",
-                      part: str | None = None) -> DataFrame:
+                      part: str | None = None, max_part_rows: int | None = None) -> DataFrame:
     """Bars (speed-layer shape) of the touched windows, from *all* their trades.
 
     ``all_trades`` are clean trades (``clean_trades`` with the same width). With
     ``as_of`` the horizon cut is aligned down to a whole window, so a window on
     the cut is recomputed from all of its trades, never from a suffix.
+    ``part`` / ``max_part_rows`` split hot windows as in ``minute_bars``.
     """
     t = all_trades
     if as_of is not None and horizon:
@@ -53,7 +54,7 @@ def recompute_touched(all_trades: DataFrame, touched: DataFrame, width: str = "1
         days = touched.select(F.date_format("minute", "yyyy-MM-dd").alias("dt")).distinct()
         t = t.join(days, "dt", "left_semi")
     t = join_small(t, touched.select("symbol", "minute"), ["symbol", "minute"], "left_semi")
-    return minute_bars_stream(t, width, part)
+    return minute_bars_stream(t, width, part, max_part_rows=max_part_rows)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -89,7 +90,8 @@ def upsert_minutes(spark: SparkSession, target: str, updates: DataFrame, keys=KE
 
 def upsert_handler(spark: SparkSession, read_all: Callable[[], DataFrame], target: str,
                    width: str = "1 minute", as_of: datetime | None = None,
-                   horizon: str | None = "20 minutes", part: str | None = None):
+                   horizon: str | None = "20 minutes", part: str | None = None,
+                   max_part_rows: int | None = None):
     """``foreachBatch`` callback: touched -> recompute from all trades -> upsert."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -100,7 +102,7 @@ def upsert_handler(spark: SparkSession, read_all: Callable[[], DataFrame], targe
             if touched.isEmpty():
                 return
             all_trades = clean_trades(read_all(), width)
-            result = recompute_touched(all_trades, touched, width, as_of, horizon, part)
+            result = recompute_touched(all_trades, touched, width, as_of, horizon, part, max_part_rows)
             upsert_minutes(spark, target, result)
         finally:
             touched.unpersist()
@@ -111,11 +113,13 @@ def upsert_handler(spark: SparkSession, read_all: Callable[[], DataFrame], targe
 def stream_upsert(spark: SparkSession, trades_stream: DataFrame, read_all: Callable[[], DataFrame],
                   target: str, checkpoint: str, width: str = "1 minute",
                   as_of: datetime | None = None, horizon: str | None = "20 minutes",
-                  trigger: dict | None = None, part: str | None = None):
+                  trigger: dict | None = None, part: str | None = None,
+                  max_part_rows: int | None = None):
     """Start the speed-layer query; returns the StreamingQuery."""
     clean = clean_trades(trades_stream, width)
     writer = (clean.writeStream.outputMode("append")
-              .foreachBatch(upsert_handler(spark, read_all, target, width, as_of, horizon, part))
+              .foreachBatch(upsert_handler(spark, read_all, target, width, as_of, horizon, part,
+                                           max_part_rows))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(**(trigger or {"processingTime": "30 seconds"}))
     return writer.start()

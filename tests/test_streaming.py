@@ -114,3 +114,20 @@ def test_foreach_batch_speed_layer(spark):
     got = {r.window_start: r for r in spark.read.parquet(target).collect()}
     assert got[T0].trade_count == 2 and got[T0].close == 12.0           # recomputed in full
     assert got[T0 + dt.timedelta(minutes=1)].trade_count == 1
+
+
+def test_recompute_with_hot_part_guard_is_unchanged(spark):
+    rows = [t("BTCUSDT", i, 100 + (i * 7) % 11, 1 + i % 3, WINDOW_MS + 5_000 + (i % 9), "true" if i % 2 else "false")
+            for i in range(120)] + [t("BTCUSDT", 500, 99, 1, WINDOW_MS + 70_000)]
+    clean = clean_trades(make_trades(spark, rows))
+    touched = U.touched_minutes(clean)
+    plain = {r.window_start: r.asDict() for r in U.recompute_touched(clean, touched, horizon=None).collect()}
+    guarded = U.recompute_touched(clean, touched, horizon=None, max_part_rows=10).collect()
+    assert len(guarded) == len(plain) == 2
+    for r in guarded:
+        p = plain[r.window_start]
+        for k, v in r.asDict().items():
+            if isinstance(v, float):
+                assert abs(v - p[k]) <= 1e-12 * max(1.0, abs(v)), (k, v, p[k])
+            else:
+                assert v == p[k], (k, v, p[k])
