@@ -40,6 +40,8 @@ TARGETS = {
     "minute_bars (1 minute)": minute(lambda c: B.minute_bars(c, "1 minute")),
     "log_returns (1 minute)": minute(lambda c: B.log_returns(c, "1 minute")),
     "ohlc_bars (1 minute)": minute(B.ohlc_bars),
+    "minute_bars with the hot-part guard (1 minute, max_part_rows=2)":
+        minute(lambda c: B.minute_bars(c, "1 minute", max_part_rows=2)),
     **{k: QUERIES[k] for k in ["ofi_return_by_regime", "dim_time", "dim_asset", "latest_metadata",
                                "dq_report", "vol_by_tier", "vol_rollup_time", "symbol_coverage",
                                "recompute_touched"]},
