@@ -22,6 +22,8 @@ aggregation, so they need no sort at all.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,33 +78,53 @@ def _with_part(clean: DataFrame, width: str, part: str | None,
 
 def _split_hot_parts(parted: DataFrame, max_rows: int, ways: int) -> DataFrame:
     """Cut every part holding more than ``max_rows`` trades into ``ways``
-    contiguous sub-parts at approximate time quantiles (``_sub``; 0 elsewhere).
+    contiguous sub-parts at approximate quantiles of its (ts, trade_id)
+    order (``_sub``; 0 elsewhere).
 
     The ordered work of a part normally runs in one task; this bounds it even
     when one part holds a large share of the whole tape. Exact whatever the
     cut points: a sub-part is a contiguous run of the part's (ts, trade_id)
-    order (trades with equal ts stay together), and the stitch step adds the
-    returns across every boundary. Costs two extra aggregating passes over
-    the trades (part counts with map-side combine, then mergeable quantile
-    sketches of the hot parts only); both results are small -- at most
-    (trades / max_rows) rows -- and are checkpointed to the shared folder.
+    order, and the stitch step adds the returns across every boundary.
+
+    The quantiles are taken of one long per trade that orders like
+    (ts, trade_id) inside the part: (ts - first ts) * id span + (trade_id -
+    lowest id + 1), NULL id -> 0. It is used when it stays below 2^53 (exact
+    in the sketch's doubles; checked in decimals, so nothing overflows);
+    otherwise the key is the time offset alone and trades sharing one
+    timestamp stay together.
+
+    Costs two extra aggregating passes over the trades (part counts and
+    ranges with map-side combine, then mergeable quantile sketches of the hot
+    parts only); both results are small -- at most (trades / max_rows) rows --
+    and are checkpointed to the shared folder.
     """
     from tapecraft.session import checkpoint_root
     checkpoint_root(parted.sparkSession)
     keys = ["symbol", "minute", "_pt"]
     us = F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), F.col("ts"))
-    hot = (parted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > F.lit(max_rows)).select(*keys)
+    d = "decimal(38,0)"
+    hot = (parted.groupBy(*keys).agg(
+               F.count(F.lit(1)).alias("_n"), F.min(us).alias("_t0"), F.max(us).alias("_t1"),
+               F.min("trade_id").alias("_lo"), F.max("trade_id").alias("_hi"))
+           .where(F.col("_n") > F.lit(max_rows)))
+    id_span = F.coalesce(F.col("_hi").cast(d) - F.col("_lo").cast(d), F.lit(-1).cast(d)) + F.lit(2).cast(d)
+    t_span = F.col("_t1").cast(d) - F.col("_t0").cast(d) + F.lit(1).cast(d)
+    exact = (t_span * id_span) < F.lit(Decimal(2 ** 53)).cast(d)
+    hot = (hot.select(*keys, "_t0", "_lo", F.when(exact, id_span.cast("long")).alias("_span"))
            .checkpoint(eager=True))
+    offset = us - F.col("_t0")
+    key = F.when(F.col("_span").isNull(), offset).otherwise(
+        offset * F.col("_span") + F.coalesce(F.col("trade_id") - F.col("_lo") + F.lit(1), F.lit(0)))
     probs = [i / ways for i in range(1, ways)]
-    cuts = (join_small(parted.select(*keys, us.alias("_us")), hot, keys, "left_semi")
-            .groupBy(*keys).agg(F.percentile_approx("_us", probs, HOT_ACCURACY).alias("_cuts"))
+    cuts = (join_small(parted.select(*keys, "ts", "trade_id"), hot, keys, "inner")
+            .groupBy(*keys, "_t0", "_lo", "_span")
+            .agg(F.percentile_approx(key, probs, HOT_ACCURACY).alias("_cuts"))
             .checkpoint(eager=True))
     # a cut list is ways-1 longs: keep the broadcast side near 8 MB
     out = join_small(parted, cuts, keys, "left", max_rows=max(1, (1 << 20) // ways))
     sub = F.when(F.col("_cuts").isNull(), F.lit(0).cast("long")).otherwise(
-        F.size(F.filter("_cuts", lambda c: c <= us)).cast("long"))
-    return out.withColumn("_sub", sub).drop("_cuts")
+        F.size(F.filter("_cuts", lambda c: c <= key)).cast("long"))
+    return out.withColumn("_sub", sub).drop("_cuts", "_t0", "_lo", "_span")
 
 
 # Quantile sketch accuracy for hot-part cuts (only balance depends on it).

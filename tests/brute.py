@@ -16,7 +16,8 @@ def bars(trades, width_ms):
         groups[(t["symbol"], start)].append(t)
     out = {}
     for key, ts in groups.items():
-        ts = sorted(ts, key=lambda t: (t["trade_time"], t["trade_id"]))
+        # (trade_time, trade_id) ascending, NULL trade_id first (as Spark sorts)
+        ts = sorted(ts, key=lambda t: (t["trade_time"], t["trade_id"] is not None, t["trade_id"] or 0))
         p = [t["price"] for t in ts]
         q = [t["quantity"] for t in ts]
         rets = [math.log(p[i] / p[i - 1]) for i in range(1, len(p))]

@@ -283,3 +283,32 @@ def test_hot_part_split_into_sub_parts(spark):
         p = plain[(r.symbol, r.trade_id)]
         for f in ("prev_price", "log_ret", "prev_abs_ret", "bipower_term"):
             assert close(getattr(r, f), getattr(p, f)), (f, r, p)
+
+
+@pytest.mark.parametrize("ids", ["dense", "extreme"])
+def test_hot_part_with_one_timestamp(spark, ids):
+    """All trades of the hot part share one timestamp: with a dense id range
+    the part is still cut (by trade_id); with ids spanning the whole long
+    range the key falls back to time only. Both stay exact."""
+    rnd = random.Random(31)
+    n = 400
+    tids = list(range(1000, 1000 + n)) if ids == "dense" else \
+        [(-2 ** 63 if i == 0 else 2 ** 63 - 1 if i == 1 else rnd.randint(-2 ** 62, 2 ** 62)) for i in range(n)]
+    hot = [("BTCUSDT", tid, f"{round(rnd.uniform(99, 101), 2)}", "1", WINDOW_MS + 3000, "false") for tid in tids]
+    rows = hot + [("BTCUSDT", 7, "100", "1", WINDOW_MS + 100, "true"), ("BTCUSDT", None, "101", "1", WINDOW_MS + 3000, "true")]
+    clean = clean_trades(make_trades(spark, rows))
+    parted = B._with_part(clean, "1 minute", None, max_part_rows=20, hot_ways=8)
+    sizes = [r["count"] for r in parted.groupBy("symbol", "minute", "part").count().collect()]
+    if ids == "dense":
+        assert max(sizes) <= 2 * n // 8
+    else:
+        assert max(sizes) == n + 1
+    expect = brute.bars(_as_dicts_nullable(rows), 60_000)
+    (got,) = B.minute_bars(clean, "1 minute", max_part_rows=20, hot_ways=8).collect()
+    ((_, e),) = expect.items()
+    check(got, e)
+
+
+def _as_dicts_nullable(rows):
+    return [dict(symbol=s, trade_id=i, price=float(p), quantity=float(q), trade_time=t, buy=(m == "false"))
+            for s, i, p, q, t, m in rows]
