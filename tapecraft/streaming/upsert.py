@@ -70,8 +70,11 @@ def upsert_minutes(spark: SparkSession, target: str, updates: DataFrame, keys=KE
     """Keyed update-or-insert of ``updates`` into the parquet table at ``target``.
 
     Only the ``partition_col`` partitions named by the updates are read and
-    rewritten. The merged rows are checkpointed (shared checkpoint dir) before
-    the overwrite so the write never reads the files it replaces.
+    rewritten. The updates (one row per updated key) are checkpointed once,
+    as the merge reads them three times (days, keys, rows) and they are
+    usually a recomputation from raw trades; the merged rows are checkpointed
+    too (shared checkpoint dir) before the overwrite so the write never reads
+    the files it replaces.
     """
     ups = updates.withColumn(partition_col, F.date_format(F.col(day_of), "yyyy-MM-dd"))
     if not _exists(spark, target):
@@ -79,6 +82,7 @@ def upsert_minutes(spark: SparkSession, target: str, updates: DataFrame, keys=KE
         return
     from tapecraft.session import checkpoint_root
     checkpoint_root(spark)
+    ups = ups.checkpoint(eager=True)
     current = spark.read.parquet(target)
     days = ups.select(partition_col).distinct()
     kept = (current.join(days, partition_col, "left_semi")
