@@ -19,6 +19,12 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state (open parts and windows per symbol) in RocksDB: off the
+    # JVM heap, spills to local disk, and checkpoints as incremental changelogs
+    # into the shared checkpoint location instead of full snapshots.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
