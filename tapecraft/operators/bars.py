@@ -64,10 +64,12 @@ def _with_part(clean: DataFrame, width: str, part: str | None,
         raise ValueError(f"part {part!r} must divide window width {width!r}")
     if not 2 <= hot_ways <= 1 << SUB_BITS:
         raise ValueError(f"hot_ways must be in [2, {1 << SUB_BITS}]")
-    # the buy flag travels through the shuffle as a boolean, not the side text
+    # the side travels through the shuffle as one nullable boolean (BUY true,
+    # SELL false, anything else NULL: counted as neither), not as text
+    side = F.col("side")
     out = (clean.withColumn("_pt", F.window("ts", part).start)
-           .withColumn("_buy", F.col("side") == F.lit(BUY))
-           .withColumn("_sell", F.col("side") == F.lit(SELL)))
+           .withColumn("_buy", F.when(side == F.lit(BUY), F.lit(True))
+                       .when(side == F.lit(SELL), F.lit(False))))
     sub = F.lit(0).cast("long")
     if max_part_rows is not None:
         out = _split_hot_parts(out, max_part_rows, hot_ways)
@@ -159,7 +161,7 @@ def _part_summaries(rets: DataFrame) -> DataFrame:
         F.sum(q).alias("volume"),
         F.sum(p * q).alias("notional"),
         F.sum(F.when(F.col("_buy"), q).otherwise(F.lit(0.0))).alias("buy_volume"),
-        F.sum(F.when(F.col("_sell"), q).otherwise(F.lit(0.0))).alias("sell_volume"),
+        F.sum(F.when(~F.col("_buy"), q).otherwise(F.lit(0.0))).alias("sell_volume"),
     )
 
 

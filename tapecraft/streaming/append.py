@@ -40,7 +40,7 @@ def _seq_sum(arr: Column, f) -> Column:
 
 def part_summary(trades: Column) -> dict[str, Column]:
     """Summary of one part from its array of trade structs (ts, trade_id, price,
-    quantity, side); sums run in (ts, trade_id) order like the batch reducer."""
+    quantity, buy); sums run in (ts, trade_id) order like the batch reducer."""
     s = F.array_sort(trades)
     p = F.transform(s, lambda x: x["price"])
     q = lambda x: x["quantity"]
@@ -61,8 +61,8 @@ def part_summary(trades: Column) -> dict[str, Column]:
         "low": F.array_min(p),
         "volume": _seq_sum(s, q),
         "notional": _seq_sum(s, lambda x: x["price"] * q(x)),
-        "buy_volume": _seq_sum(s, lambda x: F.when(x["side"] == BUY, q(x)).otherwise(F.lit(0.0))),
-        "sell_volume": _seq_sum(s, lambda x: F.when(x["side"] == SELL, q(x)).otherwise(F.lit(0.0))),
+        "buy_volume": _seq_sum(s, lambda x: F.when(x["buy"], q(x)).otherwise(F.lit(0.0))),
+        "sell_volume": _seq_sum(s, lambda x: F.when(~x["buy"], q(x)).otherwise(F.lit(0.0))),
     }
 
 
@@ -98,7 +98,9 @@ def stream_minute_append(clean_stream: DataFrame, width: str = "1 minute",
     """Streaming bars in append mode (speed-layer shape; ``bipower=True`` adds
     bipower_variation and jump_component; ``empty_vwap`` as in ``minute_bars``)."""
     part = part or default_part(width)
-    trade = F.struct("ts", "trade_id", "price", "quantity", "side")
+    # side kept in state as one nullable boolean (BUY true, SELL false), not text
+    buy = F.when(F.col("side") == F.lit(BUY), F.lit(True)).when(F.col("side") == F.lit(SELL), F.lit(False))
+    trade = F.struct("ts", "trade_id", "price", "quantity", buy.alias("buy"))
     # Watermarks need an instant (TIMESTAMP) column; windows are epoch aligned,
     # so their bounds equal the NTZ windows of the batch path in a UTC session.
     lvl1 = (
