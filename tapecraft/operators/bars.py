@@ -102,31 +102,32 @@ def _split_hot_parts(parted: DataFrame, max_rows: int, ways: int) -> DataFrame:
     """
     from tapecraft.session import checkpoint_root
     checkpoint_root(parted.sparkSession)
-    keys = ["symbol", "minute", "_pt"]
+    # one struct key: grouping and joins on it match NULL fields (a NULL symbol)
+    parted = parted.withColumn("_pk", F.struct("symbol", "minute", "_pt"))
     us = F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), F.col("ts"))
     d = "decimal(38,0)"
-    hot = (parted.groupBy(*keys).agg(
+    hot = (parted.groupBy("_pk").agg(
                F.count(F.lit(1)).alias("_n"), F.min(us).alias("_t0"), F.max(us).alias("_t1"),
                F.min("trade_id").alias("_lo"), F.max("trade_id").alias("_hi"))
            .where(F.col("_n") > F.lit(max_rows)))
     id_span = F.coalesce(F.col("_hi").cast(d) - F.col("_lo").cast(d), F.lit(-1).cast(d)) + F.lit(2).cast(d)
     t_span = F.col("_t1").cast(d) - F.col("_t0").cast(d) + F.lit(1).cast(d)
     exact = (t_span * id_span) < F.lit(Decimal(2 ** 53)).cast(d)
-    hot = (hot.select(*keys, "_t0", "_lo", F.when(exact, id_span.cast("long")).alias("_span"))
+    hot = (hot.select("_pk", "_t0", "_lo", F.when(exact, id_span.cast("long")).alias("_span"))
            .checkpoint(eager=True))
     offset = us - F.col("_t0")
     key = F.when(F.col("_span").isNull(), offset).otherwise(
         offset * F.col("_span") + F.coalesce(F.col("trade_id") - F.col("_lo") + F.lit(1), F.lit(0)))
     probs = [i / ways for i in range(1, ways)]
-    cuts = (join_small(parted.select(*keys, "ts", "trade_id"), hot, keys, "inner")
-            .groupBy(*keys, "_t0", "_lo", "_span")
+    cuts = (join_small(parted.select("_pk", "ts", "trade_id"), hot, "_pk", "inner")
+            .groupBy("_pk", "_t0", "_lo", "_span")
             .agg(F.percentile_approx(key, probs, HOT_ACCURACY).alias("_cuts"))
             .checkpoint(eager=True))
     # a cut list is ways-1 longs: keep the broadcast side near 8 MB
-    out = join_small(parted, cuts, keys, "left", max_rows=max(1, (1 << 20) // ways))
+    out = join_small(parted, cuts, "_pk", "left", max_rows=max(1, (1 << 20) // ways))
     sub = F.when(F.col("_cuts").isNull(), F.lit(0).cast("long")).otherwise(
         F.size(F.filter("_cuts", lambda c: c <= key)).cast("long"))
-    return out.withColumn("_sub", sub).drop("_cuts", "_t0", "_lo", "_span")
+    return out.withColumn("_sub", sub).drop("_pk", "_cuts", "_t0", "_lo", "_span")
 
 
 # Quantile sketch accuracy for hot-part cuts (only balance depends on it).

@@ -312,3 +312,19 @@ def test_hot_part_with_one_timestamp(spark, ids):
 def _as_dicts_nullable(rows):
     return [dict(symbol=s, trade_id=i, price=float(p), quantity=float(q), trade_time=t, buy=(m == "false"))
             for s, i, p, q, t, m in rows]
+
+
+def test_hot_part_with_null_symbol_is_split(spark):
+    rnd = random.Random(41)
+    rows = [(None, i, f"{round(rnd.uniform(99, 101), 2)}", "1", WINDOW_MS + 9000 + i % 50, "true")
+            for i in range(300)] + [("BTCUSDT", 1, "100", "1", WINDOW_MS + 9000, "false")]
+    clean = clean_trades(make_trades(spark, rows))
+    parted = B._with_part(clean, "1 minute", None, max_part_rows=20, hot_ways=6)
+    sizes = [r["count"] for r in parted.where(F.col("symbol").isNull())
+             .groupBy("symbol", "minute", "part").count().collect()]
+    assert len(sizes) > 1 and max(sizes) <= 2 * 300 // 6
+    expect = brute.bars(_as_dicts(rows), 60_000)
+    got = {(r.symbol, r.minute): r for r in B.minute_bars(clean, "1 minute", max_part_rows=20, hot_ways=6).collect()}
+    assert len(got) == len(expect) == 2
+    for (sym, start), e in expect.items():
+        check(got[(sym, dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=start))], e)
