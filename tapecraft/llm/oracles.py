@@ -50,3 +50,63 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          AND c5 <= 0.40 * word_chars AND c7 <= 0.36 * word_chars AND c10 <= 0.32 * word_chars AS kept
 FROM m
 """
+
+MIX_SOURCES = r"""
+WITH d AS (
+  SELECT doc_id, source,
+         sum(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0))::BIGINT AS size
+  FROM documents GROUP BY doc_id, source
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) AS r FROM d GROUP BY source
+), w AS (
+  SELECT *, CASE (r - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight,
+         (2 * source_size)::DOUBLE AS cap FROM s
+), f AS (
+  SELECT *, (1.5::DOUBLE * (SELECT sum(source_size) FROM s)
+             - coalesce(sum(cap) OVER before, 0.0::DOUBLE))
+            / ((SELECT sum(weight) FROM w) - coalesce(sum(weight) OVER before, 0.0::DOUBLE)) AS level
+  FROM w WINDOW before AS (ORDER BY cap / weight, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), g AS (
+  SELECT *, CASE WHEN cap / weight <= level THEN cap
+                 ELSE weight * (SELECT arg_min(level, (cap / weight, r)) FROM f WHERE cap / weight > level) END AS target
+  FROM f
+), t AS (
+  SELECT source, source_size, target, r, round(target)::BIGINT AS words,
+         ceil(round(target) / 1024)::BIGINT AS blocks FROM g
+), k AS (SELECT sum(blocks)::BIGINT AS n FROM t
+), reach AS (
+  SELECT *, coalesce(lag(hi) OVER (ORDER BY r), 0) AS lo FROM (
+    SELECT *, floor(sum(blocks) OVER (ORDER BY r) * 2147483648.0::DOUBLE / (SELECT greatest(n, 1)::DOUBLE FROM k))::BIGINT AS hi
+    FROM t WHERE blocks > 0)
+), slots AS (
+  SELECT i AS slot, (i % 2147483648) * 1327217885 % 2147483648 AS u
+  FROM (SELECT unnest(range(0, (SELECT coalesce(n, 0) FROM k))) AS i)
+), dealt AS (
+  SELECT source, blocks, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS block
+  FROM slots JOIN reach ON u >= lo AND u < hi
+), schedule AS (
+  SELECT source, block FROM dealt WHERE block < blocks
+  UNION ALL
+  SELECT source, unnest(range(least(coalesce(n, 0), blocks), blocks)) AS block
+  FROM t LEFT JOIN (SELECT source AS s2, count(*) AS n FROM dealt GROUP BY source) q ON source IS NOT DISTINCT FROM s2
+), streams AS (
+  SELECT d.doc_id, d.source, d.size, words, e * source_size + coalesce(sum(d.size) OVER (
+           PARTITION BY d.source, e ORDER BY md5(coalesce(doc_id::VARCHAR, '') || ':' || e::VARCHAR), doc_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source CROSS JOIN (VALUES (0), (1)) AS epochs(e)
+  WHERE d.size > 0 AND e * source_size < words
+), pieces AS (
+  SELECT doc_id, source, a, least(a + size, words) AS b,
+         unnest(range((a // 1024)::BIGINT, ((least(a + size, words) - 1) // 1024 + 1)::BIGINT)) AS block
+  FROM streams WHERE a < words
+), taken AS (
+  SELECT p.doc_id, p.source,
+         sum(least(b, (p.block + 1) * 1024) - greatest(a, p.block * 1024)) AS taken
+  FROM pieces p JOIN schedule s ON p.source IS NOT DISTINCT FROM s.source AND p.block = s.block
+  GROUP BY p.doc_id, p.source
+)
+SELECT d.doc_id, d.source, d.size, t.source_size, t.target, coalesce(k.taken, 0)::BIGINT AS taken
+FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+LEFT JOIN taken k ON d.doc_id IS NOT DISTINCT FROM k.doc_id AND d.source IS NOT DISTINCT FROM k.source
+"""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tapecraft.llm import oracles
+from tapecraft.llm.mixing import mix_sources
 from tapecraft.llm.repetition import repetition_rules
+from tapecraft.llm.token_files import encode_to_files, read_token_files
+from tapecraft.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,10 +21,23 @@ def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shards = encode_to_files(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"),
+                             public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_token_files(spark, shards)
+
+
 LLM_QUERIES = {
+    "op4_mix_sources": op4_mix_sources,
     "op6_repetition_rules": op6_repetition_rules,
+    "op8_token_files": op8_token_files,
 }
 
 LLM_ORACLES = {
+    "op4_mix_sources": oracles.MIX_SOURCES,
     "op6_repetition_rules": oracles.REPETITION_RULES,
 }
