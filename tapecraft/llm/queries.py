@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tapecraft.llm import oracles
 from tapecraft.llm.mixing import mix_sources
+from tapecraft.llm.ngram_join import near_duplicates
 from tapecraft.llm.repetition import repetition_rules
 from tapecraft.llm.token_files import encode_to_files, read_token_files
 from tapecraft.session import scratch_path
@@ -31,10 +32,15 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, shards)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op6_repetition_rules": op6_repetition_rules,
     "op8_token_files": op8_token_files,
+    "op9_ngram_join": op9_ngram_join,
 }
 
 LLM_ORACLES = {
