@@ -36,7 +36,9 @@ import zlib
 from array import array
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -50,7 +52,7 @@ LEVEL = 3
 DICTIONARY_BYTES = 64 << 10
 DICTIONARY_SAMPLE = 1000
 DICTIONARY_LEAST = 16
-PIECES_KEPT = 500_000
+PIECES_KEPT = 1_200_000
 INDEX_ROW = np.dtype([("doc_id", "<i8"), ("present", "u1"), ("position", "<i8"), ("offset", "<i8")])
 
 
@@ -58,14 +60,29 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 
 
 class PieceEncoder:
-    """Serialised ids of texts, from a bounded dictionary of pieces encoded by the tokenizers library."""
+    """Serialised ids of texts, from a bounded dictionary of pieces encoded by the tokenizers library.
+
+    For byte-level BPE files that split by the usual pattern. A piece of Latin
+    letters, or of matches of the pattern below U+0250, goes straight to the
+    file's BPE model; any other piece, or one that holds a special token's
+    string, goes through the whole tokenizer.
+    """
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        if self.tokenizer.normalizer is not None or "ByteLevel" not in str(self.tokenizer.pre_tokenizer):
+            raise ValueError(f"{tokenizer_file} is not a plain byte-level BPE tokenizer")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.matches = regex.compile(public_tokenizers.PATTERN).findall
+        # the printable stand-ins of bytes: Latin-1 graphic characters for themselves, the others from U+0100 on
+        graphic = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = (b for b in range(256) if b not in graphic)
+        self.stand_in = {b: chr(256 + k) for k, b in enumerate(others)}
         self.kept: dict[str, bytes] = {}
 
     @classmethod
@@ -81,31 +98,34 @@ class PieceEncoder:
             packed.byteswap()
         return packed.tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [split_pieces(t) for t in texts]
+    def _model_ids(self, match: str) -> bytes:
+        found = self.kept.get(match)
+        if found is None:
+            as_bytes = match.encode().decode("latin-1").translate(self.stand_in)
+            found = self.kept[match] = self.serialise([t.id for t in self.model.tokenize(as_bytes)])
+        return found
+
+    def _piece_ids(self, piece: str) -> bytes:
+        if max(piece) >= "\u0250" or any(s in piece for s in self.special):
+            return self.serialise(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        if (piece[1:] if piece[0] == " " else piece).isalpha():
+            return self._model_ids(piece)
+        return b"".join([self._model_ids(m) for m in self.matches(piece)])
+
+    def encode(self, text: str) -> bytes:
         kept = self.kept
-        fresh = list({p for pieces in cut for p in pieces}.difference(kept))
-        if len(kept) + len(fresh) > PIECES_KEPT:
+        if len(kept) > PIECES_KEPT:
             kept.clear()
-            fresh = list({p for pieces in cut for p in pieces})
-        for at in range(0, len(fresh), 10_000):
-            some = fresh[at:at + 10_000]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                kept[piece] = self.serialise(found.ids)
-        return [b"".join([kept[p] for p in pieces]) for pieces in cut]
-
-
-def _batches_of(rows, limit=4 << 20):
-    """Group (doc_id, text) rows by total text size."""
-    held, size = [], 0
-    for row in rows:
-        held.append(row)
-        size += len(row[1])
-        if size >= limit:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+        pieces = split_pieces(text)
+        found = list(map(kept.get, pieces))
+        if None in found:
+            for k, x in enumerate(found):
+                if x is None:
+                    piece = pieces[k]
+                    found[k] = kept.get(piece)
+                    if found[k] is None:
+                        found[k] = kept[piece] = self._piece_ids(piece) if piece else b""
+        return b"".join(found)
 
 
 def _rows(batches):
@@ -123,9 +143,9 @@ def train_dictionary(docs: DataFrame, tokenizer_file: str, end_id: int) -> bytes
     def serialise(batches):
         encoder = PieceEncoder.of(tokenizer_file)
         end = encoder.serialise([end_id])
-        for some in _batches_of(_rows(batches)):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x + end for x in encoder.encode([t for _, t in some])], pa.binary())], names=["ids"])
+        for batch in batches:
+            ids = [encoder.encode(t or "") + end for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
 
     sample = (docs.filter(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(every)) == 0)
               .select("doc_id", "text").mapInArrow(serialise, "ids binary"))
@@ -151,15 +171,14 @@ def _write_shard(batches, folder, tokenizer_file, end_id, dictionary, dictionary
 
     def chunks():
         offset = 0
-        for some in _batches_of(_rows(batches)):
-            for (doc_id, _), body in zip(some, encoder.encode([t for _, t in some])):
-                ids = body + end
-                frame = compressor.compress(ids)
-                index.append((doc_id or 0, doc_id is not None, totals["ids"], offset))
-                totals["documents"] += 1
-                totals["ids"] += len(ids) // encoder.width
-                offset += len(frame)
-                yield frame
+        for doc_id, text in _rows(batches):
+            ids = encoder.encode(text) + end
+            frame = compressor.compress(ids)
+            index.append((doc_id or 0, doc_id is not None, totals["ids"], offset))
+            totals["documents"] += 1
+            totals["ids"] += len(ids) // encoder.width
+            offset += len(frame)
+            yield frame
         table = np.array(index, INDEX_ROW).tobytes()
         header = json.dumps({"width": encoder.width, "dictionary": dictionary_hash, **totals}).encode()
         yield table + header + struct.pack("<QQQ", offset, len(table), len(header)) + MAGIC
