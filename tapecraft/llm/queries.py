@@ -10,6 +10,7 @@ from tapecraft.llm.mixing import mix_sources
 from tapecraft.llm.ngram_join import near_duplicates
 from tapecraft.llm.repetition import repetition_rules
 from tapecraft.llm.token_files import encode_to_files, read_token_files
+from tapecraft.llm.warc import archive_round_trip
 from tapecraft.session import scratch_path
 
 
@@ -26,6 +27,10 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(spark, _table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = encode_to_files(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"),
                              public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
@@ -39,6 +44,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op6_repetition_rules": op6_repetition_rules,
+    "op7_warc_index": op7_warc_index,
     "op8_token_files": op8_token_files,
     "op9_ngram_join": op9_ngram_join,
 }
