@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tapecraft.llm import oracles
+from tapecraft.llm.hnsw import nearest_neighbours
 from tapecraft.llm.mixing import mix_sources
 from tapecraft.llm.ngram_join import near_duplicates
 from tapecraft.llm.repetition import repetition_rules
@@ -23,6 +25,10 @@ def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(spark, _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +48,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_hnsw_shards": op2_hnsw_shards,
     "op4_mix_sources": op4_mix_sources,
     "op6_repetition_rules": op6_repetition_rules,
     "op7_warc_index": op7_warc_index,
