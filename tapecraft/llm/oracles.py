@@ -110,3 +110,83 @@ SELECT d.doc_id, d.source, d.size, t.source_size, t.target, coalesce(k.taken, 0)
 FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 LEFT JOIN taken k ON d.doc_id IS NOT DISTINCT FROM k.doc_id AND d.source IS NOT DISTINCT FROM k.source
 """
+
+URL_FILTERS = r"""
+WITH p AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST(((page_id % 366) + 366) % 366 AS INTEGER) AS fetched,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS seg
+  FROM pages
+), rules AS (
+  SELECT host AS rule FROM p UNION SELECT regexp_extract(host, '[^.]+\.[^.]+$') FROM p
+  UNION SELECT host || '/' || seg[1] FROM p WHERE len(seg) > 0
+), log AS (
+  SELECT 'list' || (('0x' || substr(md5(rule), 1, 4))::INTEGER % 3) AS list, rule,
+         n % 2 = 0 AS adds, DATE '2024-01-01' + ('0x' || substr(md5(rule || '#' || n), 5, 4))::INTEGER % 366 AS day
+  FROM rules CROSS JOIN (SELECT unnest(range(0, 4)) AS n) AS numbers
+  WHERE rule IS NOT NULL AND rule <> '' AND ('0x' || substr(md5(rule || '#' || n), 1, 4))::INTEGER % 2 = 0
+), states AS (
+  SELECT list, rule, day, bool_and(adds) AS on_list FROM log GROUP BY list, rule, day
+), keys AS (
+  SELECT DISTINCT page_id, url, fetched, array_to_string(list_slice(l, len(l) - n + 1, len(l)), '.') AS key
+  FROM (SELECT *, string_split(host, '.') AS l FROM p WHERE host <> '') CROSS JOIN (SELECT unnest(range(1, 5)) AS n) AS numbers
+  WHERE n <= len(l)
+  UNION SELECT page_id, url, fetched, host || '/' || seg[1] FROM p WHERE host <> '' AND len(seg) > 0
+), asof_state AS (
+  SELECT k.page_id, k.url, k.fetched, s.list, s.rule, s.on_list
+  FROM keys k ASOF JOIN states s ON k.key = s.rule AND k.fetched >= s.day
+), active AS (
+  SELECT a.page_id, a.url, a.fetched, a.list, a.rule,
+         (SELECT min(s.day) FROM states s WHERE s.rule = a.rule AND s.list = a.list AND s.on_list AND s.day <= a.fetched
+            AND s.day > coalesce((SELECT max(o.day) FROM states o WHERE o.rule = a.rule AND o.list = a.list
+                                  AND NOT o.on_list AND o.day <= a.fetched), DATE '1900-01-01')) AS since
+  FROM asof_state a WHERE on_list
+), best AS (
+  SELECT page_id, url, fetched, count(*) AS n, arg_min({'list': list, 'rule': rule, 'since': since},
+         (-length(rule), list, rule)) AS b
+  FROM active GROUP BY page_id, url, fetched
+)
+SELECT p.page_id, p.url, p.fetched, coalesce(n, 0)::BIGINT AS n_rules, n IS NOT NULL AS blocked,
+       b.list AS list, b.rule AS rule, b.since AS since
+FROM p LEFT JOIN best USING (page_id, url, fetched)
+"""
+
+LICENSE_SCAN = r"""
+WITH templates(license, wording) AS (VALUES
+  ('Apache-2.0', 'Licensed under the Apache License, Version 2.0'),
+  ('Apache-2.0', 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'),
+  ('BSD-3-Clause', 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met'),
+  ('CC-BY-4.0', 'This work is licensed under a Creative Commons Attribution 4.0 International License'),
+  ('CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0'),
+  ('CC-BY-SA-4.0', 'Licensed under CC BY-SA 4.0'),
+  ('GPL-2.0', 'This work is licensed under the GNU General Public License, version 2'),
+  ('GPL-3.0', 'This work is licensed under the GNU General Public License, version 3'),
+  ('ISC', 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.'),
+  ('LGPL-3.0', 'This library is licensed under the GNU Lesser General Public License, version 3'),
+  ('MIT', 'Released under the MIT License'),
+  ('MIT', 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction'),
+  ('MPL-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.'),
+  ('Unlicense', 'This is free and unencumbered software released into the public domain.')
+), units AS (
+  SELECT doc_id, 0 AS line, text AS unit FROM documents WHERE contains(text, chr(10))
+  UNION ALL
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS unit
+  FROM documents WHERE text IS NOT NULL
+), words AS (
+  SELECT doc_id, line, list_filter(string_split(regexp_replace(lower(unit), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: w <> '') AS w
+  FROM units
+), sets AS (
+  SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM words WHERE len(w) > 1
+), tw AS (
+  SELECT license, list_filter(string_split(regexp_replace(lower(wording), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: w <> '') AS w FROM templates
+), tsets AS (
+  SELECT license, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS t FROM tw
+), scored AS (
+  SELECT doc_id, line, license, len(list_intersect(b, t))::BIGINT AS shared,
+         2.0::DOUBLE * len(list_intersect(b, t)) / (len(b) + len(t)) AS dice
+  FROM sets JOIN tsets ON len(b) <= 1.5 * len(t) + 0.001 AND len(t) <= 1.5 * len(b) + 0.001
+)
+SELECT doc_id, line::BIGINT AS line, license, shared, dice
+FROM scored WHERE dice >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license, shared) = 1
+"""

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from tapecraft.llm import oracles
 from tapecraft.llm.hnsw import nearest_neighbours
+from tapecraft.llm.license_scan import license_scan
 from tapecraft.llm.mixing import mix_sources
 from tapecraft.llm.ngram_join import near_duplicates
 from tapecraft.llm.repetition import repetition_rules
 from tapecraft.llm.token_files import encode_to_files, read_token_files
+from tapecraft.llm.url_filters import fetch_days, judge_captures, list_log, validity_intervals
 from tapecraft.llm.warc import archive_round_trip
 from tapecraft.session import scratch_path
 
@@ -25,10 +27,19 @@ def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_captures(fetch_days(pages), validity_intervals(list_log(pages)))
+
+
 def op2_hnsw_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(spark, _table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -48,7 +59,9 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_url_filters": op1_url_filters,
     "op2_hnsw_shards": op2_hnsw_shards,
+    "op3_license_scan": op3_license_scan,
     "op4_mix_sources": op4_mix_sources,
     "op6_repetition_rules": op6_repetition_rules,
     "op7_warc_index": op7_warc_index,
@@ -57,6 +70,8 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLES = {
+    "op1_url_filters": oracles.URL_FILTERS,
+    "op3_license_scan": oracles.LICENSE_SCAN,
     "op4_mix_sources": oracles.MIX_SOURCES,
     "op6_repetition_rules": oracles.REPETITION_RULES,
 }
