@@ -4,6 +4,9 @@ Units are the lines of a text and the whole text. A unit is lower-cased, runs of
 other characters than letters and digits become one space, and its set of word
 bigrams is compared with each template's: ``2 * shared / (own + template)``.
 
+First a text must hold a telling bigram: a match holds so many of a template's
+bigrams that it cannot miss all of a chosen few. Texts without any are done.
+
 Size bounds: a coefficient of t needs set sizes within a factor of (2 - t) / t of
 each other, so a unit only meets templates of a fitting size. Before its bigrams
 are made, a unit already falls to the bounds by its word count (a lower one) and
@@ -20,6 +23,7 @@ whole; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -56,8 +60,27 @@ def template_bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
+def signature(bigrams: list[str], least: float) -> list[str]:
+    """Bigrams of which any unit that matches must hold one.
+
+    A match holds at least ``least / (2 - least)`` of the template's bigrams, so
+    it cannot avoid a larger part than the rest; the longest are the rarest.
+    """
+    held = math.ceil(len(bigrams) * least / (2 - least) - 1e-9)
+    return sorted(bigrams, key=lambda b: (-len(b), b))[:len(bigrams) - held + 1]
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` with the value computed once: in higher-order functions a repeated expression runs repeatedly."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _normal(unit: Column) -> Column:
+    return F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " ")
+
+
 def _words(unit: Column) -> Column:
-    return F.filter(F.split(F.regexp_replace(F.lower(unit), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+    return F.filter(F.split(_normal(unit), " "), lambda w: w != "")
 
 
 def _bigrams(words: Column) -> Column:
@@ -65,33 +88,43 @@ def _bigrams(words: Column) -> Column:
                                         lambda w, i: F.concat(F.get(words, i), F.lit(" "), w)))
 
 
-def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, least: float = LEAST_DICE) -> DataFrame:
-    """``doc_id, line, license, shared, dice``: units that match a template; line 0 is the whole text."""
-    known = [(name, template_bigrams(text)) for name, text in (templates or TEMPLATES)]
-    sizes = [len(b) for _, b in known]
+def best_template(unit: Column, templates: list[tuple[str, list[str]]], least: float) -> Column:
+    """An array with the best matching template of a unit (``dice, license, shared``), or an empty one."""
+    table = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(len(bigrams)).alias("n"),
+                               F.array(*[F.lit(b) for b in bigrams]).alias("bigrams")) for name, bigrams in templates])
+    sizes = [len(b) for _, b in templates]
     ratio = (2 - least) / least
     low, high = min(sizes) / ratio, max(sizes) * ratio
+    nothing = F.array().cast("array<struct<dice:double,license:string,shared:bigint>>")
+
+    def compare(bigrams: Column) -> Column:
+        own = F.size(bigrams)
+        fitting = F.filter(table, lambda t: (own * F.lit(ratio) >= t["n"]) & (own <= t["n"] * F.lit(ratio)))
+        scored = F.transform(fitting, lambda t: _let(
+            F.size(F.array_intersect(bigrams, t["bigrams"])), lambda shared: F.struct(
+                (2.0 * shared / (own + t["n"])).alias("dice"), t["license"].alias("license"),
+                shared.cast("long").alias("shared"))))
+        good = F.filter(scored, lambda m: m["dice"] >= F.lit(least))
+        ranked = F.array_sort(good, lambda x, y: F.when(x["dice"] > y["dice"], -1).when(x["dice"] < y["dice"], 1)
+                              .when(x["license"] < y["license"], -1).when(x["license"] > y["license"], 1).otherwise(0))
+        return F.slice(ranked, F.lit(1), F.lit(1))
+
+    def of_words(words: Column) -> Column:
+        # n distinct bigrams lie between the distinct words less one and the words less one
+        few = F.size(words) - 1 < F.lit(low)
+        return F.when(few, nothing).when(F.size(F.array_distinct(words)) - 1 > F.lit(high), nothing).otherwise(
+            _let(_bigrams(words), compare))
+
+    return _let(_words(unit), of_words)
 
+
+def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, least: float = LEAST_DICE) -> DataFrame:
+    """``doc_id, line, license, shared, dice``: units that match a template; line 0 is the whole text."""
+    known = [(name, template_bigrams(text)) for name, text in (templates or TEMPLATES)]
+    marks = F.array(*[F.lit(b) for b in sorted({b for _, t in known for b in signature(t, least)})])
+    worth = _let(_normal(F.col("text")), lambda t: F.exists(marks, lambda b: F.contains(t, b)))
     lines = F.split(F.col("text"), "\n")
-    units = F.when(F.size(lines) > 1, F.concat(F.array(F.col("text")), lines)).otherwise(
-        F.concat(F.array(F.lit("")), lines))
-    rows = (docs.filter("text IS NOT NULL").select("doc_id", F.posexplode(units).alias("line", "unit"))
-            .select("doc_id", "line", _words(F.col("unit")).alias("words")))
-    # n distinct bigrams lie between the distinct words less one and the words less one
-    rows = rows.filter((F.size("words") - 1 >= F.lit(low)) & (F.size(F.array_distinct("words")) - 1 <= F.lit(high)))
-    rows = rows.select("doc_id", "line", _bigrams(F.col("words")).alias("bigrams"))
-    rows = rows.withColumn("own", F.size("bigrams")).filter((F.col("own") >= low) & (F.col("own") <= high))
-
-    def against(name: str, bigrams: list[str]) -> Column:
-        fits = (F.col("own") * F.lit(ratio) >= len(bigrams)) & (F.col("own") <= F.lit(len(bigrams) * ratio))
-        shared = F.size(F.array_intersect("bigrams", F.array(*[F.lit(b) for b in bigrams])))
-        return F.when(fits, F.struct((2.0 * shared / (F.col("own") + F.lit(len(bigrams)))).alias("dice"),
-                                     F.lit(name).alias("license"), shared.cast("long").alias("shared")))
-
-    # the best first: highest coefficient, then name
-    found = F.array(*[against(*k) for k in known])
-    good = F.filter(found, lambda m: m["dice"] >= F.lit(least))
-    best = F.get(F.sort_array(F.transform(good, lambda m: F.struct(
-        (-m["dice"]).alias("k"), m["license"].alias("license"), m["shared"].alias("shared"), m["dice"].alias("dice")))), F.lit(0))
-    return (rows.select("doc_id", "line", best.alias("m")).filter("m IS NOT NULL")
+    units = F.concat(F.array(F.when(F.contains("text", F.lit("\n")), F.col("text")).otherwise("")), lines)
+    return (docs.filter(worth).select("doc_id", F.posexplode(units).alias("line", "unit"))
+            .select("doc_id", "line", F.explode(best_template(F.col("unit"), known, least)).alias("m"))
             .select("doc_id", F.col("line").cast("long").alias("line"), "m.license", "m.shared", "m.dice"))
