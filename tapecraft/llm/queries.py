@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tapecraft.llm import oracles
 from tapecraft.llm.hnsw import nearest_neighbours
+from tapecraft.llm.language_id import identify_languages
 from tapecraft.llm.license_scan import license_scan
 from tapecraft.llm.mixing import mix_sources
 from tapecraft.llm.ngram_join import near_duplicates
@@ -22,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_table(spark, sf_dir, "documents"))
+
+
 def op6_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -63,6 +68,7 @@ LLM_QUERIES = {
     "op2_hnsw_shards": op2_hnsw_shards,
     "op3_license_scan": op3_license_scan,
     "op4_mix_sources": op4_mix_sources,
+    "op5_language_id": op5_language_id,
     "op6_repetition_rules": op6_repetition_rules,
     "op7_warc_index": op7_warc_index,
     "op8_token_files": op8_token_files,
