@@ -52,7 +52,7 @@ LEVEL = 3
 DICTIONARY_BYTES = 64 << 10
 DICTIONARY_SAMPLE = 1000
 DICTIONARY_LEAST = 16
-PIECES_KEPT = 1_200_000
+PIECES_KEPT = 2_000_000
 INDEX_ROW = np.dtype([("doc_id", "<i8"), ("present", "u1"), ("position", "<i8"), ("offset", "<i8")])
 
 
@@ -78,6 +78,8 @@ class PieceEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(s.isalpha() for s in self.special):
+            raise ValueError(f"{tokenizer_file} has a special token of letters alone")
         self.matches = regex.compile(public_tokenizers.PATTERN).findall
         # the printable stand-ins of bytes: Latin-1 graphic characters for themselves, the others from U+0100 on
         graphic = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -106,10 +108,14 @@ class PieceEncoder:
         return found
 
     def _piece_ids(self, piece: str) -> bytes:
-        if max(piece) >= "\u0250" or any(s in piece for s in self.special):
-            return self.serialise(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if (piece[1:] if piece[0] == " " else piece).isalpha():
+        word = piece[1:] if piece[0] == " " else piece
+        latin = piece.isascii() or max(piece) < "\u0250"
+        if latin and word.isalpha():
             return self._model_ids(piece)
+        if latin and word[-1:] in (",", ".") and word[:-1].isalpha():  # the end of a phrase: two matches
+            return self._model_ids(piece[:-1]) + self._model_ids(piece[-1])
+        if not latin or any(s in piece for s in self.special):
+            return self.serialise(self.tokenizer.encode(piece, add_special_tokens=False).ids)
         return b"".join([self._model_ids(m) for m in self.matches(piece)])
 
     def encode(self, text: str) -> bytes:
@@ -130,9 +136,8 @@ class PieceEncoder:
 
 def _rows(batches):
     for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), batch.column(1)
-        for k, doc_id in enumerate(ids):
-            yield doc_id, texts[k].as_py() or ""
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            yield doc_id, text or ""
 
 
 def train_dictionary(docs: DataFrame, tokenizer_file: str, end_id: int) -> bytes:
