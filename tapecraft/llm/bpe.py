@@ -1,44 +1,59 @@
 """Byte-level BPE by ranks: encoding folds ranked merges in Spark higher-order functions.
 
-``encode_words`` turns an array of words into arrays of ids: the bytes of a word
-are an array of pieces (in hex, two digits a byte), and an ``aggregate`` merges
-the leftmost pair of lowest rank until no pair has a rank. The rank map is one
-literal: an array of buckets, each a small map of the pieces whose hash falls
-into it, so a lookup costs the same for any vocabulary size. Ranks of pairs are
-kept beside the pieces; a merge looks up only the two pairs it changes.
-
-``encode_documents`` applies this to whole texts. A task gathers documents into
-blocks of about ``BLOCK_BYTES``, lists a block's distinct words (matches of the
-pattern), Spark folds the merges of each distinct word once a block, and the
-block's texts are put together from the results. Blocks never leave their task:
-there is no shuffle, so no key can be hot and nothing is broadcast but the
-literal, whose size is the vocabulary file's.
-
-``decode`` concatenates the byte pieces of the ids, in Spark expressions.
+``encode_word`` turns a word into ids. Its bytes become an array of ids, and an
+``aggregate`` merges the leftmost pair of lowest rank until no pair has one. The
+ranks of neighbours are kept beside the ids, so a merge looks up only the two
+pairs that it changes. The rank map is a literal: two arrays, keys and ranks,
+with two places for each pair of ids (cuckoo hashing), so a look-up is at most
+two array reads.
+
+``encode_documents`` folds each distinct word of the corpus once, not each
+occurrence. Tasks list their distinct words (pre-tokens by the pattern), Spark
+makes them distinct and folds them; the results, as (hash of the word, ids), are
+told to the tasks, which put the documents together. Their number is checked
+first: beyond ``TOLD_WORDS`` only words of the most tasks are told, and each block
+of documents folds its remaining words itself, by the same expression. So any
+vocabulary works, nothing is dropped, and no text is shuffled.
+
+``decode`` concatenates the byte pieces of ids, in Spark expressions. The
+round trip checks every document: its decoded bytes must be its text.
 
 Cases with a defined result: a NULL or empty text has no ids and decodes to no
-bytes; a NULL ``doc_id`` stays NULL; repeated rows are encoded row by row; a
-text longer than a block is a block of its own, never cut; an empty table gives
-no rows; other columns are not read.
+bytes; a NULL ``doc_id`` stays NULL; repeated rows are encoded row by row; texts
+are encoded whole, a long one is a block of its own; an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import json
+from functools import lru_cache
 
+import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
+import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapecraft.llm.files import open_store
 from tapecraft.llm.pieces import split_pieces
+from tapecraft.session import scratch_path
 
-#: Text bytes after which a block of documents is closed.
-BLOCK_BYTES = 4 << 20
-BUCKETS = 1 << 16
+#: Distinct words whose ids are told to every task, at most: about 20 bytes each.
+TOLD_WORDS = 8_000_000
+#: Text characters after which a block of documents is closed.
+BLOCK_CHARS = 4 << 20
+#: Distinct pieces that a task or worker remembers.
+PIECES_KEPT = 1_000_000
 #: Rank of a pair that does not merge.
 NONE = (1 << 31) - 1
+PLACES = 1 << 18
+MIX = (1640531527, 1181783497)
+SHIFT = (22, 24)
 
 
 def read_ranks(rank_file: str) -> dict[bytes, int]:
@@ -46,56 +61,324 @@ def read_ranks(rank_file: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-def _bucket(piece: str) -> int:
-    """Spark's ``pmod(xxhash64(piece), BUCKETS)``."""
-    value = xxhash.xxh64_intdigest(piece.encode(), seed=42)
-    return value % BUCKETS
+# --- the literal rank map --------------------------------------------------------------------------------------
+
+def _places(key: int) -> tuple[int, int]:
+    return ((key * MIX[0]) >> SHIFT[0]) % PLACES, ((key * MIX[1]) >> SHIFT[1]) % PLACES
+
+
+def pair_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
+    """Every pair of ids whose bytes together are a piece: ``left * 2^16 + right`` to the piece's id."""
+    if len(ranks) > 1 << 16:
+        raise ValueError("ids must be below 65,536")
+    found = {}
+    for piece, rank in ranks.items():
+        for cut in range(1, len(piece)):
+            left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
+            if left is not None and right is not None:
+                found[left << 16 | right] = rank
+    return found
 
 
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The rank map as one literal: an array of maps from a piece in hex to its rank."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+@lru_cache(maxsize=2)
+def _rank_arrays(rank_file: str) -> tuple[str, str, str, str]:
+    """The literal's arrays as JSON: keys and ranks by place, the ids of the 256 bytes, and every id's bytes in hex."""
+    ranks = read_ranks(rank_file)
+    keys, values = [-1] * PLACES, [0] * PLACES
+    for key, rank in pair_ranks(ranks).items():
+        place = _places(key)[0]
+        for _ in range(500):
+            key, keys[place] = keys[place], key
+            rank, values[place] = values[place], rank
+            if key < 0:
+                break
+            first, second = _places(key)
+            place = second if place == first else first
+        else:
+            raise ValueError("the rank map does not fit its places")
+    pieces = [""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
-        text = piece.hex().upper()
-        buckets[_bucket(text)][text] = rank
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
+        pieces[rank] = piece.hex().upper()
+    return (json.dumps(keys), json.dumps(values), json.dumps([ranks[bytes([b])] for b in range(256)]), json.dumps(pieces))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` with the value computed once: in higher-order functions a repeated expression runs repeatedly."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _rank(table: Column, piece: Column) -> Column:
-    found = F.element_at(F.get(table, F.pmod(F.xxhash64(piece), F.lit(BUCKETS)).cast("int")), piece)
-    return F.coalesce(found, F.lit(NONE))
+# --- the fold --------------------------------------------------------------------------------------------------
 
+def _pair_rank(table: dict[str, Column], left: Column, right: Column) -> Column:
+    def find(key: Column) -> Column:
+        at = [(F.shiftright(key * F.lit(MIX[k]), SHIFT[k]) % PLACES).cast("int") for k in range(2)]
+        return (F.when((left < 0) | (right < 0), NONE)
+                .when(F.get(table["keys"], at[0]) == key, F.get(table["ranks"], at[0]))
+                .when(F.get(table["keys"], at[1]) == key, F.get(table["ranks"], at[1])).otherwise(F.lit(NONE)))
 
-def _merge_once(table: Column, state: Column) -> Column:
-    """State after merging the leftmost pair of lowest rank; the state itself when none has a rank."""
+    return _let(left.cast("long") * 65536 + right, find)
+
+
+def _merge(table: dict[str, Column], state: Column) -> Column:
+    """Merge the leftmost pair of lowest rank; ``p`` are ids between two ends of -1, ``r`` the ranks of neighbours."""
     p, r = state["p"], state["r"]
-    best = F.array_min(r)
-    at = F.array_position(r, best).cast("int")
-    size = F.size(p)
-    joined = F.concat(F.get(p, at - 1), F.get(p, at))
-    pieces = F.concat(F.slice(p, F.lit(1), at - 1), F.array(joined), F.slice(p, at + 2, size))
-    left = F.when(at > 1, F.array(_rank(table, F.concat(F.get(p, at - 2), joined)))).otherwise(F.array().cast("array<int>"))
-    right = F.when(at + 1 < size, F.array(_rank(table, F.concat(joined, F.get(p, at + 1))))).otherwise(
-        F.array().cast("array<int>"))
-    ranks = F.concat(F.slice(r, F.lit(1), F.greatest(at - 2, F.lit(0))), left, right, F.slice(r, at + 2, size))
-    return F.when(F.coalesce(best, F.lit(NONE)) == NONE, state).otherwise(
-        F.struct(pieces.alias("p"), ranks.alias("r")))
-
-
-def encode_word(table: Column, word: Column) -> Column:
-    """Ids of one word (array<int>), by folding merges over its bytes."""
-    letters = F.regexp_extract_all(F.hex(F.encode(word, "UTF-8")), F.lit("(..)"), F.lit(1))
-
-    def fold(pieces: Column) -> Column:
-        pairs = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)),
-                            lambda x, i: _rank(table, F.concat(F.get(pieces, i), x)))
-        start = F.struct(pieces.alias("p"), pairs.alias("r"))
-        return F.aggregate(F.slice(pieces, F.lit(2), F.size(pieces)), start, lambda state, _: _merge_once(table, state),
-                           lambda state: F.transform(state["p"], lambda x: _rank(table, x)))
-
-    return F.get(F.transform(F.array(letters), fold), F.lit(0))
-
-
-def encode_words(words: Column, table: Column) -> Column:
+
+    def at_place(best: Column, at: Column) -> Column:
+        rest = F.size(p)
+        around = F.array(_pair_rank(table, F.get(p, at - 2), best), _pair_rank(table, best, F.get(p, at + 1)))
+        return F.struct(
+            F.concat(F.slice(p, F.lit(1), at - 1), F.array(best), F.slice(p, at + 2, rest)).alias("p"),
+            F.concat(F.slice(r, F.lit(1), at - 2), around, F.slice(r, at + 2, rest)).alias("r"))
+
+    return _let(F.array_min(r), lambda best: F.when(best == NONE, state).otherwise(
+        _let(F.array_position(r, best).cast("int"), lambda at: at_place(best, at))))
+
+
+def encode_word(table: dict[str, Column], word: Column) -> Column:
+    """Ids of one word that is not empty (array<int>)."""
+    letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")  # one character a byte
+    end = F.array(F.lit(-1))
+    start = F.concat(end, F.transform(letters, lambda c: F.get(table["bytes"], F.ascii(c))), end)
+
+    def fold(p: Column) -> Column:
+        ranks = F.transform(F.slice(p, F.lit(2), F.size(p)), lambda x, i: _pair_rank(table, F.get(p, i), x))
+        return F.aggregate(F.slice(p, F.lit(4), F.size(p)), F.struct(p.alias("p"), ranks.alias("r")),
+                           lambda state, _: _merge(table, state),
+                           lambda state: F.slice(state["p"], F.lit(2), F.size(state["p"]) - 2))
+
+    return _let(start, fold)
+
+
+def encode_words(words: Column, rank_file: str) -> Column:
     """Ids of each word of an array column: array<array<int>>."""
-    return F.transform(words, lambda w: encode_word(table, w))
+    keys, values, letters, _ = _rank_arrays(rank_file)
+    literal = F.struct(F.from_json(F.lit(keys), "array<bigint>").alias("keys"),
+                       F.from_json(F.lit(values), "array<int>").alias("ranks"),
+                       F.from_json(F.lit(letters), "array<int>").alias("bytes"))
+
+    def with_arrays(t: Column) -> Column:
+        return _let(t["keys"], lambda k: _let(t["ranks"], lambda r: _let(t["bytes"], lambda b: F.transform(
+            words, lambda w: encode_word({"keys": k, "ranks": r, "bytes": b}, w)))))
+
+    return _let(literal, with_arrays)
+
+
+def decode(ids: Column, rank_file: str) -> Column:
+    """The bytes of an array of ids: their pieces, one after the other (binary)."""
+    pieces = F.from_json(F.lit(_rank_arrays(rank_file)[3]), "array<string>")
+    return F.unhex(F.array_join(_let(pieces, lambda p: F.transform(ids, lambda i: F.get(p, i))), ""))
+
+
+# --- words -----------------------------------------------------------------------------------------------------
+
+_MATCHES = regex.compile(public_tokenizers.PATTERN).findall
+
+
+def piece_words(piece: str) -> list[str]:
+    """The pattern's matches in a piece of text; the commonest shapes without running it."""
+    word = piece[1:] if piece[0] == " " else piece
+    if word.isascii() or max(word) < "ɐ":
+        if word.isalpha():
+            return [piece]
+        if word[-1:] in (",", ".") and word[:-1].isalpha():
+            return [piece[:-1], piece[-1]]
+    return _MATCHES(piece)
+
+
+def _list_words(batches):
+    """Distinct words of a task's texts (a word may come again once the task has forgotten it)."""
+    seen: set[str] = set()
+    told: set[str] = set()
+    for batch in batches:
+        words = set()
+        for text in batch.column(0).to_pylist():
+            fresh = set(split_pieces(text or "")).difference(seen)
+            seen |= fresh
+            for piece in fresh:
+                if piece:
+                    words.update(piece_words(piece))
+        words -= told
+        told |= words
+        if len(seen) > PIECES_KEPT:
+            seen.clear()
+            told.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], names=["word"])
+
+
+def word_hash(word: str) -> int:
+    """Spark's ``xxhash64(word)``, unsigned."""
+    return xxhash.xxh64_intdigest(word.encode(), seed=42)
+
+
+class Vocabulary:
+    """Ids of told words: sorted hashes, and the ids one after the other."""
+
+    def __init__(self, folder: str | None):
+        self.hashes, self.ends, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
+        if folder is None:
+            return
+        store, path = open_store(folder)
+        table = pq.read_table(path, filesystem=store, columns=["hash", "ids"]).combine_chunks()
+        if not len(table):
+            return
+        hashes = table["hash"].to_numpy().view(np.uint64)
+        lists = table["ids"].combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        flat = lists.values.to_numpy().astype(np.uint16)
+        first = lists.offsets.to_numpy()[:-1]
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, sizes = hashes[order], sizes[order].astype(np.int64)
+        self.ends = np.cumsum(sizes)
+        spread = np.repeat(first[order] - (self.ends - sizes), sizes) + np.arange(int(self.ends[-1]))
+        self.ids = flat[spread]
+
+    def find(self, words: list[str]) -> list[bytes | None]:
+        """The ids of each word as little-endian 16-bit numbers, None where it was not told."""
+        if not words or not len(self.hashes):
+            return [None] * len(words)
+        asked = np.fromiter((word_hash(w) for w in words), np.uint64, len(words))
+        at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
+        hit = self.hashes[at] == asked
+        begin = np.where(at > 0, self.ends[at - 1], 0)
+        raw = memoryview(self.ids.astype("<u2", copy=False)).cast("B")
+        return [bytes(raw[2 * a:2 * b]) if h else None
+                for a, b, h in zip(begin.tolist(), self.ends[at].tolist(), hit.tolist())]
+
+
+class Assembler:
+    """Puts documents together from the ids of words; remembers pieces from block to block."""
+
+    _held: dict[str | None, Assembler] = {}
+
+    def __init__(self, folder: str | None):
+        self.vocabulary = Vocabulary(folder)
+        self.kept: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes | None] = {}
+
+    @classmethod
+    def of(cls, folder: str | None) -> Assembler:
+        """This worker's assembler for a told vocabulary; only the latest one is held."""
+        if folder not in cls._held:
+            cls._held.clear()
+            cls._held[folder] = cls(folder)
+        return cls._held[folder]
+
+    def missing(self, texts: list[str]) -> list[str]:
+        """Words of the texts that were not told, after learning the pieces of those that were."""
+        if len(self.kept) > PIECES_KEPT:
+            self.kept = {"": b""}
+        fresh = list({p for t in texts for p in split_pieces(t)}.difference(self.kept))
+        parts = [piece_words(p) for p in fresh]
+        words = list({w for ws in parts for w in ws})
+        known = dict(zip(words, self.vocabulary.find(words)))
+        for piece, ws in zip(fresh, parts):
+            ids = [known[w] for w in ws]
+            if None not in ids:
+                self.kept[piece] = b"".join(ids)
+        self.known = known
+        return [w for w, ids in known.items() if ids is None]
+
+    def encode(self, text: str, folded: dict[str, bytes]) -> np.ndarray:
+        pieces = split_pieces(text)
+        found = list(map(self.kept.get, pieces))
+        if None in found:
+            for k, x in enumerate(found):
+                if x is None:
+                    found[k] = b"".join([folded.get(w) or self.known[w] for w in piece_words(pieces[k])])
+        return np.frombuffer(b"".join(found), "<u2")
+
+
+def _blocks(batches):
+    for batch in batches:
+        ids, texts, size = [], [], 0
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids.append(doc_id)
+            texts.append(text or "")
+            size += len(texts[-1])
+            if size >= BLOCK_CHARS:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+        if ids:
+            yield ids, texts
+
+
+def _encoded(ids, texts, assembler, folded):
+    """Arrow rows of a block's documents."""
+    arrays = [assembler.encode(t, folded) for t in texts]
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    flat = np.concatenate(arrays).astype(np.int32) if arrays else np.zeros(0, np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
+        names=["doc_id", "text", "ids"])
+
+
+def told_vocabulary(spark: SparkSession, docs: DataFrame, rank_file: str, folder: str, most: int) -> tuple[str, bool]:
+    """Fold the corpus's distinct words and write (hash, ids); returns the folder and whether it holds all words."""
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = docs.select("text").mapInArrow(_list_words, "word string")
+    words = listed.repartition(parts, "word").groupBy("word").agg(F.count("*").alias("tasks"))
+    words.write.mode("overwrite").parquet(f"{folder}/words")
+    words = spark.read.parquet(f"{folder}/words")
+    total = words.count()
+    if total > most:
+        left, least = 0, None
+        for row in words.groupBy("tasks").count().orderBy(F.col("tasks").desc()).collect():  # one row a number of tasks
+            left += row["count"]
+            if left > most:
+                break
+            least = row["tasks"]
+        words = words.filter(F.col("tasks") >= least) if least else words.limit(0)
+    # words are dealt anew for the fold, which takes longer than it reads
+    folded = words.repartition(parts).select(
+        F.xxhash64("word").alias("hash"), F.get(encode_words(F.array("word"), rank_file), F.lit(0)).alias("ids"))
+    folded.write.mode("overwrite").parquet(f"{folder}/vocabulary")
+    return f"{folder}/vocabulary", total <= most
+
+
+def encode_documents(docs: DataFrame, rank_file: str, told_words: int = TOLD_WORDS) -> DataFrame:
+    """``doc_id, text, ids`` of every document; a NULL text becomes an empty one."""
+    spark = docs.sparkSession
+    folder = scratch_path(spark, "bpe")
+    vocabulary, complete = told_vocabulary(spark, docs, rank_file, folder, told_words)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    out = "doc_id long, text string, ids array<int>"
+
+    if complete:
+        def encode(batches):
+            assembler = Assembler.of(vocabulary)
+            for ids, texts in _blocks(batches):
+                if assembler.missing(texts):
+                    raise ValueError("a word of the corpus is not in its vocabulary")
+                yield _encoded(ids, texts, assembler, {})
+
+        return rows.mapInArrow(encode, out)
+
+    def gather(batches):
+        assembler = Assembler.of(vocabulary)
+        for ids, texts in _blocks(batches):
+            columns = [pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string())),
+                       pa.array([assembler.missing(texts)], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["ids", "texts", "words"])
+
+    def finish(batches):
+        assembler = Assembler.of(vocabulary)
+        for batch in batches:
+            for ids, texts, words, folded in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                assembler.missing(texts)
+                fresh = {w: np.array(x, "<u2").tobytes() for w, x in zip(words, folded)}
+                yield _encoded(ids, texts, assembler, fresh)
+
+    blocks = rows.mapInArrow(gather, "ids array<long>, texts array<string>, words array<string>")
+    return blocks.withColumn("folded", encode_words(F.col("words"), rank_file)).mapInArrow(finish, out)
+
+
+def round_trip(docs: DataFrame, rank_file: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encode every whole text, then decode its ids."""
+    encoded = encode_documents(docs, rank_file)
+    decoded = encoded.withColumn("bytes", decode(F.col("ids"), rank_file))
+    exact = F.col("bytes") == F.encode("text", "UTF-8")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.when(exact, F.sha2("bytes", 256)).otherwise(
+            F.raise_error(F.lit("decoded bytes differ from the text"))).alias("decoded_sha256"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapecraft.llm import oracles
+from tapecraft.llm.bpe import round_trip
 from tapecraft.llm.hnsw import nearest_neighbours
 from tapecraft.llm.language_id import identify_languages
 from tapecraft.llm.license_scan import license_scan
@@ -19,6 +20,10 @@ from tapecraft.llm.warc import archive_round_trip
 from tapecraft.session import scratch_path
 
 
+TOKENIZER_FILE = public_tokenizers.path("byte_bpe_50k.json")
+RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -55,7 +60,7 @@ def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = encode_to_files(_table(spark, sf_dir, "documents"), scratch_path(spark, "token-files"),
-                             public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+                             TOKENIZER_FILE, end_id=2)
     return read_token_files(spark, shards)
 
 
@@ -63,6 +68,10 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "documents"), RANK_FILE)
+
+
 LLM_QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_hnsw_shards": op2_hnsw_shards,
@@ -73,6 +82,7 @@ LLM_QUERIES = {
     "op7_warc_index": op7_warc_index,
     "op8_token_files": op8_token_files,
     "op9_ngram_join": op9_ngram_join,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 
 LLM_ORACLES = {
