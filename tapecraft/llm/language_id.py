@@ -227,8 +227,11 @@ def fit_model(docs: DataFrame):
     return [r["lang"] for r in fitted], weights, fitted[0]["temperature"], idf
 
 
-def predict(docs: DataFrame, model) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for every document, from its text alone."""
+def predict(docs: DataFrame, model, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, held_out, lang_pred, score`` for every document, from its text alone.
+
+    ``keep`` names columns of the input (other than ``doc_id``) to carry along.
+    """
     def judge(batches):
         for batch in batches:
             names, scores = [], []
@@ -242,12 +245,14 @@ def predict(docs: DataFrame, model) -> DataFrame:
                 names.append(model[0][int(p.argmax())])
                 scores.append(float(p.max()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=["doc_id", "held_out", "lang_pred", "score"])
+                [batch.column(0), batch.column(2), pa.array(names, pa.string()), pa.array(scores, pa.float64()),
+                 *[batch.column(c) for c in keep]], names=["doc_id", "held_out", "lang_pred", "score", *keep])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out"))
-            .mapInArrow(judge, "doc_id long, held_out boolean, lang_pred string, score double"))
+    others = [c for c in keep if c != "text"]
+    carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("_held"), *others)
+            .mapInArrow(judge, "doc_id long, held_out boolean, lang_pred string, score double" + carried))
 
 
-def identify_languages(docs: DataFrame) -> DataFrame:
-    return predict(docs, fit_model(docs))
+def identify_languages(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return predict(docs, fit_model(docs), keep)

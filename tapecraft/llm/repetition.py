@@ -126,7 +126,7 @@ def _duplicate_lines(raw: bytes, offsets: np.ndarray) -> tuple[list[int], list[i
     return counts, chars
 
 
-def _measure(batches, lengths):
+def _measure(batches, lengths, keep=()):
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
         for first, offsets, data in text_blocks(texts):
@@ -153,23 +153,32 @@ def _measure(batches, lengths):
                 pa.array(dup_line_chars, pa.int64()),
                 pa.array(list(np.stack(cover, axis=1)) if rows else [], pa.list_(pa.int64())),
             ]
+            columns += [batch.column(c).slice(first, rows) for c in keep]
             yield pa.RecordBatch.from_arrays(columns, names=[
                 "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                "n_repeat_words", "dup_line_chars", "dup_ngram_chars"])
+                "n_repeat_words", "dup_line_chars", "dup_ngram_chars", *keep])
 
 
-def repetition_report(docs: DataFrame, lengths: tuple[int, ...] = tuple(MAX_NGRAM_SHARE)) -> DataFrame:
-    """Word, symbol and repetition counts of every whole text; ``dup_ngram_chars`` follows ``lengths``."""
+def repetition_report(docs: DataFrame, lengths: tuple[int, ...] = tuple(MAX_NGRAM_SHARE),
+                      keep: tuple[str, ...] = ()) -> DataFrame:
+    """Word, symbol and repetition counts of every whole text; ``dup_ngram_chars`` follows ``lengths``.
+
+    ``keep`` names columns of the input (other than ``doc_id``) to carry along,
+    so that a filter needs no join back.
+    """
     def measure(batches):
-        yield from _measure(batches, lengths)
+        yield from _measure(batches, lengths, keep)
 
-    return docs.select("doc_id", "text").mapInArrow(measure, REPORT_SCHEMA)
+    others = [c for c in keep if c != "text"]
+    carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select("doc_id", "text", *others).mapInArrow(measure, REPORT_SCHEMA + carried)
 
 
 def repetition_rules(
     docs: DataFrame,
     max_ngram_share: dict[int, float] | None = None,
     max_line_share: float = MAX_LINE_SHARE,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """The report plus ``base_failed`` and ``kept``.
 
@@ -177,7 +186,7 @@ def repetition_rules(
     windows of any length cover more than their share of the word characters.
     """
     shares = max_ngram_share or MAX_NGRAM_SHARE
-    report = repetition_report(docs, tuple(shares))
+    report = repetition_report(docs, tuple(shares), keep)
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     calm = F.col("dup_line_chars") <= F.lit(max_line_share) * F.col("word_chars")
     for k, share in enumerate(shares.values()):
