@@ -19,7 +19,8 @@ Cases with a defined result: a NULL or unparsable url, or a NULL day, matches no
 rule; an empty list blocks nothing; a rule added and removed on one day counts as
 removed; repeated log rows count once; repeated captures are judged alike, one
 row each; several matching rules: the longest is named, ties by list and rule;
-very long urls cost no more than the longest rule; other columns are kept.
+very long urls cost no more than the longest rule; other columns are kept, but for
+those named like a result column, which the result replaces.
 """
 
 from __future__ import annotations
@@ -75,10 +76,12 @@ def judge_captures(captures: DataFrame, intervals: DataFrame, url: str = "url",
         & (F.col("i.valid_to").isNull() | (F.col("c._day") < F.col("i.valid_to"))))
     best = F.struct(-F.length("i.rule"), "i.list", "i.rule", "i.valid_from")
     verdicts = in_force.groupBy("c._url", "c._day").agg(F.count("*").alias("_n"), F.min(best).alias("_best"))
-    joined = captures.join(verdicts, (F.col(url) == F.col("_url")) & (F.col(day) == F.col("_day")), "left")
-    return joined.select(*[captures[c] for c in captures.columns], F.coalesce("_n", F.lit(0)).alias("n_rules"),
-                         F.col("_n").isNotNull().alias("blocked"), F.col("_best.list").alias("list"),
-                         F.col("_best.rule").alias("rule"), F.col("_best.valid_from").alias("since"))
+    own = captures.drop("n_rules", "blocked", "list", "rule", "since")
+    joined = own.alias("own").join(verdicts.alias("v"), (F.col(f"own.{url}") == F.col("v._url"))
+                                   & (F.col(f"own.{day}") == F.col("v._day")), "left")
+    return joined.select("own.*", F.coalesce("v._n", F.lit(0)).alias("n_rules"), F.col("v._n").isNotNull().alias("blocked"),
+                         F.col("v._best.list").alias("list"), F.col("v._best.rule").alias("rule"),
+                         F.col("v._best.valid_from").alias("since"))
 
 
 # --- the query's dated lists and fetch days, which the tables do not have -----------------------------------------
