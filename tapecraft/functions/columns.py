@@ -69,6 +69,10 @@ def interval_seconds(width: str) -> int:
     return ms // 1000
 
 
+# Epoch milliseconds of 0001-01-01 00:00:00.000 and 9999-12-31 23:59:59.999.
+MS_RANGE = (-62_135_596_800_000, 253_402_300_799_999)
+
+
 def ntz_literal(value) -> Column:
     """A TIMESTAMP_NTZ literal for a datetime (aware values are moved to UTC)."""
     from datetime import timezone
@@ -78,9 +82,13 @@ def ntz_literal(value) -> Column:
 
 
 def ms_to_ts(ms: Column | str) -> Column:
-    """Epoch milliseconds -> TIMESTAMP_NTZ (UTC wall clock), zone-independent."""
+    """Epoch milliseconds -> TIMESTAMP_NTZ (UTC wall clock), zone-independent.
+
+    Outside the years 1 to 9999 the result is NULL: a broken time must not
+    fail the job.
+    """
     ms = F.col(ms) if isinstance(ms, str) else ms
-    return F.timestamp_add("MILLISECOND", ms, F.expr(EPOCH_NTZ))
+    return F.timestamp_add("MILLISECOND", F.when(ms.between(*MS_RANGE), ms), F.expr(EPOCH_NTZ))
 
 
 def ts_to_ms(ts: Column | str) -> Column:
@@ -116,8 +124,14 @@ def trade_order_key(ts: Column | str = "ts", trade_id: Column | str = "trade_id"
 
 
 def window_start(ts: Column | str, width: str) -> Column:
-    """Start of the tumbling event-time window holding ``ts`` (epoch aligned)."""
-    return F.window(ts, width).start
+    """Start of the tumbling event-time window holding ``ts`` (epoch aligned).
+
+    Plain arithmetic: unlike ``F.window`` it keeps rows whose ``ts`` is NULL
+    (their start is NULL).
+    """
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    past = F.pmod(F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), ts), F.lit(interval_ms(width) * 1000))
+    return F.timestamp_add("MICROSECOND", -past, ts)
 
 
 def aggressor_side(maker: Column, maker_type: T.DataType) -> Column:

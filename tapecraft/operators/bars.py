@@ -22,13 +22,11 @@ aggregation, so they need no sort at all.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapecraft.functions.columns import (BUY, EPOCH_NTZ, MU, SELL, interval_ms, interval_seconds,
-                                         safe_log_ratio, trade_order_key)
+                                         safe_log_ratio, trade_order_key, window_start)
 from tapecraft.operators.joins import join_small
 from tapecraft.schemas import BARS_COLUMNS, BARS_STREAM_COLUMNS
 
@@ -48,8 +46,9 @@ def default_part(width: str) -> str:
 
 # Bits of ``part`` reserved for the sub-part of a split hot part (see below).
 SUB_BITS = 20
-# Sub-parts a hot part is cut into.
+# Cuts of a hot part, and then of a hot timestamp; at most MAX_WAYS (two rounds fit SUB_BITS).
 HOT_WAYS = 64
+MAX_WAYS = 1 << (SUB_BITS // 2 - 1)
 
 
 def _with_part(clean: DataFrame, width: str, part: str | None,
@@ -62,72 +61,76 @@ def _with_part(clean: DataFrame, width: str, part: str | None,
     part = part or default_part(width)
     if interval_ms(width) % interval_ms(part):
         raise ValueError(f"part {part!r} must divide window width {width!r}")
-    if not 2 <= hot_ways <= 1 << SUB_BITS:
-        raise ValueError(f"hot_ways must be in [2, {1 << SUB_BITS}]")
+    if not 2 <= hot_ways <= MAX_WAYS:
+        raise ValueError(f"hot_ways must be in [2, {MAX_WAYS}]")
     # the side travels through the shuffle as one nullable boolean (BUY true,
     # SELL false, anything else NULL: counted as neither), not as text
     side = F.col("side")
-    out = (clean.withColumn("_pt", F.window("ts", part).start)
+    out = (clean.withColumn("_pt", window_start("ts", part))
            .withColumn("_buy", F.when(side == F.lit(BUY), F.lit(True))
                        .when(side == F.lit(SELL), F.lit(False))))
     sub = F.lit(0).cast("long")
     if max_part_rows is not None:
         out = _split_hot_parts(out, max_part_rows, hot_ways)
         sub = F.col("_sub")
-    offset = F.timestamp_diff("MILLISECOND", F.col("minute"), F.col("_pt"))
+    # trades without a time (kept by the batch layer) are one part of the NULL window
+    offset = F.coalesce(F.timestamp_diff("MILLISECOND", F.col("minute"), F.col("_pt")), F.lit(0))
     return out.withColumn("part", offset * F.lit(1 << SUB_BITS) + sub).drop("_pt", "_sub")
 
 
 def _split_hot_parts(parted: DataFrame, max_rows: int, ways: int) -> DataFrame:
-    """Cut every part holding more than ``max_rows`` trades into ``ways``
-    contiguous sub-parts at approximate quantiles of its (ts, trade_id)
-    order (``_sub``; 0 elsewhere).
+    """Cut every part holding more than ``max_rows`` trades into contiguous
+    runs of its (ts, trade_id) order (``_sub``; 0 elsewhere).
 
     The ordered work of a part normally runs in one task; this bounds it even
     when one part holds a large share of the whole tape. Exact whatever the
-    cut points: a sub-part is a contiguous run of the part's (ts, trade_id)
-    order, and the stitch step adds the returns across every boundary.
-
-    The quantiles are taken of one long per trade that orders like
-    (ts, trade_id) inside the part: (ts - first ts) * id span + (trade_id -
-    lowest id + 1), NULL id -> 0. It is used when it stays below 2^53 (exact
-    in the sketch's doubles; checked in decimals, so nothing overflows);
-    otherwise the key is the time offset alone and trades sharing one
-    timestamp stay together.
-
-    Costs two extra aggregating passes over the trades (part counts and
-    ranges with map-side combine, then mergeable quantile sketches of the hot
-    parts only); both results are small -- at most (trades / max_rows) rows --
-    and are checkpointed to the shared folder.
+    cut points: a run is contiguous in the order, and the stitch step adds the
+    returns across every boundary.
+
+    Two rounds: a hot part is cut by time, a run that is still hot because its
+    trades share one timestamp is cut by trade id. Cuts are approximate
+    quantiles, and trades that equal a cut are a run of their own, so a
+    timestamp or id with more than a ``ways``-th of the trades stands alone.
+    Trades that share a timestamp and an id (or have no id) are ties of the
+    order and stay together, as do ids closer than a double can tell apart
+    within their run.
+
+    Costs aggregating passes over the trades (counts and ranges with map-side
+    combine, then mergeable quantile sketches of the hot runs only); their
+    results -- at most (trades / max_rows) rows -- are checkpointed to the
+    shared folder.
     """
     from tapecraft.session import checkpoint_root
     checkpoint_root(parted.sparkSession)
     # one struct key: grouping and joins on it match NULL fields (a NULL symbol)
-    parted = parted.withColumn("_pk", F.struct("symbol", "minute", "_pt"))
-    us = F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), F.col("ts"))
-    d = "decimal(38,0)"
-    hot = (parted.groupBy("_pk").agg(
-               F.count(F.lit(1)).alias("_n"), F.min(us).alias("_t0"), F.max(us).alias("_t1"),
-               F.min("trade_id").alias("_lo"), F.max("trade_id").alias("_hi"))
-           .where(F.col("_n") > F.lit(max_rows)))
-    id_span = F.coalesce(F.col("_hi").cast(d) - F.col("_lo").cast(d), F.lit(-1).cast(d)) + F.lit(2).cast(d)
-    t_span = F.col("_t1").cast(d) - F.col("_t0").cast(d) + F.lit(1).cast(d)
-    exact = (t_span * id_span) < F.lit(Decimal(2 ** 53)).cast(d)
-    hot = (hot.select("_pk", "_t0", "_lo", F.when(exact, id_span.cast("long")).alias("_span"))
-           .checkpoint(eager=True))
-    offset = us - F.col("_t0")
-    key = F.when(F.col("_span").isNull(), offset).otherwise(
-        offset * F.col("_span") + F.coalesce(F.col("trade_id") - F.col("_lo") + F.lit(1), F.lit(0)))
-    probs = [i / ways for i in range(1, ways)]
-    cuts = (join_small(parted.select("_pk", "ts", "trade_id"), hot, "_pk", "inner")
-            .groupBy("_pk", "_t0", "_lo", "_span")
-            .agg(F.percentile_approx(key, probs, HOT_ACCURACY).alias("_cuts"))
+    out = (parted.withColumn("_pk", F.struct("symbol", "minute", "_pt")).withColumn("_sub", F.lit(0).cast("long"))
+           .withColumn("_us", F.coalesce(F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), F.col("ts")), F.lit(0))))
+    span = 2 * ways   # runs a cut list can make: between and on the cuts
+    out = _cut_runs(out, "_us", None, max_rows, ways, span)
+    out = _cut_runs(out, "trade_id", "_us", max_rows, ways, span)
+    return out.drop("_pk", "_us")
+
+
+def _cut_runs(runs: DataFrame, key: str, fixed: str | None, max_rows: int, ways: int, span: int) -> DataFrame:
+    """Number the runs anew: those of more than ``max_rows`` trades (with one
+    value of ``fixed``) are cut at quantiles of ``key``; NULL keys come first."""
+    hot = (runs.groupBy("_pk", "_sub").agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_lo"),
+                                          *([F.min(fixed).alias("_a"), F.max(fixed).alias("_b")] if fixed else []))
+           .where((F.col("_n") > F.lit(max_rows)) & (F.col("_a") == F.col("_b") if fixed else F.lit(True)))
+           .select("_pk", "_sub", "_lo").checkpoint(eager=True))
+    d = "decimal(38,0)"   # a difference of two longs may not fit one
+    offset = (F.col(key).cast(d) - F.col("_lo").cast(d)).cast("double")
+    # both small sides are checkpointed, so their size check reads them, not the trades
+    cuts = (join_small(runs.select("_pk", "_sub", key), hot, ["_pk", "_sub"])
+            .groupBy("_pk", "_sub", "_lo")
+            .agg(F.array_distinct(F.percentile_approx(offset, [i / ways for i in range(1, ways)], HOT_ACCURACY))
+                 .alias("_cuts"))
             .checkpoint(eager=True))
-    # a cut list is ways-1 longs: keep the broadcast side near 8 MB
-    out = join_small(parted, cuts, "_pk", "left", max_rows=max(1, (1 << 20) // ways))
-    sub = F.when(F.col("_cuts").isNull(), F.lit(0).cast("long")).otherwise(
-        F.size(F.filter("_cuts", lambda c: c <= key)).cast("long"))
-    return out.withColumn("_sub", sub).drop("_pk", "_cuts", "_t0", "_lo", "_span")
+    # a cut list is ways-1 doubles: keep the broadcast side near 8 MB
+    out = join_small(runs, cuts, ["_pk", "_sub"], "left", max_rows=max(1, (1 << 20) // ways))
+    run = (F.size(F.filter("_cuts", lambda c: c < offset)) + F.size(F.filter("_cuts", lambda c: c <= offset))).cast("long")
+    place = F.when(F.col("_cuts").isNull() | F.col(key).isNull(), F.lit(0).cast("long")).otherwise(run)
+    return out.withColumn("_sub", F.col("_sub") * F.lit(span) + place).drop("_lo", "_cuts")
 
 
 # Quantile sketch accuracy for hot-part cuts (only balance depends on it).
@@ -190,15 +193,16 @@ def _vwap(notional, volume, empty_vwap: float | None = None):
     return v if empty_vwap is None else F.coalesce(v, F.lit(float(empty_vwap)))
 
 
-def _finish(bars: DataFrame, bipower: bool = True) -> DataFrame:
-    out = (
-        bars
-        .withColumn("realized_vol", F.sqrt("realized_variance"))
-        .withColumn("signed_volume", F.col("buy_volume") - F.col("sell_volume"))
-        .withColumn("ofi", F.when(F.col("volume") > 0,
-                                  (F.col("buy_volume") - F.col("sell_volume")) / F.col("volume"))
-                    .otherwise(F.lit(0.0)))
-    )
+def with_flow(bars: DataFrame) -> DataFrame:
+    """Adds ``signed_volume`` and ``ofi`` (0 for a window without volume)."""
+    return (bars.withColumn("signed_volume", F.col("buy_volume") - F.col("sell_volume"))
+            .withColumn("ofi", F.when(F.col("volume") > 0, F.col("signed_volume") / F.col("volume"))
+                        .otherwise(F.lit(0.0))))
+
+
+def finish_bars(bars: DataFrame, bipower: bool = True) -> DataFrame:
+    """The columns derived from a bar's aggregates, for the batch and the stream reducer."""
+    out = with_flow(bars.withColumn("realized_vol", F.sqrt("realized_variance")))
     if bipower:
         out = out.withColumn("jump_component",
                              F.greatest(F.col("realized_variance") - F.col("bipower_variation"), F.lit(0.0)))
@@ -231,7 +235,7 @@ def minute_bars(clean: DataFrame, width: str = "1 minute", part: str | None = No
         F.sum("buy_volume").alias("buy_volume"),
         F.sum("sell_volume").alias("sell_volume"),
     )
-    return _finish(bars).select(*BARS_COLUMNS)
+    return finish_bars(bars).select(*BARS_COLUMNS)
 
 
 def as_stream_shape(bars: DataFrame, width: str = "1 minute") -> DataFrame:
@@ -280,9 +284,7 @@ def order_flow_imbalance(clean: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("side") == BUY, q).otherwise(F.lit(0.0))).alias("buy_volume"),
         F.sum(F.when(F.col("side") == SELL, q).otherwise(F.lit(0.0))).alias("sell_volume"),
     )
-    return (bars.withColumn("signed_volume", F.col("buy_volume") - F.col("sell_volume"))
-            .withColumn("ofi", F.when(F.col("volume") > 0, F.col("signed_volume") / F.col("volume"))
-                        .otherwise(F.lit(0.0)))
+    return (with_flow(bars)
             .select(*KEYS, "buy_volume", "sell_volume", "signed_volume", "ofi"))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tapecraft.functions.columns import window_start
+
 # --- Fixed values that must equal the reference's -------------------------
 ROLL_ROWS = 30          # trailing rows in the baseline (current row excluded)
 MIN_ROWS = 5            # fewer trailing rows -> 'warmup'
@@ -34,12 +36,15 @@ def rolling_vol_baseline(fact: DataFrame, rows: int = ROLL_ROWS, key: str = "ass
     """
     if block_rows < rows:
         raise ValueError("block_rows must be >= rows")
-    f = fact.withColumn("_chunk", F.window(order, chunk).start)
+    f = fact.withColumn("_chunk", window_start(order, chunk))
     counts = f.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offsets = counts.select(F.col(key).alias("_okey"), F.col("_chunk").alias("_ochunk"),
+                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     in_chunk = Window.partitionBy(key, "_chunk").orderBy(order)
-    indexed = (f.join(offsets, [key, "_chunk"])
+    # null-safe: a series without a key and rows without a time are kept
+    indexed = (f.join(offsets, F.col(key).eqNullSafe(F.col("_okey")) & F.col("_chunk").eqNullSafe(F.col("_ochunk")))
+               .drop("_okey", "_ochunk")
                .withColumn("_idx", F.col("_off") + F.row_number().over(in_chunk) - F.lit(1)))
     own = (F.col("_idx") / F.lit(block_rows)).cast("long")
     halo = (F.col("_idx") % F.lit(block_rows)) >= F.lit(block_rows - rows)

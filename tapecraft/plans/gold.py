@@ -9,7 +9,6 @@ from tapecraft.functions.columns import (
     asset_name, base_symbol, is_us_market_hours, is_weekend, market_cap_tier,
     surrogate_key, time_id, trading_session,
 )
-from tapecraft.operators.joins import join_small
 
 _STG_RENAMES = [
     ("open", "open_price"), ("high", "high_price"), ("low", "low_price"), ("close", "close_price"),
@@ -157,7 +156,7 @@ def dim_asset(fact: DataFrame, meta: DataFrame, with_loaded_at: bool = True,
         assets = assets.unionByName(stream_fact.select("asset_id"))
     assets = assets.distinct().withColumn("base_symbol", base_symbol(F.col("asset_id")))
     latest = latest_metadata(meta).withColumnRenamed("symbol", "base_symbol")
-    joined = join_small(assets, latest, on="base_symbol", how="left")
+    joined = assets.join(latest, "base_symbol", "left")   # both small: the planner picks the strategy
     out = joined.select(
         "asset_id", "base_symbol",
         asset_name(F.col("base_symbol")).alias("asset_name"),
@@ -169,3 +168,10 @@ def dim_asset(fact: DataFrame, meta: DataFrame, with_loaded_at: bool = True,
     if with_loaded_at:
         out = out.withColumn("loaded_at", F.current_timestamp())
     return out
+
+
+def write_model(model: DataFrame, root: str, name: str) -> DataFrame:
+    """Write a model as a table (parquet folder ``root/name``, replaced) and read it back."""
+    path = f"{root.rstrip('/')}/{name}"
+    model.write.mode("overwrite").parquet(path)
+    return model.sparkSession.read.parquet(path)

@@ -75,6 +75,12 @@ def q_encode_trades_json(spark, sf_dir):
                       F.octet_length("value").cast("long").alias("value_bytes"))
 
 
+@register("decode_trades_json", TAPE_TEXT + "SELECT " + ", ".join(TRADE_TEXT_COLS) + " FROM tape_text")
+def q_decode_trades_json(spark, sf_dir):
+    """Trades -> flat JSON messages -> decoded TRADE rows."""
+    return M.decode_trades_json(M.encode_trades_json(S.trades(spark, sf_dir)))
+
+
 @register("flatten_metadata", "WITH " + O.metadata_cte() +
           "\nSELECT coin_id, symbol, price, \"timestamp\", confidence, source FROM metadata")
 def q_flatten_metadata(spark, sf_dir):

@@ -21,6 +21,8 @@ from tapecraft.operators.clean import clean_trades
 from tapecraft.operators.quality import dq_report
 from tapecraft.plans import gold as G
 from tapecraft.plans import oracle as O
+from tapecraft.session import scratch_path
+from tapecraft.sources import messages as M
 from tapecraft.sources import tables as S
 
 # Oracle checks run on sparse synthetic tapes: hour windows hold enough trades
@@ -150,6 +152,43 @@ def q_minute_bars_wide(spark, sf_dir):
     return _bars(spark, sf_dir, WIDTH_WIDE)
 
 
+_NULL_TAPE = """tape_all AS (SELECT * FROM tape),
+tape_nulls AS (
+  SELECT CASE WHEN trade_id % 31 = 5 THEN NULL ELSE symbol END AS symbol, trade_id, price, quantity,
+         CASE WHEN trade_id % 50 = 7 THEN NULL ELSE trade_time END AS trade_time, is_buyer_maker
+  FROM tape_all)"""
+_NULL_SQL = "WITH " + ",\n".join([O.tape_cte(), _NULL_TAPE, O.clean_cte(WIDTH).replace("FROM tape", "FROM tape_nulls"),
+                                 O.returns_cte(), O.bars_cte()]) + "\n"
+
+
+@register("minute_bars_null_keys", _NULL_SQL + select_rounded(B.BARS_COLUMNS, BAR_DOUBLES, "bars"))
+def q_minute_bars_null_keys(spark, sf_dir):
+    """Silver bars of the tape with a share of its times and symbols set to NULL:
+    such trades are kept, in the NULL window or under the NULL symbol."""
+    tape = S.trades(spark, sf_dir)
+    tape = (tape.withColumn("symbol", F.when(F.col("trade_id") % 31 != 5, F.col("symbol")))
+            .withColumn("trade_time", F.when(F.col("trade_id") % 50 != 7, F.col("trade_time"))))
+    return B.minute_bars(clean_trades(tape, WIDTH), WIDTH)
+
+
+_MESSAGE_SQL = _NULL_SQL.replace("WHERE price > 0 AND quantity > 0", "WHERE trade_time IS NOT NULL").replace(
+    "SELECT symbol, trade_id, trade_time,\n", "SELECT symbol, coalesce(trade_id, 0) AS trade_id, trade_time,\n").replace(
+    "sum(price * quantity) / sum(quantity) AS vwap",
+    "coalesce(sum(price * quantity) / nullif(sum(quantity), 0), 0.0) AS vwap")
+
+
+@register("minute_bars_message", _MESSAGE_SQL + select_rounded(B.BARS_COLUMNS, BAR_DOUBLES, "bars"))
+def q_minute_bars_message(spark, sf_dir):
+    """Bars with the message reducer's rules: no positive filter, a missing id is
+    0, trades without a time go, VWAP 0 without volume. The trades come from
+    encoded and decoded messages."""
+    tape = S.trades(spark, sf_dir)
+    tape = (tape.withColumn("symbol", F.when(F.col("trade_id") % 31 != 5, F.col("symbol")))
+            .withColumn("trade_time", F.when(F.col("trade_id") % 50 != 7, F.col("trade_time"))))
+    read = M.decode_trades_json(M.encode_trades_json(tape))
+    return B.minute_bars(clean_trades(read, WIDTH, positive_only=False, null_trade_id="zero"), WIDTH, empty_vwap=0.0)
+
+
 @register("log_returns", O.with_ctes(WIDTH) + select_rounded(
     B.RETURN_COLUMNS, {"price", "prev_price", "log_ret", "abs_ret", "prev_abs_ret", "bipower_term"},
     "rets"))
@@ -229,11 +268,15 @@ def q_surrogate_key(spark, sf_dir):
 
 @register("dim_time", GOLD + ",\n" + O.dim_time_cte() + "\nSELECT * FROM dim_time")
 def q_dim_time(spark, sf_dir):
-    """Distinct window starts of the batch and speed-layer staging tables, both
-    derived from one bars lineage here, so their shuffles are shared."""
-    bars = _bars(spark, sf_dir)
-    return G.dim_time(G.stg_trades_minute(bars),
-                      G.stg_trades_minute_stream(B.as_stream_shape(bars, WIDTH)))
+    """Distinct window starts of the batch and speed-layer staging tables: the
+    batch side ends a day before the tape does, the speed side has its last two days."""
+    clean = _clean(spark, sf_dir)
+    end = clean.agg(F.max("trade_time").alias("t")).first()["t"] or 0
+    day = 86_400_000
+    batch = clean.where(F.col("trade_time") < end - day)
+    speed = clean.where(F.col("trade_time") >= end - 2 * day)
+    return G.dim_time(G.stg_trades_minute(B.minute_bars(batch, WIDTH)),
+                      G.stg_trades_minute_stream(B.minute_bars_stream(speed, WIDTH)))
 
 
 @register("latest_metadata", "WITH " + O.metadata_cte() + ",\n" + O.latest_metadata_cte() +
@@ -251,38 +294,15 @@ def q_dim_asset(spark, sf_dir):
 
 # --- MD9: regime mart ---------------------------------------------------------------
 
-_ROLL = f"""rolling AS (
-  SELECT b.*,
-         avg(realized_vol) OVER w AS roll_mean_vol,
-         stddev_samp(realized_vol) OVER w AS roll_std_vol,
-         count(*) OVER w AS roll_n
-  FROM fct b
-  WINDOW w AS (PARTITION BY asset_id ORDER BY window_start
-               ROWS BETWEEN {R.ROLL_ROWS} PRECEDING AND 1 PRECEDING)),
-classified AS (
-  SELECT r.*,
-         CASE WHEN roll_std_vol IS NOT NULL AND roll_std_vol > 0
-              THEN (realized_vol - roll_mean_vol) / roll_std_vol END AS vol_zscore,
-         CASE WHEN roll_n IS NULL OR roll_n < {R.MIN_ROWS} THEN 'warmup'
-              WHEN roll_std_vol IS NULL OR roll_std_vol = 0 THEN 'normal'
-              WHEN (realized_vol - roll_mean_vol) / roll_std_vol <= {R.CALM_Z} THEN 'calm'
-              WHEN (realized_vol - roll_mean_vol) / roll_std_vol >= {R.TURBULENT_Z} THEN 'turbulent'
-              ELSE 'normal' END AS volatility_regime,
-         CASE WHEN realized_variance > 0 AND (jump_component / realized_variance) > {R.JUMP_RATIO}
-              THEN true ELSE false END AS is_jump_minute
-  FROM rolling r)"""
-REGIME_SQL = GOLD + ",\n" + _ROLL + "\n"
+REGIME_SQL = GOLD + ",\n" + O.regime_cte() + "\n"
 REGIME_DOUBLES = STG_DOUBLES | {"roll_mean_vol", "roll_std_vol", "vol_zscore"}
 
 
 def materialized_fct(spark, sf_dir, width=WIDTH):
-    """The batch fact as the mart reads it: materialized once (checkpoint in
-    the shared folder), like a model built as a table before its dependents.
-    The blocked rolling window reads its input twice (day counts, then rows);
-    from a materialized fact that is a narrow second scan, not a recompute."""
-    from tapecraft.session import checkpoint_root
-    checkpoint_root(spark)
-    return _fct(spark, sf_dir, width).checkpoint(eager=True)
+    """The batch fact as the mart reads it: a model written as a table before its
+    dependents. The blocked rolling window reads its input twice (day counts,
+    then rows); of a table that is a narrow second scan, not a recompute."""
+    return G.write_model(_fct(spark, sf_dir, width), scratch_path(spark, "gold"), "fct_market_window")
 
 
 def _regime_input(spark, sf_dir):
@@ -327,7 +347,7 @@ def q_volatility_regime(spark, sf_dir):
     ["asset_id", "window_start", "realized_variance", "jump_component", "is_jump_minute"],
     REGIME_DOUBLES, "classified"))
 def q_jump_minutes(spark, sf_dir):
-    return R.jump_minutes(_regime_input(spark, sf_dir)).select(
+    return R.jump_minutes(_fct(spark, sf_dir)).select(
         "asset_id", "window_start", "realized_variance", "jump_component", "is_jump_minute")
 
 
@@ -366,26 +386,25 @@ def _dq_sql() -> str:
 def gold_tables(spark, sf_dir, width=WIDTH, materialize=True) -> dict[str, DataFrame]:
     """The four gold tables the checks run on.
 
-    With ``materialize`` the silver bars are computed once and checkpointed to
-    the shared checkpoint folder (like a model materialized as a table before
-    it is tested); every gold table and every check then reads that copy
-    instead of re-deriving the bars from the tape.
+    With ``materialize`` the silver bars and the four models are written as
+    tables (``write_model``), so that every check reads a table instead of
+    deriving it from the tape again.
     """
-    from tapecraft.session import checkpoint_root
+    root = scratch_path(spark, "gold")
     bars = _bars(spark, sf_dir, width)
     if materialize:
-        checkpoint_root(spark)
-        bars = bars.checkpoint(eager=True)
+        bars = G.write_model(bars, root, "silver")
     stg = G.stg_trades_minute(bars)
     stg_s = G.stg_trades_minute_stream(B.as_stream_shape(bars, width))
     fct = G.fct_market_window(stg)
     fct_s = G.fct_market_window_stream(stg_s)
-    return {
+    models = {
         "fct_market_window": fct,
         "fct_market_window_stream": fct_s,
         "dim_asset": G.dim_asset(fct, S.metadata(spark, sf_dir), with_loaded_at=False),
         "dim_time": G.dim_time(stg, stg_s),
     }
+    return {name: G.write_model(df, root, name) for name, df in models.items()} if materialize else models
 
 
 @register("dq_report", _dq_sql())
@@ -425,7 +444,7 @@ def q_vol_by_session(spark, sf_dir):
     return A.vol_by_session(_fct(spark, sf_dir))
 
 
-@register("vol_by_tier", GOLD + f"""SELECT {O._case("replace(asset_id, 'USDT', '')", O.MARKET_CAP_TIERS, O.UNKNOWN)}
+@register("vol_by_tier", GOLD + f"""SELECT {O.tier_case("replace(asset_id, 'USDT', '')")}
          AS market_cap_tier,
        CAST(count(*) AS BIGINT) AS windows,
        CAST(count(DISTINCT asset_id) AS BIGINT) AS assets,

@@ -56,9 +56,9 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` (the cluster's shared location). Only when
-    it is unset -- local runs and tests -- a private folder is created and
-    registered as the checkpoint directory.
+    Reads ``spark.checkpoint.dir`` (the cluster's shared location). Where it is
+    unset, a local run (``local[*]``) gets a private folder, registered as the
+    checkpoint directory; on a cluster that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -67,7 +67,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if sc is None:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
-            current = tempfile.mkdtemp(prefix="tapecraft-ckpt-")
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         return current.rstrip("/")
     current = None
     try:
@@ -79,6 +79,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current:
             sc.setCheckpointDir(current)
     if not current:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tapecraft-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current

@@ -18,42 +18,36 @@ def utc_day(trade_time_ms: str = "trade_time"):
     return F.date_format(ms_to_ts(F.col(trade_time_ms)), "yyyy-MM-dd")
 
 
-def _salted(df: DataFrame, keys: list[str], files_per_partition: int, salt_of: str | None) -> DataFrame:
-    """Cluster rows by the output partition columns, each output partition
-    spread over up to ``files_per_partition`` writer tasks (hash salt), so a
-    hot symbol/day is written in parallel and each task writes few files."""
-    if files_per_partition <= 1 or salt_of is None:
-        return df.repartition(*keys)
-    salt = F.pmod(F.xxhash64(F.col(salt_of)), F.lit(files_per_partition))
-    return df.repartition(*keys, salt)
+def _by_bytes(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Cluster rows by the output partition columns, by size: adaptive execution
+    splits a hot partition over as many writers as its bytes ask for and merges
+    small ones (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)."""
+    return df.hint("rebalance", *keys)
 
 
 def partitioned_landing(trades: DataFrame, path: str, day: str | None = None,
-                        mode: str = "append", files_per_partition: int = 4,
-                        max_records_per_file: int = 5_000_000) -> None:
+                        mode: str = "append", max_records_per_file: int = 5_000_000) -> None:
     """Write TRADE rows as JSON lines under ``path/symbol=SYM/dt=YYYY-MM-DD/``.
 
     ``dt`` is the given ``day`` (a landing run's date) or, by default, each
-    trade's own UTC day. Rows are clustered by the partition columns (salted
-    by trade_id over ``files_per_partition`` writers) before the write, and no
-    file holds more than ``max_records_per_file`` rows: size the salt to the
-    partition volume (partition bytes / target file bytes).
+    trade's own UTC day. Rows are clustered by the partition columns with a
+    rebalance before the write, and no file holds more than
+    ``max_records_per_file`` rows.
     """
     dt = F.lit(day) if day is not None else utc_day()
     out = trades.withColumn("symbol", F.upper(F.col("symbol"))).withColumn("dt", dt)
-    (_salted(out, ["symbol", "dt"], files_per_partition, "trade_id")
+    (_by_bytes(out, ["symbol", "dt"])
         .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("symbol", "dt").json(path))
 
 
-def land_metadata(meta: DataFrame, path: str, day: str | None = None, mode: str = "append",
-                  files_per_partition: int = 4) -> None:
+def land_metadata(meta: DataFrame, path: str, day: str | None = None, mode: str = "append") -> None:
     """Write flattened metadata as JSON lines under ``path/dt=YYYY-MM-DD/``
     (``day`` of the landing run, or each record's own UTC day)."""
     dt = F.lit(day) if day is not None else F.date_format(
         F.timestamp_add("SECOND", F.col("timestamp"), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")),
         "yyyy-MM-dd")
-    (_salted(meta.withColumn("dt", dt), ["dt"], files_per_partition, "coin_id")
+    (_by_bytes(meta.withColumn("dt", dt), ["dt"])
          .write.mode(mode).partitionBy("dt").json(path))
 
 
@@ -65,37 +59,55 @@ def land_stream(trades_stream: DataFrame, path: str, checkpoint: str, every: str
             .trigger(processingTime=every).start())
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
+def read_landed(spark: SparkSession, path: str, days: list[str] | None = None,
+                symbols: list[str] | None = None) -> DataFrame:
     """Landed trades with the declared schema; unknown fields are ignored,
-    ``symbol``/``dt`` come from the directory names."""
+    ``symbol``/``dt`` come from the directory names.
+
+    With ``days`` or ``symbols`` only the folders of those partitions that
+    exist are listed and read (none: an empty frame).
+    """
     schema = T.StructType(TRADE.fields + [T.StructField("dt", T.StringType())])
-    return (spark.read.schema(schema).option("basePath", path)
-            .option("recursiveFileLookup", "false").json(path))
+    reader = spark.read.schema(schema).option("basePath", path)
+    if days is None and symbols is None:
+        return reader.json(path)
+    found = _partition_paths(spark, path, symbols, days)
+    return reader.json(found) if found else spark.createDataFrame([], schema)
+
+
+def _partition_paths(spark: SparkSession, path: str, symbols: list[str] | None, days: list[str] | None) -> list[str]:
+    """Folders ``symbol=/dt=`` that exist, through the file system Spark uses; files are not listed."""
+    jvm = spark._jvm
+    names = "*" if symbols is None else "{" + ",".join(symbols) + "}"
+    dates = "*" if days is None else "{" + ",".join(days) + "}"
+    glob = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/symbol={names}/dt={dates}")
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+LOAD_MODES = ("truncate", "replace_day")
 
 
 def load_bronze_day(spark: SparkSession, path: str, day: str | None = None,
                     symbols: list[str] | None = None, target: str | None = None,
-                    mode: str = "truncate", files_per_day: int = 4) -> DataFrame:
+                    mode: str = "truncate") -> DataFrame:
     """Load the landed partitions of ``day`` (all days if None) for ``symbols``.
 
-    The filter is on partition columns, so only matching directories are
-    listed and read; absent symbols are simply absent. Raises
-    ``NoPartitionsError`` when nothing matches. With ``target`` the result is
-    written as parquet, compacted (the many small landing files of a day become
-    ``files_per_day`` salted writers' files): ``mode='truncate'`` replaces the
-    table, ``'replace_day'`` overwrites only the partitions present (dynamic
-    partition overwrite).
+    Only the folders of these symbols and the day are listed and read; absent
+    ones are simply absent. Raises ``NoPartitionsError`` when nothing matches.
+    With ``target`` the result is written as parquet, compacted by size (a
+    rebalance by ``dt``): ``mode='truncate'`` replaces the table,
+    ``'replace_day'`` overwrites only the partitions present (dynamic partition
+    overwrite).
     """
+    if mode not in LOAD_MODES:
+        raise ValueError(f"mode must be one of {LOAD_MODES}, not {mode!r}")
     symbols = [s.upper() for s in (symbols or SYMBOLS)]
-    df = read_landed(spark, path)
-    cond = F.col("symbol").isin(symbols)
-    if day is not None:
-        cond = cond & (F.col("dt") == F.lit(day))
-    df = df.where(cond)
+    df = read_landed(spark, path, [day] if day is not None else None, symbols)
     if df.isEmpty():
         raise NoPartitionsError(f"no landed partitions for day={day} symbols={symbols}")
     if target is not None:
-        w = _salted(df, ["dt"], files_per_day, "trade_id").write.partitionBy("dt")
+        w = _by_bytes(df, ["dt"]).write.partitionBy("dt")
         if mode == "replace_day":
             w = w.option("partitionOverwriteMode", "dynamic")
         w.mode("overwrite").parquet(target)

@@ -39,6 +39,16 @@ def encode_trades_json(trades: DataFrame) -> DataFrame:
     return trades.select(F.col("symbol").alias("key"), F.encode(payload, "UTF-8").alias("value"))
 
 
+def decode_trades_json(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Message records as ``encode_trades_json`` writes them (flat JSON, text or
+    UTF-8 bytes) -> TRADE rows. A field that is absent is NULL; a message that
+    is no JSON object is a row of NULLs, for the cleaning step to drop."""
+    value = F.col(value_col)
+    if raw.schema[value_col].dataType.simpleString() == "binary":
+        value = F.decode(value, "UTF-8")
+    return raw.select(F.from_json(value, TRADE).alias("_t")).select("_t.*")
+
+
 def flatten_metadata(raw: DataFrame, value_col: str = "value",
                      source: str = METADATA_SOURCE) -> DataFrame:
     """``{"coins": {coin_id: {symbol, price, timestamp, confidence}}}`` -> one

@@ -17,11 +17,14 @@ EVENT_SYMBOLS = {
     "signup": "DOGEUSDT",
     "error": "AVAXUSDT",
 }
-# Metadata feed covers three coins only, like the source it stands in for.
+# The metadata feed covers three of the traded coins and two that are not
+# traded, so that assets without metadata occur (DOGE, AVAX).
 METADATA_COINS = {
     "click": ("coingecko:bitcoin", "BTC"),
     "view": ("coingecko:ethereum", "ETH"),
     "purchase": ("coingecko:solana", "SOL"),
+    "signup": ("coingecko:litecoin", "LTC"),
+    "error": ("coingecko:tron", "TRX"),
 }
 METADATA_SOURCE = "defillama"
 # --------------------------------------------------------------------------
@@ -65,12 +68,11 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_as_metadata(events: DataFrame) -> DataFrame:
     """Read ``events`` as a flat asset-metadata feed (METADATA layout).
 
-    Each event of a covered type is one price observation: price = value,
+    Each event is one price observation of its type's coin: price = value,
     timestamp = epoch seconds of ts, confidence = props.k / 100.
     """
-    covered = list(METADATA_COINS)
     et = F.col("event_type")
-    return events.where(et.isin(covered)).select(
+    return events.select(
         _case(et, {k: v[0] for k, v in METADATA_COINS.items()}).alias("coin_id"),
         _case(et, {k: v[1] for k, v in METADATA_COINS.items()}).alias("symbol"),
         F.col("value").alias("price"),

@@ -5,10 +5,10 @@ order-dependent statistics are computed from sorted arrays with higher-order
 functions -- in the same two levels as the batch reducer, so that no state
 row ever holds a whole hot window:
 
-1. ``groupBy(symbol, window(ts, part))``: the trades of one part, sorted by
-   (ts, trade_id), reduced to a fixed-size summary.
-2. ``groupBy(symbol, window(window_time(part), width))``: at most width/part
-   part summaries per window, sorted and stitched across part boundaries.
+1. ``groupBy(symbol, window(ts, width), part)``: the trades of one part of a
+   window, sorted by (ts, trade_id), reduced to a fixed-size summary.
+2. ``groupBy(symbol, window)``: at most width/part part summaries per window,
+   sorted and stitched across part boundaries.
 
 Both aggregations are stateful and driven by the same watermark; a window is
 emitted once, when the watermark passes its end. Trades arriving after that
@@ -20,8 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapecraft.functions.columns import BUY, MU, SELL
-from tapecraft.operators.bars import default_part
+from tapecraft.functions.columns import BUY, MU, SELL, interval_ms
+from tapecraft.operators.bars import default_part, finish_bars
 from tapecraft.schemas import BARS_STREAM_COLUMNS
 
 
@@ -103,15 +103,20 @@ def stream_minute_append(clean_stream: DataFrame, width: str = "1 minute",
     trade = F.struct("ts", "trade_id", "price", "quantity", buy.alias("buy"))
     # Watermarks need an instant (TIMESTAMP) column; windows are epoch aligned,
     # so their bounds equal the NTZ windows of the batch path in a UTC session.
+    # The window itself is in the first key: its state closes, and a trade is
+    # late, when the watermark passes the window's end, whatever the part.
+    if interval_ms(width) % interval_ms(part):
+        raise ValueError(f"part {part!r} must divide window width {width!r}")
+    part_of = F.floor(F.pmod(F.col("trade_time"), F.lit(interval_ms(width))) / F.lit(interval_ms(part)))
     lvl1 = (
         clean_stream.withColumn("_et", F.timestamp_millis(F.col("trade_time")))
         .withWatermark("_et", watermark)
-        .groupBy("symbol", F.window("_et", part).alias("pw"))
+        .groupBy("symbol", F.window("_et", width).alias("pw"), part_of.alias("part"))
         .agg(F.collect_list(trade).alias("_trades"))
     )
     summ = part_summary(F.col("_trades"))
     parts = lvl1.select(
-        "symbol", F.window_time("pw").alias("pt"), F.col("pw.start").cast("timestamp_ntz").alias("part"),
+        "symbol", F.window_time("pw").alias("pt"), "part",
         *[c.alias(k) for k, c in summ.items()],
     )
     part_struct = F.struct("part", "n", "first_price", "last_price", "first_abs", "last_abs",
@@ -135,14 +140,7 @@ def stream_minute_append(clean_stream: DataFrame, width: str = "1 minute",
         st["bipower_variation"].alias("bipower_variation"),
         st["buy_volume"].alias("buy_volume"), st["sell_volume"].alias("sell_volume"),
     )
-    out = (out.withColumn("realized_vol", F.sqrt("realized_variance"))
-           .withColumn("signed_volume", F.col("buy_volume") - F.col("sell_volume"))
-           .withColumn("ofi", F.when(F.col("volume") > 0,
-                                     (F.col("buy_volume") - F.col("sell_volume")) / F.col("volume"))
-                       .otherwise(F.lit(0.0))))
+    out = finish_bars(out, bipower)
     if bipower:
-        out = out.withColumn("jump_component", F.greatest(
-            F.col("realized_variance") - F.col("bipower_variation"), F.lit(0.0)))
         return out.select(*BARS_STREAM_COLUMNS, "bipower_variation", "jump_component")
     return out.select(*BARS_STREAM_COLUMNS)
-
