@@ -229,6 +229,91 @@ def q_stream_upsert(spark, sf_dir):
     target = scratch_path(spark, "silver-stream")
     ckpt = scratch_path(spark, "stream-upsert-checkpoint")
     q = U.stream_upsert(spark, stream, lambda: L.read_landed(spark, landing), target, ckpt,
-                        WIDTH, as_of=None, horizon=None, trigger={"availableNow": True})
+                        WIDTH, horizon=None, trigger={"availableNow": True}, event_day="dt")
     q.awaitTermination()
     return spark.read.parquet(target).select(*BARS_STREAM_COLUMNS)
+
+
+_WIDE = "7 hours"
+_WIDE_SQL = O.with_ctes(_WIDE) + """,
+bars_s AS (
+  SELECT symbol, minute AS window_start, minute + INTERVAL 25200 SECOND AS window_end,
+         open, high, low, close, volume, trade_count, vwap, realized_variance, realized_vol,
+         buy_volume, sell_volume, signed_volume, ofi
+  FROM bars)
+"""
+
+
+@register("recompute_touched_over_midnight", _WIDE_SQL + select_rounded(BARS_STREAM_COLUMNS, _BARS_S_DOUBLES, "bars_s"))
+def q_recompute_over_midnight(spark, sf_dir):
+    """All seven-hour windows (many reach over midnight) recomputed from a landing
+    partitioned by event day, with the day pruning on."""
+    landing = scratch_path(spark, "landing")
+    L.partitioned_landing(S.trades(spark, sf_dir), landing)
+    clean = clean_trades(L.read_landed(spark, landing), _WIDE)
+    return U.recompute_touched(clean, U.touched_minutes(clean), _WIDE, horizon=None, event_day="dt")
+
+
+# Trades arrive late by up to 1,200 s, in eight batches of equal length of arrival time.
+_ARRIVAL_SQL = """,
+arrivals AS (
+  SELECT symbol, minute, ts, trade_time + (trade_id * 7919 % 1200) * 1000 AS arrived FROM clean),
+batches AS (
+  SELECT symbol, minute, ts, least(7, (arrived - (SELECT min(arrived) FROM arrivals)) * 8
+         // greatest((SELECT max(arrived) - min(arrived) FROM arrivals), 1)) AS b FROM arrivals)"""
+
+
+def _arrival_batches(spark, sf_dir, n=8):
+    """The tape with its batch number by arrival: trade time plus a delay from the trade id."""
+    tape = _text_tape(spark, sf_dir).withColumn(
+        "_at", F.col("trade_time") + (F.col("trade_id") * 7919 % 1200) * 1000)
+    valid = (F.col("price").try_cast("double") > 0) & (F.col("quantity").try_cast("double") > 0)
+    ends = tape.where(valid).agg(F.min("_at").alias("lo"), F.max("_at").alias("hi")).first()
+    lo, span = ends["lo"] or 0, max((ends["hi"] or 0) - (ends["lo"] or 0), 1)
+    batch = F.least(F.lit(n - 1), F.greatest(F.lit(0), F.floor((F.col("_at") - lo) * n / F.lit(span))))
+    return tape.withColumn("_batch", batch)
+
+
+@register("stream_append_out_of_order", _BARS_S_SQL + select_rounded(
+    BARS_STREAM_COLUMNS, _BARS_S_DOUBLES, "bars_s",
+    " WHERE window_end <= (SELECT max(ts) FROM clean) - INTERVAL 30 MINUTE"))
+def q_stream_append_out_of_order(spark, sf_dir):
+    """The append reducer over eight micro-batches of trades that arrive up to 20
+    minutes late, under a watermark of 30 minutes: no trade is lost, closed
+    windows equal the batch bars."""
+    root = scratch_path(spark, "stream-late")
+    tape = _arrival_batches(spark, sf_dir).persist()
+    files = 4
+    for b in range(8):   # one write a batch, so that file times follow the arrivals
+        (tape.where(F.col("_batch") == b).drop("_at", "_batch").repartition(files)
+         .write.mode("append").json(f"{root}/in"))
+    tape.unpersist()
+    raw = spark.readStream.schema(TRADE).option("maxFilesPerTrigger", files).json(f"{root}/in")
+    out = stream_minute_append(clean_trades(raw, WIDTH), WIDTH, "30 minutes")
+    q = (out.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_upsert_horizon", _BARS_S_SQL.rstrip() + _ARRIVAL_SQL + """,
+edges AS (SELECT b, max(ts) AS last FROM batches GROUP BY b),
+seen AS (
+  SELECT DISTINCT t.symbol, t.minute, t.b FROM batches t JOIN edges e ON e.b = t.b
+  WHERE t.minute >= make_timestamp((epoch_us(e.last - INTERVAL 6 HOUR) // 3600000000) * 3600000000))
+""" + select_rounded(BARS_STREAM_COLUMNS, _BARS_S_DOUBLES, "bars_s",
+                     " WHERE (symbol, window_start) IN (SELECT (symbol, minute) FROM seen)"))
+def q_stream_upsert_horizon(spark, sf_dir):
+    """The speed layer with a horizon of six hours that moves with the eight
+    batches: of a batch only windows of its last six hours are recomputed, from
+    the whole landing."""
+    landing = scratch_path(spark, "landing")
+    tape = _arrival_batches(spark, sf_dir).persist()
+    L.partitioned_landing(S.trades(spark, sf_dir), landing)
+    target = scratch_path(spark, "silver-horizon")
+    handle = U.upsert_handler(spark, lambda: L.read_landed(spark, landing), target, WIDTH, horizon="6 hours",
+                              event_day="dt")
+    for b in range(8):
+        handle(clean_trades(tape.where(F.col("_batch") == b).drop("_at", "_batch"), WIDTH), b)
+    tape.unpersist()
+    return spark.read.parquet(target).select(*BARS_STREAM_COLUMNS)

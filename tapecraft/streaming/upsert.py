@@ -4,13 +4,18 @@ upsert it into silver, keyed on (symbol, window_start).
 Per micro-batch (``foreachBatch``):
 1. ``touched_minutes``: distinct (symbol, window) keys of the batch -- kept as
    a DataFrame, never collected to the driver;
-2. ``recompute_touched``: all landed trades of those windows (semi join; the
-   landing is partitioned by symbol/dt so partition filters prune the scan),
-   inside the recompute horizon, reduced to bars;
+2. ``recompute_touched``: all landed trades of those windows (semi join),
+   reduced to bars. Windows before the horizon are left out and counted;
 3. ``upsert_minutes``: the touched ``dt`` partitions of the target are rewritten
    with old rows of untouched keys plus the new rows (dynamic partition
    overwrite). Replaying a batch yields identical rows (idempotent per key).
-   Single writer; not atomic across partitions.
+
+Two small numbers per batch, the first and last touched day, become literal
+partition filters, so landing and silver are read for those days only.
+
+Single writer. The overwrite of one batch is not atomic across partitions; the
+merged rows are checkpointed before it, and the next run of the same batch
+writes the same partitions again from the landing.
 """
 
 from __future__ import annotations
@@ -22,9 +27,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapecraft.functions.columns import interval_seconds, ntz_literal, window_start
 from tapecraft.operators.bars import minute_bars_stream
 from tapecraft.operators.clean import clean_trades, recent_trades
-from tapecraft.operators.joins import join_small
+from tapecraft.session import checkpoint_root
 
 KEYS = ["symbol", "window_start"]
 
@@ -37,53 +43,79 @@ def touched_minutes(batch: DataFrame) -> DataFrame:
             .distinct())
 
 
+def touched_days(touched: DataFrame, width: str = "1 minute") -> tuple[str, str] | None:
+    """First and last UTC day that the touched windows reach, as literals for
+    partition filters (one aggregate); None without windows."""
+    end = F.col("minute") + F.expr(f"INTERVAL {interval_seconds(width)} SECONDS") - F.expr("INTERVAL 1 MICROSECOND")
+    row = touched.agg(F.date_format(F.min("minute"), "yyyy-MM-dd").alias("lo"),
+                      F.date_format(F.max(end), "yyyy-MM-dd").alias("hi")).first()
+    return None if row["lo"] is None else (row["lo"], row["hi"])
+
+
+def horizon_start(as_of: datetime, horizon: str, width: str):
+    """The first window start that is recomputed: ``as_of - horizon``, aligned
+    down to a whole window, so a window on the cut is never cut itself."""
+    return window_start(ntz_literal(as_of) - F.expr(f"INTERVAL {interval_seconds(horizon)} SECONDS"), width)
+
+
 def recompute_touched(all_trades: DataFrame, touched: DataFrame, width: str = "1 minute",
                       as_of: datetime | None = None, horizon: str | None = "20 minutes",
-                      part: str | None = None, max_part_rows: int | None = None) -> DataFrame:
+                      part: str | None = None, max_part_rows: int | None = None,
+                      event_day: str | None = None) -> DataFrame:
     """Bars (speed-layer shape) of the touched windows, from *all* their trades.
 
     ``all_trades`` are clean trades (``clean_trades`` with the same width). With
-    ``as_of`` the horizon cut is aligned down to a whole window, so a window on
-    the cut is recomputed from all of its trades, never from a suffix.
-    ``part`` / ``max_part_rows`` split hot windows as in ``minute_bars``.
+    ``as_of`` and ``horizon`` only windows from ``horizon_start`` on are
+    recomputed. ``event_day`` names a partition column that holds each trade's
+    own UTC day (not a landing run's day): the scan is then pruned to the days
+    that the touched windows reach. ``part`` / ``max_part_rows`` split hot
+    windows as in ``minute_bars``.
     """
-    t = all_trades
+    t, keys = all_trades, touched.select("symbol", "minute")
     if as_of is not None and horizon:
         t = recent_trades(t, as_of, horizon, width)
-    if "dt" in t.columns:
-        days = touched.select(F.date_format("minute", "yyyy-MM-dd").alias("dt")).distinct()
-        t = t.join(days, "dt", "left_semi")
-    t = join_small(t, touched.select("symbol", "minute"), ["symbol", "minute"], "left_semi")
+        keys = keys.where(F.col("minute") >= horizon_start(as_of, horizon, width))
+    if event_day is not None:
+        days = touched_days(keys, width)
+        t = t.where(F.col(event_day).between(*days) if days else F.lit(False))
+    t = t.join(keys, ["symbol", "minute"], "left_semi")
     return minute_bars_stream(t, width, part, max_part_rows=max_part_rows)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``; None when there is none (any other failure is raised)."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def upsert_minutes(spark: SparkSession, target: str, updates: DataFrame, keys=KEYS,
                    partition_col: str = "dt", day_of: str = "window_start") -> None:
     """Keyed update-or-insert of ``updates`` into the parquet table at ``target``.
 
-    Only the ``partition_col`` partitions named by the updates are read and
-    rewritten. The updates (one row per updated key) are checkpointed once,
-    as the merge reads them three times (days, keys, rows) and they are
-    usually a recomputation from raw trades; the merged rows are checkpointed
-    too (shared checkpoint dir) before the overwrite so the write never reads
-    the files it replaces.
+    Only the ``partition_col`` partitions between the updates' first and last
+    day are read (a literal filter), and only those with an update are
+    rewritten. The updates (one row per updated key) are checkpointed once, as
+    the merge reads them three times (days, keys, rows) and they are usually a
+    recomputation from raw trades; the merged rows are checkpointed too (shared
+    checkpoint dir) before the overwrite so the write never reads the files it
+    replaces.
     """
     ups = updates.withColumn(partition_col, F.date_format(F.col(day_of), "yyyy-MM-dd"))
-    if not _exists(spark, target):
+    current = _read_table(spark, target)
+    if current is None:
         ups.write.mode("overwrite").partitionBy(partition_col).parquet(target)
         return
-    from tapecraft.session import checkpoint_root
     checkpoint_root(spark)
     ups = ups.checkpoint(eager=True)
-    current = spark.read.parquet(target)
+    span = ups.agg(F.min(partition_col).alias("lo"), F.max(partition_col).alias("hi")).first()
+    if span["lo"] is None:
+        return
+    current = current.withColumn(partition_col, F.col(partition_col).cast("string")).where(
+        F.col(partition_col).between(span["lo"], span["hi"]))
     days = ups.select(partition_col).distinct()
     kept = (current.join(days, partition_col, "left_semi")
             .join(ups.select(*keys, partition_col), [*keys, partition_col], "left_anti"))
@@ -93,20 +125,36 @@ def upsert_minutes(spark: SparkSession, target: str, updates: DataFrame, keys=KE
 
 
 def upsert_handler(spark: SparkSession, read_all: Callable[[], DataFrame], target: str,
-                   width: str = "1 minute", as_of: datetime | None = None,
+                   width: str = "1 minute", as_of: datetime | Callable[[], datetime] | None = None,
                    horizon: str | None = "20 minutes", part: str | None = None,
-                   max_part_rows: int | None = None):
-    """``foreachBatch`` callback: touched -> recompute from all trades -> upsert."""
+                   max_part_rows: int | None = None, event_day: str | None = None,
+                   on_skipped: Callable[[int, int], None] | None = None):
+    """``foreachBatch`` callback: touched -> recompute from all trades -> upsert.
+
+    The horizon moves with the batches: it is counted from ``as_of`` (a time, or
+    a function called per batch) or else from the batch's last trade. Touched
+    windows before it are not recomputed; ``on_skipped(batch_id, windows)`` is
+    told how many. ``horizon=None`` recomputes all touched windows.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # touched keys are used three times (emptiness, size check, semi join):
+        # touched keys are used several times (emptiness, days, semi join):
         # keep them for the duration of the batch instead of re-reading the batch
         touched = touched_minutes(batch).persist()
         try:
             if touched.isEmpty():
                 return
+            now = None
+            if horizon:
+                now = as_of() if callable(as_of) else as_of or batch.agg(F.max("ts").alias("t")).first()["t"]
+                fresh = F.col("minute") >= horizon_start(now, horizon, width)
+                counts = touched.agg(F.count(F.when(~fresh, 1)).alias("old"), F.count(F.when(fresh, 1)).alias("new")).first()
+                if counts["old"] and on_skipped is not None:
+                    on_skipped(batch_id, counts["old"])
+                if not counts["new"]:
+                    return
             all_trades = clean_trades(read_all(), width)
-            result = recompute_touched(all_trades, touched, width, as_of, horizon, part, max_part_rows)
+            result = recompute_touched(all_trades, touched, width, now, horizon, part, max_part_rows, event_day)
             upsert_minutes(spark, target, result)
         finally:
             touched.unpersist()
@@ -116,14 +164,15 @@ def upsert_handler(spark: SparkSession, read_all: Callable[[], DataFrame], targe
 
 def stream_upsert(spark: SparkSession, trades_stream: DataFrame, read_all: Callable[[], DataFrame],
                   target: str, checkpoint: str, width: str = "1 minute",
-                  as_of: datetime | None = None, horizon: str | None = "20 minutes",
+                  as_of: datetime | Callable[[], datetime] | None = None, horizon: str | None = "20 minutes",
                   trigger: dict | None = None, part: str | None = None,
-                  max_part_rows: int | None = None):
-    """Start the speed-layer query; returns the StreamingQuery."""
+                  max_part_rows: int | None = None, event_day: str | None = None,
+                  on_skipped: Callable[[int, int], None] | None = None):
+    """Start the speed-layer query (see ``upsert_handler``); returns the StreamingQuery."""
     clean = clean_trades(trades_stream, width)
     writer = (clean.writeStream.outputMode("append")
               .foreachBatch(upsert_handler(spark, read_all, target, width, as_of, horizon, part,
-                                           max_part_rows))
+                                           max_part_rows, event_day, on_skipped))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(**(trigger or {"processingTime": "30 seconds"}))
     return writer.start()
