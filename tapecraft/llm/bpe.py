@@ -48,7 +48,7 @@ TOLD_WORDS = 8_000_000
 #: Text characters after which a block of documents is closed.
 BLOCK_CHARS = 4 << 20
 #: Distinct pieces that a task or worker remembers.
-PIECES_KEPT = 1_000_000
+PIECES_KEPT = 400_000
 #: Rank of a pair that does not merge.
 NONE = (1 << 31) - 1
 PLACES = 1 << 18
@@ -175,33 +175,49 @@ _MATCHES = regex.compile(public_tokenizers.PATTERN).findall
 
 
 def piece_words(piece: str) -> list[str]:
-    """The pattern's matches in a piece of text; the commonest shapes without running it."""
-    word = piece[1:] if piece[0] == " " else piece
-    if word.isascii() or max(word) < "ɐ":
-        if word.isalpha():
-            return [piece]
-        if word[-1:] in (",", ".") and word[:-1].isalpha():
-            return [piece[:-1], piece[-1]]
+    """The pattern's matches in a piece of text."""
     return _MATCHES(piece)
 
 
+def sort_pieces(pieces) -> tuple[list[str], list[str], list[str]]:
+    """Pieces by shape: one word; a word and a comma or full stop; any other.
+
+    The first two spare most pieces the pattern: a run of Latin letters with or
+    without a space before it is one match, a mark after it another.
+    """
+    plain, ended, other = [], [], []
+    for piece in pieces:
+        if piece.isascii() or max(piece) < "ɐ":
+            if piece.isalpha() or piece[0] == " " and piece[1:].isalpha():
+                plain.append(piece)
+                continue
+            if piece[-1] in ",." and piece[:-1].lstrip(" ").isalpha() and piece[1:2] != " ":
+                ended.append(piece)
+                continue
+        other.append(piece)
+    return plain, ended, other
+
+
 def _list_words(batches):
     """Distinct words of a task's texts (a word may come again once the task has forgotten it)."""
-    seen: set[str] = set()
+    seen: set[str] = {""}
     told: set[str] = set()
     for batch in batches:
         words = set()
         for text in batch.column(0).to_pylist():
             fresh = set(split_pieces(text or "")).difference(seen)
             seen |= fresh
-            for piece in fresh:
-                if piece:
-                    words.update(piece_words(piece))
+            plain, ended, other = sort_pieces(fresh)
+            words.update(plain)
+            for piece in ended:
+                words.add(piece[:-1])
+                words.add(piece[-1])
+            for piece in other:
+                words.update(piece_words(piece))
         words -= told
         told |= words
-        if len(seen) > PIECES_KEPT:
-            seen.clear()
-            told.clear()
+        if len(seen) + len(told) > PIECES_KEPT:
+            seen, told = {""}, set()
         yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], names=["word"])
 
 
@@ -263,29 +279,48 @@ class Assembler:
             cls._held[folder] = cls(folder)
         return cls._held[folder]
 
-    def missing(self, texts: list[str]) -> list[str]:
-        """Words of the texts that were not told, after learning the pieces of those that were."""
+    def look_up(self, texts: list[str]) -> tuple[list[list[str]], list[list[bytes | None]], list[str]]:
+        """Pieces of the texts, their ids so far, and the words that were not told."""
         if len(self.kept) > PIECES_KEPT:
             self.kept = {"": b""}
-        fresh = list({p for t in texts for p in split_pieces(t)}.difference(self.kept))
-        parts = [piece_words(p) for p in fresh]
-        words = list({w for ws in parts for w in ws})
+        cut = [split_pieces(t) for t in texts]
+        found = [list(map(self.kept.get, pieces)) for pieces in cut]
+        fresh = {p for pieces, ids in zip(cut, found) if None in ids for p, x in zip(pieces, ids) if x is None}
+        plain, ended, other = sort_pieces(fresh)
+        parts = [piece_words(p) for p in other]
+        words = list({",", "."}.union(*parts))
         known = dict(zip(words, self.vocabulary.find(words)))
-        for piece, ws in zip(fresh, parts):
+        missing = []
+        for piece, ids in zip(plain, self.vocabulary.find(plain)):
+            if ids is not None:
+                self.kept[piece] = ids
+            else:
+                missing.append(piece)
+        heads = [p[:-1] for p in ended]
+        for piece, head, ids in zip(ended, heads, self.vocabulary.find(heads)):
+            if ids is not None and known[piece[-1]] is not None:
+                self.kept[piece] = ids + known[piece[-1]]
+            else:
+                known[head] = ids
+        for piece, ws in zip(other, parts):
             ids = [known[w] for w in ws]
             if None not in ids:
                 self.kept[piece] = b"".join(ids)
         self.known = known
-        return [w for w, ids in known.items() if ids is None]
+        used = {w for ws in parts for w in ws}.union(h for h in heads if h in known)
+        if any(p not in self.kept for p in ended):
+            used |= {",", "."}
+        return cut, found, list(set(missing).union(w for w in used if known[w] is None))
 
-    def encode(self, text: str, folded: dict[str, bytes]) -> np.ndarray:
-        pieces = split_pieces(text)
-        found = list(map(self.kept.get, pieces))
+    def put_together(self, pieces: list[str], found: list[bytes | None], folded: dict[str, bytes]) -> bytes:
         if None in found:
             for k, x in enumerate(found):
                 if x is None:
-                    found[k] = b"".join([folded.get(w) or self.known[w] for w in piece_words(pieces[k])])
-        return np.frombuffer(b"".join(found), "<u2")
+                    piece = pieces[k]
+                    found[k] = self.kept.get(piece)
+                    if found[k] is None:
+                        found[k] = b"".join([folded.get(w) or self.known[w] for w in piece_words(piece)])
+        return b"".join(found)
 
 
 def _blocks(batches):
@@ -302,11 +337,11 @@ def _blocks(batches):
             yield ids, texts
 
 
-def _encoded(ids, texts, assembler, folded):
+def _encoded(ids, texts, assembler, looked_up, folded):
     """Arrow rows of a block's documents."""
-    arrays = [assembler.encode(t, folded) for t in texts]
-    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
-    flat = np.concatenate(arrays).astype(np.int32) if arrays else np.zeros(0, np.int32)
+    bodies = [assembler.put_together(pieces, found, folded) for pieces, found in zip(*looked_up)]
+    ends = (np.cumsum([0, *map(len, bodies)]) // 2).astype(np.int32)
+    flat = np.frombuffer(b"".join(bodies), "<u2").astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
         names=["doc_id", "text", "ids"])
@@ -347,9 +382,10 @@ def encode_documents(docs: DataFrame, rank_file: str, told_words: int = TOLD_WOR
         def encode(batches):
             assembler = Assembler.of(vocabulary)
             for ids, texts in _blocks(batches):
-                if assembler.missing(texts):
+                *looked_up, missing = assembler.look_up(texts)
+                if missing:
                     raise ValueError("a word of the corpus is not in its vocabulary")
-                yield _encoded(ids, texts, assembler, {})
+                yield _encoded(ids, texts, assembler, looked_up, {})
 
         return rows.mapInArrow(encode, out)
 
@@ -357,16 +393,15 @@ def encode_documents(docs: DataFrame, rank_file: str, told_words: int = TOLD_WOR
         assembler = Assembler.of(vocabulary)
         for ids, texts in _blocks(batches):
             columns = [pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string())),
-                       pa.array([assembler.missing(texts)], pa.list_(pa.string()))]
+                       pa.array([assembler.look_up(texts)[2]], pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, names=["ids", "texts", "words"])
 
     def finish(batches):
         assembler = Assembler.of(vocabulary)
         for batch in batches:
             for ids, texts, words, folded in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                assembler.missing(texts)
                 fresh = {w: np.array(x, "<u2").tobytes() for w, x in zip(words, folded)}
-                yield _encoded(ids, texts, assembler, fresh)
+                yield _encoded(ids, texts, assembler, assembler.look_up(texts)[:2], fresh)
 
     blocks = rows.mapInArrow(gather, "ids array<long>, texts array<string>, words array<string>")
     return blocks.withColumn("folded", encode_words(F.col("words"), rank_file)).mapInArrow(finish, out)
