@@ -1,11 +1,12 @@
 """Byte-level BPE by ranks: encoding folds ranked merges in Spark higher-order functions.
 
-``encode_word`` turns a word into ids. Its bytes become an array of ids, and an
-``aggregate`` merges the leftmost pair of lowest rank until no pair has one. The
-ranks of neighbours are kept beside the ids, so a merge looks up only the two
-pairs that it changes. The rank map is a literal: two arrays, keys and ranks,
-with two places for each pair of ids (cuckoo hashing), so a look-up is at most
-two array reads.
+``encode_word`` turns a word into ids. Its bytes become ids, and an ``aggregate``
+merges the leftmost pair of lowest rank until no pair has one. The state is two
+strings with one character an id: the ids, and the ranks of neighbours (a merged
+pair's rank is its id), so a merge looks up only the two pairs that it changes,
+and cutting and joining are string functions, which cost a fraction of those on
+arrays. The rank map is a literal: two arrays, keys and ranks, with two places
+for each pair of ids (cuckoo hashing), so a look-up is at most two array reads.
 
 ``encode_documents`` folds each distinct word of the corpus once, not each
 occurrence. Tasks list their distinct words (pre-tokens by the pattern), Spark
@@ -49,8 +50,10 @@ TOLD_WORDS = 8_000_000
 BLOCK_CHARS = 4 << 20
 #: Distinct pieces that a task or worker remembers.
 PIECES_KEPT = 400_000
-#: Rank of a pair that does not merge.
-NONE = (1 << 31) - 1
+#: Characters of the state: an id is the character this far on; two beyond all ids stand for
+#: no rank and for the ends of a word.
+FIRST = 0x100
+NO_RANK, END = chr(0xD7FF), chr(0xD7FE)
 PLACES = 1 << 18
 MIX = (1640531527, 1181783497)
 SHIFT = (22, 24)
@@ -68,15 +71,15 @@ def _places(key: int) -> tuple[int, int]:
 
 
 def pair_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
-    """Every pair of ids whose bytes together are a piece: ``left * 2^16 + right`` to the piece's id."""
-    if len(ranks) > 1 << 16:
-        raise ValueError("ids must be below 65,536")
+    """Every pair of ids whose bytes together are a piece, as ``left * 2^16 + right`` of their characters, to its id."""
+    if max(ranks.values()) >= ord(END) - FIRST:
+        raise ValueError("an id has no character")
     found = {}
     for piece, rank in ranks.items():
         for cut in range(1, len(piece)):
             left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
             if left is not None and right is not None:
-                found[left << 16 | right] = rank
+                found[(left + FIRST) << 16 | (right + FIRST)] = rank
     return found
 
 
@@ -84,12 +87,12 @@ def pair_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
 def _rank_arrays(rank_file: str) -> tuple[str, str, str, str]:
     """The literal's arrays as JSON: keys and ranks by place, the ids of the 256 bytes, and every id's bytes in hex."""
     ranks = read_ranks(rank_file)
-    keys, values = [-1] * PLACES, [0] * PLACES
+    keys, values = [-1] * PLACES, [NO_RANK] * PLACES
     for key, rank in pair_ranks(ranks).items():
-        place = _places(key)[0]
+        value, place = chr(rank + FIRST), _places(key)[0]
         for _ in range(500):
             key, keys[place] = keys[place], key
-            rank, values[place] = values[place], rank
+            value, values[place] = values[place], value
             if key < 0:
                 break
             first, second = _places(key)
@@ -99,7 +102,8 @@ def _rank_arrays(rank_file: str) -> tuple[str, str, str, str]:
     pieces = [""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece.hex().upper()
-    return (json.dumps(keys), json.dumps(values), json.dumps([ranks[bytes([b])] for b in range(256)]), json.dumps(pieces))
+    return (json.dumps(keys), json.dumps(values), json.dumps([chr(ranks[bytes([b])] + FIRST) for b in range(256)]),
+            json.dumps(pieces))
 
 
 def _let(value: Column, body) -> Column:
@@ -112,49 +116,49 @@ def _let(value: Column, body) -> Column:
 def _pair_rank(table: dict[str, Column], left: Column, right: Column) -> Column:
     def find(key: Column) -> Column:
         at = [(F.shiftright(key * F.lit(MIX[k]), SHIFT[k]) % PLACES).cast("int") for k in range(2)]
-        return (F.when((left < 0) | (right < 0), NONE)
-                .when(F.get(table["keys"], at[0]) == key, F.get(table["ranks"], at[0]))
-                .when(F.get(table["keys"], at[1]) == key, F.get(table["ranks"], at[1])).otherwise(F.lit(NONE)))
+        return (F.when(F.get(table["keys"], at[0]) == key, F.get(table["ranks"], at[0]))
+                .when(F.get(table["keys"], at[1]) == key, F.get(table["ranks"], at[1])).otherwise(F.lit(NO_RANK)))
 
-    return _let(left.cast("long") * 65536 + right, find)
+    return _let(F.ascii(left).cast("long") * 65536 + F.ascii(right), find)
 
 
 def _merge(table: dict[str, Column], state: Column) -> Column:
-    """Merge the leftmost pair of lowest rank; ``p`` are ids between two ends of -1, ``r`` the ranks of neighbours."""
-    p, r = state["p"], state["r"]
+    """Merge the leftmost pair of lowest rank; ``p`` are the ids between two ends, ``r`` the ranks of neighbours."""
+    p, r, one, rest = state["p"], state["r"], F.lit(1), F.lit(1 << 30)
 
     def at_place(best: Column, at: Column) -> Column:
-        rest = F.size(p)
-        around = F.array(_pair_rank(table, F.get(p, at - 2), best), _pair_rank(table, best, F.get(p, at + 1)))
+        left, right = F.substring(p, at - 1, one), F.substring(p, at + 2, one)
         return F.struct(
-            F.concat(F.slice(p, F.lit(1), at - 1), F.array(best), F.slice(p, at + 2, rest)).alias("p"),
-            F.concat(F.slice(r, F.lit(1), at - 2), around, F.slice(r, at + 2, rest)).alias("r"))
+            F.concat(F.substring(p, one, at - 1), best, F.substring(p, at + 2, rest)).alias("p"),
+            F.concat(F.substring(r, one, at - 2), _pair_rank(table, left, best), _pair_rank(table, best, right),
+                     F.substring(r, at + 2, rest)).alias("r"))
 
-    return _let(F.array_min(r), lambda best: F.when(best == NONE, state).otherwise(
-        _let(F.array_position(r, best).cast("int"), lambda at: at_place(best, at))))
+    return _let(F.array_min(F.split(r, "")), lambda best: F.when(best == NO_RANK, state).otherwise(
+        _let(F.instr(r, best), lambda at: at_place(best, at))))
 
 
 def encode_word(table: dict[str, Column], word: Column) -> Column:
     """Ids of one word that is not empty (array<int>)."""
     letters = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")  # one character a byte
-    end = F.array(F.lit(-1))
-    start = F.concat(end, F.transform(letters, lambda c: F.get(table["bytes"], F.ascii(c))), end)
 
-    def fold(p: Column) -> Column:
-        ranks = F.transform(F.slice(p, F.lit(2), F.size(p)), lambda x, i: _pair_rank(table, F.get(p, i), x))
-        return F.aggregate(F.slice(p, F.lit(4), F.size(p)), F.struct(p.alias("p"), ranks.alias("r")),
+    def fold(ids: Column) -> Column:
+        pairs = F.transform(F.slice(ids, F.lit(2), F.size(ids)), lambda x, i: _pair_rank(table, F.get(ids, i), x))
+        p = F.concat(F.lit(END), F.array_join(ids, ""), F.lit(END))
+        r = F.concat(F.lit(NO_RANK), F.array_join(pairs, ""), F.lit(NO_RANK))
+        return F.aggregate(F.slice(ids, F.lit(2), F.size(ids)), F.struct(p.alias("p"), r.alias("r")),
                            lambda state, _: _merge(table, state),
-                           lambda state: F.slice(state["p"], F.lit(2), F.size(state["p"]) - 2))
+                           lambda state: F.transform(F.split(F.substring(state["p"], F.lit(2), F.length(state["p"]) - 2), ""),
+                                                     lambda c: F.ascii(c) - FIRST))
 
-    return _let(start, fold)
+    return _let(F.transform(letters, lambda c: F.get(table["bytes"], F.ascii(c))), fold)
 
 
 def encode_words(words: Column, rank_file: str) -> Column:
     """Ids of each word of an array column: array<array<int>>."""
     keys, values, letters, _ = _rank_arrays(rank_file)
     literal = F.struct(F.from_json(F.lit(keys), "array<bigint>").alias("keys"),
-                       F.from_json(F.lit(values), "array<int>").alias("ranks"),
-                       F.from_json(F.lit(letters), "array<int>").alias("bytes"))
+                       F.from_json(F.lit(values), "array<string>").alias("ranks"),
+                       F.from_json(F.lit(letters), "array<string>").alias("bytes"))
 
     def with_arrays(t: Column) -> Column:
         return _let(t["keys"], lambda k: _let(t["ranks"], lambda r: _let(t["bytes"], lambda b: F.transform(
