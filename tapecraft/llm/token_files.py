@@ -103,7 +103,10 @@ class PieceEncoder:
     def _model_ids(self, match: str) -> bytes:
         found = self.kept.get(match)
         if found is None:
-            as_bytes = match.encode().decode("latin-1").translate(self.stand_in)
+            if match.isascii() and match.isprintable():  # of these only the space has a stand-in
+                as_bytes = match.replace(" ", self.stand_in[32])
+            else:
+                as_bytes = match.encode().decode("latin-1").translate(self.stand_in)
             found = self.kept[match] = self.serialise([t.id for t in self.model.tokenize(as_bytes)])
         return found
 
