@@ -199,7 +199,12 @@ def fit_model(docs: DataFrame):
     idf = idf.astype(np.float32)
 
     place = F.xxhash64("doc_id")
-    chosen = (learning.select("doc_id", "lang", place.alias("_place"))
+    # a share of each language by hash that holds its sample, but for bad luck; then the exact bound.
+    # One row a language, like the model's weights.
+    sizes = learning.groupBy("lang").agg(F.count("*").alias("_n"))
+    grid = 1 << 20
+    near = F.pmod(place, F.lit(grid)) * F.col("_n") < F.lit(2 * SAMPLE * grid)
+    chosen = (learning.select("doc_id", "lang", place.alias("_place")).join(F.broadcast(sizes), "lang").filter(near)
               .withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("_place", "doc_id")))
               .filter(F.col("_r") <= SAMPLE).select("doc_id").distinct())
     sampled = learning.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
