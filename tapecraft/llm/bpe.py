@@ -37,6 +37,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import regex
 import xxhash
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,9 +48,9 @@ from tapecraft.session import scratch_path
 #: Distinct words whose ids are told to every task, at most: about 20 bytes each.
 TOLD_WORDS = 8_000_000
 #: Text characters after which a block of documents is closed.
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 2 << 20
 #: Distinct pieces that a task or worker remembers.
-PIECES_KEPT = 400_000
+PIECES_KEPT = 250_000
 #: Characters of the state: an id is the character this far on; two beyond all ids stand for
 #: no rank and for the ends of a word.
 FIRST = 0x100
@@ -208,7 +209,7 @@ def _list_words(batches):
     told: set[str] = set()
     for batch in batches:
         words = set()
-        for text in batch.column(0).to_pylist():
+        for text in (x.as_py() for x in batch.column(0)):
             fresh = set(split_pieces(text or "")).difference(seen)
             seen |= fresh
             plain, ended, other = sort_pieces(fresh)
@@ -225,6 +226,10 @@ def _list_words(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], names=["word"])
 
 
+#: Flips the sign bit: signed order becomes unsigned order.
+SIGN = np.uint64(1 << 63)
+
+
 def word_hash(word: str) -> int:
     """Spark's ``xxhash64(word)``, unsigned."""
     return xxhash.xxh64_intdigest(word.encode(), seed=42)
@@ -234,29 +239,24 @@ class Vocabulary:
     """Ids of told words: sorted hashes, and the ids one after the other."""
 
     def __init__(self, folder: str | None):
-        self.hashes, self.ends, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
-        if folder is None:
-            return
-        store, path = open_store(folder)
-        table = pq.read_table(path, filesystem=store, columns=["hash", "ids"]).combine_chunks()
-        if not len(table):
-            return
-        hashes = table["hash"].to_numpy().view(np.uint64)
-        lists = table["ids"].combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
-        flat = lists.values.to_numpy().astype(np.uint16)
-        first = lists.offsets.to_numpy()[:-1]
-        order = np.argsort(hashes, kind="stable")
-        self.hashes, sizes = hashes[order], sizes[order].astype(np.int64)
-        self.ends = np.cumsum(sizes)
-        spread = np.repeat(first[order] - (self.ends - sizes), sizes) + np.arange(int(self.ends[-1]))
-        self.ids = flat[spread]
+        hashes, sizes, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.uint16)]
+        if folder is not None:
+            store, path = open_store(folder)
+            names = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
+            for name in names:  # files and their rows are in the order of the hashes
+                for batch in pq.ParquetFile(store.open_input_file(name)).iter_batches(1 << 16, columns=["hash", "ids"]):
+                    lists = batch.column(1)
+                    hashes.append(batch.column(0).to_numpy().view(np.uint64) ^ SIGN)
+                    sizes.append(np.diff(lists.offsets.to_numpy()).astype(np.uint32))
+                    ids.append(lists.flatten().to_numpy().astype("<u2"))
+        self.hashes, self.ids = np.concatenate(hashes), np.concatenate(ids)
+        self.ends = np.cumsum(np.concatenate(sizes), dtype=np.int64)
 
     def find(self, words: list[str]) -> list[bytes | None]:
         """The ids of each word as little-endian 16-bit numbers, None where it was not told."""
         if not words or not len(self.hashes):
             return [None] * len(words)
-        asked = np.fromiter((word_hash(w) for w in words), np.uint64, len(words))
+        asked = np.fromiter((word_hash(w) for w in words), np.uint64, len(words)) ^ SIGN
         at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
         hit = self.hashes[at] == asked
         begin = np.where(at > 0, self.ends[at - 1], 0)
@@ -330,10 +330,12 @@ class Assembler:
 def _blocks(batches):
     for batch in batches:
         ids, texts, size = [], [], 0
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids.append(doc_id)
-            texts.append(text or "")
-            size += len(texts[-1])
+        for at in range(0, batch.num_rows, 100):
+            some = batch.slice(at, 100)
+            for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                ids.append(doc_id)
+                texts.append(text or "")
+                size += len(texts[-1])
             if size >= BLOCK_CHARS:
                 yield ids, texts
                 ids, texts, size = [], [], 0
@@ -370,7 +372,10 @@ def told_vocabulary(spark: SparkSession, docs: DataFrame, rank_file: str, folder
     # words are dealt anew for the fold, which takes longer than it reads
     folded = words.repartition(parts).select(
         F.xxhash64("word").alias("hash"), F.get(encode_words(F.array("word"), rank_file), F.lit(0)).alias("ids"))
-    folded.write.mode("overwrite").parquet(f"{folder}/vocabulary")
+    folded.write.mode("overwrite").parquet(f"{folder}/folded")
+    # sorted once here, so that no task has to sort or gather the whole
+    (spark.read.parquet(f"{folder}/folded").repartitionByRange(parts, "hash").sortWithinPartitions("hash")
+     .write.mode("overwrite").parquet(f"{folder}/vocabulary"))
     return f"{folder}/vocabulary", total <= most
 
 
