@@ -47,7 +47,7 @@ def test_stages_match_brute_force(spark, tmp_path):
     assert sorted(r.doc_id for r in after if r.doc_id is not None) == sorted(groups)
     assert sum(r.doc_id is None for r in after) == sum(r.doc_id is None for r in before)
     before, after = kept["mix_sources"]
-    taken = mix_sources(spark.createDataFrame(before)).collect()
+    taken = mix_sources(spark.createDataFrame(before, "doc_id long, text string, lang string, source string, n_chars long")).collect()
     assert sorted(str(r.doc_id) for r in after) == sorted(
         str(r.doc_id) for r in taken for _ in range(int(r.taken / r.size + 0.5) if r.size else 0))
     before, after = kept["bpe_round_trip"]
