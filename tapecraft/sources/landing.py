@@ -103,7 +103,9 @@ def load_bronze_day(spark: SparkSession, path: str, day: str | None = None,
     if mode not in LOAD_MODES:
         raise ValueError(f"mode must be one of {LOAD_MODES}, not {mode!r}")
     symbols = [s.upper() for s in (symbols or SYMBOLS)]
-    df = read_landed(spark, path, [day] if day is not None else None, symbols)
+    df = read_landed(spark, path, [day] if day is not None else None, symbols).where(F.col("symbol").isin(symbols))
+    if day is not None:
+        df = df.where(F.col("dt") == F.lit(day))   # the folders say so already; the plan shows it
     if df.isEmpty():
         raise NoPartitionsError(f"no landed partitions for day={day} symbols={symbols}")
     if target is not None:

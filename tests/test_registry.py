@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tapecraft.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["events"]
@@ -39,11 +40,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) <= set(queries())
-    assert len(queries()) >= 38
+    assert set(ORACLES) == set(QUERIES) and len(QUERIES) >= 50
+    assert set(oracle_sql()) <= set(queries()) and set(QUERIES) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]

@@ -111,21 +111,47 @@ def test_land_metadata_partitions(spark):
 
 
 def test_land_stream_then_read(spark):
-    import os
     from tapecraft.schemas import TRADE
-    from tapecraft.session import local_path
-    src = scratch_path(spark, "test-land-src")
-    make_trades(spark, [("BTCUSDT", 1, "1", "1", WINDOW_MS, "false")]).write.mode("overwrite").json(src)
-    out, ckpt = scratch_path(spark, "test-land-out"), scratch_path(spark, "test-land-ckpt")
-    q = (spark.readStream.schema(TRADE).json(src).writeStream.format("json")
-         .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    assert spark.read.schema(TRADE).json(out).count() == 1
-    q2 = L.land_stream(spark.readStream.schema(TRADE).json(src), scratch_path(spark, "test-land-out2"),
-                       scratch_path(spark, "test-land-ckpt2"), every="1 second")
-    q2.processAllAvailable()
-    q2.stop()
-    assert os.path.isdir(local_path(out))
+    src, out = scratch_path(spark, "test-land-src"), scratch_path(spark, "test-land-out")
+    make_trades(spark, [("BTCUSDT", i, "1", "1", WINDOW_MS, "false") for i in range(3)]).write.mode("overwrite").json(src)
+    q = L.land_stream(spark.readStream.schema(TRADE).json(src), out, scratch_path(spark, "test-land-ckpt"), every="1 second")
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r.trade_id for r in spark.read.schema(TRADE).json(out).collect()) == [0, 1, 2]
+
+
+def test_unknown_load_mode_raises_and_leaves_the_table(spark):
+    path, target = scratch_path(spark, "test-mode"), scratch_path(spark, "test-mode-bronze")
+    day = 86_400_000
+    L.partitioned_landing(make_trades(spark, [("BTCUSDT", i, "1", "1", WINDOW_MS + i * day, "false") for i in range(2)]), path)
+    L.load_bronze_day(spark, path, "2026-06-15", target=target)
+    with pytest.raises(ValueError):
+        L.load_bronze_day(spark, path, "2026-06-16", target=target, mode="replace-day")
+    assert spark.read.parquet(target).count() == 1
+    assert L.load_bronze_day(spark, path, "2026-06-16", target=target, mode="replace_day").count() == 2
+
+
+def test_landing_writes_rebalance(spark):
+    plan = L._by_bytes(make_trades(spark, []), ["symbol"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_only_asked_folders_are_read(spark):
+    path = scratch_path(spark, "test-folders")
+    day = 86_400_000
+    L.partitioned_landing(make_trades(spark, [(s, i, "1", "1", WINDOW_MS + i * day, "false")
+                                              for s in ("BTCUSDT", "ETHUSDT") for i in range(3)]), path)
+    got = L.read_landed(spark, path, ["2026-06-16", "2026-06-30"], ["ETHUSDT", "XRPUSDT"])
+    assert {f.split("/symbol=")[1].rsplit("/", 1)[0] for f in got.inputFiles()} == {"ETHUSDT/dt=2026-06-16"}
+    assert L.read_landed(spark, path, ["2020-01-01"]).count() == 0
+
+
+def test_flat_messages_round_trip(spark):
+    tape = make_trades(spark, [("BTCUSDT", 1, "1.5", "2", WINDOW_MS, "false"), (None, None, None, "x", None, None)])
+    back = M.decode_trades_json(M.encode_trades_json(tape))
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, tape.collect()), key=str)
+    junk = spark.createDataFrame([("no json",), ("{}",), (None,)], "value string")
+    assert [r.symbol for r in M.decode_trades_json(junk).collect()] == [None] * 3
 
 
 def test_landed_unknown_fields_ignored(spark):

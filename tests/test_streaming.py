@@ -8,7 +8,7 @@ import os
 from conftest import WINDOW_MS, make_trades
 from pyspark.sql import functions as F
 
-from tapecraft.operators.bars import minute_bars_stream
+from tapecraft.operators.bars import minute_bars, minute_bars_stream
 from tapecraft.operators.clean import clean_trades
 from tapecraft.schemas import TRADE
 from tapecraft.session import local_path, scratch_path
@@ -131,3 +131,54 @@ def test_recompute_with_hot_part_guard_is_unchanged(spark):
                 assert abs(v - p[k]) <= 1e-12 * max(1.0, abs(v)), (k, v, p[k])
             else:
                 assert v == p[k], (k, v, p[k])
+
+
+def test_windows_over_midnight_and_landings_by_run_date_are_complete(spark):
+    from tapecraft.sources import landing as L
+    hour = 3_600_000
+    rows = [t("BTCUSDT", i, 100 + i, 1, WINDOW_MS + (14 + 2 * i) * hour) for i in range(3)]   # 19:32, 21:32, 23:32
+    rows.append(t("BTCUSDT", 9, 50, 1, WINDOW_MS + 20 * hour))                               # 01:32 of the next day
+    for event_day, day in (("dt", None), (None, "2026-07-01")):
+        path = scratch_path(spark, "test-midnight")
+        L.partitioned_landing(make_trades(spark, rows), path, day=day)
+        clean = clean_trades(L.read_landed(spark, path), "7 hours")
+        late = clean.where(F.col("trade_id") == 0)
+        (row,) = U.recompute_touched(clean, U.touched_minutes(late), "7 hours", horizon=None, event_day=event_day).collect()
+        want = {r.minute: r for r in minute_bars(clean, "7 hours").collect()}[row.window_start]
+        assert (row.trade_count, row.close) == (want.trade_count, want.close) and row.trade_count >= 2
+
+
+def test_handler_reads_only_touched_days(spark):
+    from tapecraft.sources import landing as L
+    day = 86_400_000
+    rows = [t("BTCUSDT", i, 100 + i, 1, WINDOW_MS + i * day) for i in range(5)]
+    path, target = scratch_path(spark, "test-prune"), scratch_path(spark, "test-prune-silver")
+    L.partitioned_landing(make_trades(spark, rows), path)
+    clean = clean_trades(make_trades(spark, rows))
+    seen = []
+
+    def read_all():
+        seen.append(L.read_landed(spark, path))
+        return seen[-1]
+
+    handle = U.upsert_handler(spark, read_all, target, horizon=None, event_day="dt")
+    handle(clean, 0)
+    handle(clean.where(F.col("trade_id") == 2), 1)
+    assert spark.read.parquet(target).count() == 5
+    landed = clean_trades(L.read_landed(spark, path))
+    touched = U.touched_minutes(clean.where(F.col("trade_id") == 2))
+    plan = U.recompute_touched(landed, touched, horizon=None, event_day="dt")._jdf.queryExecution().executedPlan().toString()
+    assert "2026-06-17" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_horizon_moves_with_the_batches_and_counts_what_it_skips(spark):
+    rows = [t("BTCUSDT", i, 100 + i, 1, WINDOW_MS + i * 600_000) for i in range(7)]            # every ten minutes
+    clean = clean_trades(make_trades(spark, rows))
+    target, skipped = scratch_path(spark, "test-horizon"), []
+    handle = U.upsert_handler(spark, lambda: make_trades(spark, rows), target, horizon="20 minutes",
+                              on_skipped=lambda batch, n: skipped.append((batch, n)))
+    handle(clean.where(F.col("trade_id") <= 1), 0)
+    handle(clean.where(F.col("trade_id") > 1), 1)                                             # last trade at +60
+    got = {r.window_start for r in spark.read.parquet(target).collect()}
+    assert got == {T0 + dt.timedelta(minutes=m) for m in (0, 10, 40, 50, 60)}
+    assert skipped == [(1, 2)]
