@@ -9,12 +9,14 @@ arrays. The rank map is a literal: two arrays, keys and ranks, with two places
 for each pair of ids (cuckoo hashing), so a look-up is at most two array reads.
 
 ``encode_documents`` folds each distinct word of the corpus once, not each
-occurrence. Tasks list their distinct words (pre-tokens by the pattern), Spark
-makes them distinct and folds them; the results, as (hash of the word, ids), are
-told to the tasks, which put the documents together. Their number is checked
-first: beyond ``TOLD_WORDS`` only words of the most tasks are told, and each block
-of documents folds its remaining words itself, by the same expression. So any
-vocabulary works, nothing is dropped, and no text is shuffled.
+occurrence. Tasks cut their texts into words (pre-tokens by the pattern) and list
+the distinct ones by hash, Spark makes them distinct and folds them; the results,
+as (hash, ids), are told to the tasks, which put the documents together in numpy.
+Their number is checked first: beyond ``TOLD_WORDS`` only words of the most tasks
+are told, and each block of documents folds its remaining words itself, by the
+same expression. So any vocabulary works, nothing is dropped, and no text is
+shuffled. Hashes have 64 bits; a chance match of two words would show in the
+round trip.
 
 ``decode`` concatenates the byte pieces of ids, in Spark expressions. The
 round trip checks every document: its decoded bytes must be its text.
@@ -36,21 +38,20 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.parquet as pq
 import regex
-import xxhash
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapecraft.llm.files import open_store
-from tapecraft.llm.pieces import split_pieces
+from tapecraft.llm.words import text_blocks, word_hashes
 from tapecraft.session import scratch_path
 
 #: Distinct words whose ids are told to every task, at most: about 20 bytes each.
 TOLD_WORDS = 8_000_000
-#: Text characters after which a block of documents is closed.
-BLOCK_CHARS = 2 << 20
-#: Distinct pieces that a task or worker remembers.
-PIECES_KEPT = 250_000
+#: Text bytes of a block of documents, about; a longer text is a block of its own.
+BLOCK_BYTES = 2 << 20
+#: Hashes of words that a listing task remembers.
+WORDS_KEPT = 2_000_000
 #: Characters of the state: an id is the character this far on; two beyond all ids stand for
 #: no rank and for the ends of a word.
 FIRST = 0x100
@@ -178,186 +179,157 @@ def decode(ids: Column, rank_file: str) -> Column:
 
 _MATCHES = regex.compile(public_tokenizers.PATTERN).findall
 
+# Byte classes of plain texts: space, newline, letter, digit, other; PATTERN only for the rest.
+_SPACE, _NEWLINE, _LETTER, _DIGIT, _OTHER, _PATTERN = range(6)
+_CLASS = np.full(256, _PATTERN, np.uint8)
+_CLASS[0x21:0x7F] = _OTHER
+_CLASS[[0x20, 0x0A, 0x27]] = _SPACE, _NEWLINE, _PATTERN
+_CLASS[0x30:0x3A] = _DIGIT
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, 0xC4, 0xC5, *range(0x80, 0xC0)]] = _LETTER
 
-def piece_words(piece: str) -> list[str]:
-    """The pattern's matches in a piece of text."""
-    return _MATCHES(piece)
 
+class Words:
+    """The pattern's matches of a run of texts, as byte ranges and hashes of the texts' UTF-8.
 
-def sort_pieces(pieces) -> tuple[list[str], list[str], list[str]]:
-    """Pieces by shape: one word; a word and a comma or full stop; any other.
-
-    The first two spare most pieces the pattern: a run of Latin letters with or
-    without a space before it is one match, a mark after it another.
+    In a plain text -- ASCII and Latin letters up to U+017F, no apostrophe, white
+    space only as single spaces and newlines -- a match starts at each space and
+    newline, after a newline, and wherever letters, digits and other characters
+    meet; numpy finds these places for all texts at once. Any other text is cut
+    by the pattern itself.
     """
-    plain, ended, other = [], [], []
-    for piece in pieces:
-        if piece.isascii() or max(piece) < "ɐ":
-            if piece.isalpha() or piece[0] == " " and piece[1:].isalpha():
-                plain.append(piece)
-                continue
-            if piece[-1] in ",." and piece[:-1].lstrip(" ").isalpha() and piece[1:2] != " ":
-                ended.append(piece)
-                continue
-        other.append(piece)
-    return plain, ended, other
+
+    def __init__(self, offsets: np.ndarray, data: np.ndarray):
+        self.data = data
+        kind = _CLASS[data]
+        before = np.empty_like(kind)
+        before[1:], before[:1] = kind[:-1], _PATTERN
+        edge = offsets[:-1][np.diff(offsets) > 0]
+        start = (kind <= _NEWLINE) | (before == _NEWLINE) | ((kind != before) & (before != _SPACE))
+        start[edge] = True
+        odd = kind == _PATTERN
+        odd |= (kind <= _NEWLINE) & (before <= _NEWLINE)
+        odd[edge] = kind[edge] == _PATTERN
+        times = np.flatnonzero((data == 0x97) | (data == 0xB7))  # the signs among the letters of U+00C0 to U+00FF
+        odd[times[data[times - 1] == 0xC3]] = True
+        upto = np.concatenate([[0], np.cumsum(odd)])
+        for i in np.flatnonzero(upto[offsets[1:]] > upto[offsets[:-1]]):
+            a, b = int(offsets[i]), int(offsets[i + 1])
+            sizes = [len(w.encode()) for w in _MATCHES(data[a:b].tobytes().decode())]
+            start[a:b] = False
+            start[a + np.cumsum([0, *sizes[:-1]])] = True
+        self.begin = np.flatnonzero(start)
+        self.end = np.concatenate([self.begin[1:], [len(data)]]) if len(self.begin) else self.begin
+        self.bounds = np.searchsorted(self.begin, offsets)
+        self.hashes = word_hashes(data, self.begin, self.end)
+
+    def text(self, k: int) -> str:
+        return self.data[self.begin[k]:self.end[k]].tobytes().decode()
+
+
+def _signed(hashes: np.ndarray) -> np.ndarray:
+    """As longs whose signed order is the unsigned order of the hashes."""
+    return (hashes ^ np.uint64(1 << 63)).view(np.int64)
 
 
 def _list_words(batches):
-    """Distinct words of a task's texts (a word may come again once the task has forgotten it)."""
-    seen: set[str] = {""}
-    told: set[str] = set()
+    """Distinct words of a task's texts and their hashes (again once the task has forgotten a word)."""
+    seen = np.zeros(0, np.uint64)
     for batch in batches:
-        words = set()
-        for text in (x.as_py() for x in batch.column(0)):
-            fresh = set(split_pieces(text or "")).difference(seen)
-            seen |= fresh
-            plain, ended, other = sort_pieces(fresh)
-            words.update(plain)
-            for piece in ended:
-                words.add(piece[:-1])
-                words.add(piece[-1])
-            for piece in other:
-                words.update(piece_words(piece))
-        words -= told
-        told |= words
-        if len(seen) + len(told) > PIECES_KEPT:
-            seen, told = {""}, set()
-        yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], names=["word"])
-
-
-#: Flips the sign bit: signed order becomes unsigned order.
-SIGN = np.uint64(1 << 63)
-
-
-def word_hash(word: str) -> int:
-    """Spark's ``xxhash64(word)``, unsigned."""
-    return xxhash.xxh64_intdigest(word.encode(), seed=42)
+        for _, offsets, data in text_blocks(batch.column(0), BLOCK_BYTES):
+            words = Words(offsets, data)
+            hashes, first = np.unique(words.hashes, return_index=True)
+            fresh = ~np.isin(hashes, seen, assume_unique=True)
+            hashes, first = hashes[fresh], first[fresh]
+            seen = hashes if len(seen) > WORDS_KEPT else np.concatenate([seen, hashes])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_signed(hashes)), pa.array([words.text(k) for k in first.tolist()], pa.string())],
+                names=["hash", "word"])
 
 
 class Vocabulary:
-    """Ids of told words: sorted hashes, and the ids one after the other."""
-
-    def __init__(self, folder: str | None):
-        hashes, sizes, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint8)], [np.zeros(0, np.uint16)]
-        if folder is not None:
-            store, path = open_store(folder)
-            names = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
-            for name in names:  # files and their rows are in the order of the hashes
-                for batch in pq.ParquetFile(store.open_input_file(name)).iter_batches(1 << 16, columns=["hash", "ids"]):
-                    lists = batch.column(1)
-                    hashes.append(batch.column(0).to_numpy().view(np.uint64) ^ SIGN)
-                    sizes.append(np.diff(lists.offsets.to_numpy()).astype(np.uint32))
-                    ids.append(lists.flatten().to_numpy().astype("<u2"))
+    """Ids of told words: their hashes in order, and the ids one after the other."""
+
+    _held: dict[str, Vocabulary] = {}
+
+    def __init__(self, folder: str):
+        hashes, sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.uint16)]
+        store, path = open_store(folder)
+        names = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
+        for name in names:  # files and their rows are in the order of the hashes
+            for batch in pq.ParquetFile(store.open_input_file(name)).iter_batches(1 << 16, columns=["hash", "ids"]):
+                lists = batch.column(1)
+                hashes.append(batch.column(0).to_numpy())
+                sizes.append(np.diff(lists.offsets.to_numpy()).astype(np.uint32))
+                ids.append(lists.flatten().to_numpy().astype(np.uint16))
         self.hashes, self.ids = np.concatenate(hashes), np.concatenate(ids)
-        self.ends = np.cumsum(np.concatenate(sizes), dtype=np.int64)
+        self.ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes), dtype=np.int64)])
+
+    @classmethod
+    def of(cls, folder: str) -> Vocabulary:
+        """This worker's copy of a told vocabulary; only the latest one is held."""
+        if folder not in cls._held:
+            cls._held.clear()
+            cls._held[folder] = cls(folder)
+        return cls._held[folder]
 
-    def find(self, words: list[str]) -> list[bytes | None]:
-        """The ids of each word as little-endian 16-bit numbers, None where it was not told."""
-        if not words or not len(self.hashes):
-            return [None] * len(words)
-        asked = np.fromiter((word_hash(w) for w in words), np.uint64, len(words)) ^ SIGN
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 where the word was not told."""
+        asked = _signed(hashes)
+        if not len(self.hashes):
+            return np.full(len(asked), -1)
         at = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
-        hit = self.hashes[at] == asked
-        begin = np.where(at > 0, self.ends[at - 1], 0)
-        raw = memoryview(self.ids.astype("<u2", copy=False)).cast("B")
-        return [bytes(raw[2 * a:2 * b]) if h else None
-                for a, b, h in zip(begin.tolist(), self.ends[at].tolist(), hit.tolist())]
+        return np.where(self.hashes[at] == asked, at, -1)
 
 
-class Assembler:
-    """Puts documents together from the ids of words; remembers pieces from block to block."""
+def _spans(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions ``begin[i] .. begin[i] + sizes[i] - 1`` of all i, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begin - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
-    _held: dict[str | None, Assembler] = {}
 
-    def __init__(self, folder: str | None):
-        self.vocabulary = Vocabulary(folder)
-        self.kept: dict[str, bytes] = {"": b""}
-        self.known: dict[str, bytes | None] = {}
+class Block:
+    """A run of texts on the way to their ids."""
 
-    @classmethod
-    def of(cls, folder: str | None) -> Assembler:
-        """This worker's assembler for a told vocabulary; only the latest one is held."""
-        if folder not in cls._held:
-            cls._held.clear()
-            cls._held[folder] = cls(folder)
-        return cls._held[folder]
+    def __init__(self, offsets: np.ndarray, data: np.ndarray, vocabulary: Vocabulary):
+        self.words, self.vocabulary = Words(offsets, data), vocabulary
+        self.hashes, self.first, self.back = np.unique(self.words.hashes, return_index=True, return_inverse=True)
+        self.place = vocabulary.find(self.hashes)
+        self.untold = np.flatnonzero(self.place < 0)
+
+    def missing(self) -> list[str]:
+        return [self.words.text(k) for k in self.first[self.untold].tolist()]
 
-    def look_up(self, texts: list[str]) -> tuple[list[list[str]], list[list[bytes | None]], list[str]]:
-        """Pieces of the texts, their ids so far, and the words that were not told."""
-        if len(self.kept) > PIECES_KEPT:
-            self.kept = {"": b""}
-        cut = [split_pieces(t) for t in texts]
-        found = [list(map(self.kept.get, pieces)) for pieces in cut]
-        fresh = {p for pieces, ids in zip(cut, found) if None in ids for p, x in zip(pieces, ids) if x is None}
-        plain, ended, other = sort_pieces(fresh)
-        parts = [piece_words(p) for p in other]
-        words = list({",", "."}.union(*parts))
-        known = dict(zip(words, self.vocabulary.find(words)))
-        missing = []
-        for piece, ids in zip(plain, self.vocabulary.find(plain)):
-            if ids is not None:
-                self.kept[piece] = ids
-            else:
-                missing.append(piece)
-        heads = [p[:-1] for p in ended]
-        for piece, head, ids in zip(ended, heads, self.vocabulary.find(heads)):
-            if ids is not None and known[piece[-1]] is not None:
-                self.kept[piece] = ids + known[piece[-1]]
-            else:
-                known[head] = ids
-        for piece, ws in zip(other, parts):
-            ids = [known[w] for w in ws]
-            if None not in ids:
-                self.kept[piece] = b"".join(ids)
-        self.known = known
-        used = {w for ws in parts for w in ws}.union(h for h in heads if h in known)
-        if any(p not in self.kept for p in ended):
-            used |= {",", "."}
-        return cut, found, list(set(missing).union(w for w in used if known[w] is None))
-
-    def put_together(self, pieces: list[str], found: list[bytes | None], folded: dict[str, bytes]) -> bytes:
-        if None in found:
-            for k, x in enumerate(found):
-                if x is None:
-                    piece = pieces[k]
-                    found[k] = self.kept.get(piece)
-                    if found[k] is None:
-                        found[k] = b"".join([folded.get(w) or self.known[w] for w in piece_words(piece)])
-        return b"".join(found)
+    def ids(self, folded: list[list[int]]) -> pa.ListArray:
+        """Ids of each text; ``folded`` are those of the missing words, in their order."""
+        ends = self.vocabulary.ends
+        begin, sizes = ends[self.place], ends[self.place + 1] - ends[self.place]
+        own = [np.array(x, np.uint16) for x in folded]
+        sizes[self.untold] = [len(x) for x in own]
+        told = self.place >= 0
+        pool = np.concatenate([self.vocabulary.ids[_spans(begin[told], sizes[told])], *own])
+        place = np.empty(len(sizes), np.int64)  # where each distinct word's ids begin in the pool
+        place[told] = np.cumsum(sizes[told]) - sizes[told]
+        place[self.untold] = int(sizes[told].sum()) + np.cumsum(sizes[self.untold]) - sizes[self.untold]
+        each = sizes[self.back]
+        flat = pool[_spans(place[self.back], each)].astype(np.int32)
+        bounds = np.concatenate([[0], np.cumsum(each)])[self.words.bounds]
+        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat))
 
 
 def _blocks(batches):
+    """(doc_ids, texts, offsets, data) of runs of documents; a NULL text is an empty one."""
     for batch in batches:
-        ids, texts, size = [], [], 0
-        for at in range(0, batch.num_rows, 100):
-            some = batch.slice(at, 100)
-            for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                ids.append(doc_id)
-                texts.append(text or "")
-                size += len(texts[-1])
-            if size >= BLOCK_CHARS:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-        if ids:
-            yield ids, texts
-
-
-def _encoded(ids, texts, assembler, looked_up, folded):
-    """Arrow rows of a block's documents."""
-    bodies = [assembler.put_together(pieces, found, folded) for pieces, found in zip(*looked_up)]
-    ends = (np.cumsum([0, *map(len, bodies)]) // 2).astype(np.int32)
-    flat = np.frombuffer(b"".join(bodies), "<u2").astype(np.int32)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-        names=["doc_id", "text", "ids"])
+        texts = batch.column(1).fill_null("")
+        for first, offsets, data in text_blocks(texts, BLOCK_BYTES):
+            rows = len(offsets) - 1
+            yield batch.column(0).slice(first, rows), texts.slice(first, rows), offsets, data
 
 
 def told_vocabulary(spark: SparkSession, docs: DataFrame, rank_file: str, folder: str, most: int) -> tuple[str, bool]:
     """Fold the corpus's distinct words and write (hash, ids); returns the folder and whether it holds all words."""
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    listed = docs.select("text").mapInArrow(_list_words, "word string")
-    words = listed.repartition(parts, "word").groupBy("word").agg(F.count("*").alias("tasks"))
+    listed = docs.select("text").mapInArrow(_list_words, "hash long, word string")
+    words = listed.repartition(parts, "word").groupBy("word", "hash").agg(F.count("*").alias("tasks"))
     words.write.mode("overwrite").parquet(f"{folder}/words")
     words = spark.read.parquet(f"{folder}/words")
     total = words.count()
@@ -371,7 +343,7 @@ def told_vocabulary(spark: SparkSession, docs: DataFrame, rank_file: str, folder
         words = words.filter(F.col("tasks") >= least) if least else words.limit(0)
     # words are dealt anew for the fold, which takes longer than it reads
     folded = words.repartition(parts).select(
-        F.xxhash64("word").alias("hash"), F.get(encode_words(F.array("word"), rank_file), F.lit(0)).alias("ids"))
+        "hash", F.get(encode_words(F.array("word"), rank_file), F.lit(0)).alias("ids"))
     folded.write.mode("overwrite").parquet(f"{folder}/folded")
     # sorted once here, so that no task has to sort or gather the whole
     (spark.read.parquet(f"{folder}/folded").repartitionByRange(parts, "hash").sortWithinPartitions("hash")
@@ -389,28 +361,30 @@ def encode_documents(docs: DataFrame, rank_file: str, told_words: int = TOLD_WOR
 
     if complete:
         def encode(batches):
-            assembler = Assembler.of(vocabulary)
-            for ids, texts in _blocks(batches):
-                *looked_up, missing = assembler.look_up(texts)
-                if missing:
+            told = Vocabulary.of(vocabulary)
+            for ids, texts, offsets, data in _blocks(batches):
+                block = Block(offsets, data, told)
+                if len(block.untold):
                     raise ValueError("a word of the corpus is not in its vocabulary")
-                yield _encoded(ids, texts, assembler, looked_up, {})
+                yield pa.RecordBatch.from_arrays([ids, texts, block.ids([])], names=["doc_id", "text", "ids"])
 
         return rows.mapInArrow(encode, out)
 
     def gather(batches):
-        assembler = Assembler.of(vocabulary)
-        for ids, texts in _blocks(batches):
-            columns = [pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string())),
-                       pa.array([assembler.look_up(texts)[2]], pa.list_(pa.string()))]
+        told = Vocabulary.of(vocabulary)
+        for ids, texts, offsets, data in _blocks(batches):
+            columns = [pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([texts.to_pylist()], pa.list_(pa.string())),
+                       pa.array([Block(offsets, data, told).missing()], pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, names=["ids", "texts", "words"])
 
     def finish(batches):
-        assembler = Assembler.of(vocabulary)
+        told = Vocabulary.of(vocabulary)
         for batch in batches:
-            for ids, texts, words, folded in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                fresh = {w: np.array(x, "<u2").tobytes() for w, x in zip(words, folded)}
-                yield _encoded(ids, texts, assembler, assembler.look_up(texts)[:2], fresh)
+            for ids, texts, folded in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3))):
+                column = pa.array(texts, pa.string())
+                ((_, offsets, data),) = text_blocks(column, 1 << 62)
+                found = Block(offsets, data, told).ids(folded)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), column, found], names=["doc_id", "text", "ids"])
 
     blocks = rows.mapInArrow(gather, "ids array<long>, texts array<string>, words array<string>")
     return blocks.withColumn("folded", encode_words(F.col("words"), rank_file)).mapInArrow(finish, out)
