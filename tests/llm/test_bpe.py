@@ -1,11 +1,15 @@
 import hashlib
+import random
 
+import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
-
-import public_tokenizers
-from tapecraft.llm.bpe import decode, encode_documents, encode_words, read_ranks, round_trip
 from pyspark.sql import functions as F
+
+from tapecraft.llm.bpe import Words, decode, encode_documents, encode_words, read_ranks, round_trip
+from tapecraft.llm.words import text_blocks
 from tests.llm.util import ODD_TEXTS, docs_table, prose
 
 FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -42,3 +46,16 @@ def test_fold_and_decode_of_single_words(spark):
 
 def test_empty_table(spark):
     assert round_trip(docs_table(spark, []), FILE).collect() == []
+
+
+def test_words_are_the_matches_of_the_pattern():
+    rng = random.Random(4)
+    letters = ["a", "Z", "é", "ß", "Œ", "ŉ", "ƀ", "×", "÷", "1", "٣", " ", " ", "\n", "\t", "\xa0", "\x1c", "'s", "'", ",", "—", "你", "🙂", "\x00"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(3000)] + [t or "" for t in ODD_TEXTS]
+    texts += [prose(i, 30) + rng.choice([".", ",\n", " ", "\n\n", "!? "]) + prose(i + 1, 5) for i in range(50)]
+    for _, offsets, data in text_blocks(pa.array(texts), 1 << 10):
+        words = Words(offsets, data)
+        for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:])):
+            text = data[a:b].tobytes().decode()
+            found = [words.text(k) for k in range(words.bounds[i], words.bounds[i + 1])]
+            assert found == regex.findall(public_tokenizers.PATTERN, text), repr(text)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -50,3 +51,13 @@ def test_pieces_encode_like_whole_texts():
     for text in [t or "" for t in ODD_TEXTS] + [prose(i, 200) + ",\n\t " + prose(i + 1, 5) + "." for i in range(30)]:
         assert "".join(split_pieces(text)) == text
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_random_texts_encode_like_the_tokenizer():
+    rng = random.Random(6)
+    letters = ["a", "Z", "é", "ß", "Œ", "ƀ", "×", "1", " ", " ", " ", "\n", "\t", "\xa0", "\x1c", "'s", "'", ",", ".", "—", "你", "🙂",
+               "\x00", "<|endoftext|>", "the", "\ue000"]
+    encoder, tokenizer = PieceEncoder(FILE), Tokenizer.from_file(FILE)
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    for text, found in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == found.ids, repr(text)
