@@ -49,7 +49,7 @@ from tapecraft.session import scratch_path
 #: Distinct words whose ids are told to every task, at most: about 20 bytes each.
 TOLD_WORDS = 8_000_000
 #: Text bytes of a block of documents, about; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Hashes of words that a listing task remembers.
 WORDS_KEPT = 2_000_000
 #: Characters of the state: an id is the character this far on; two beyond all ids stand for
