@@ -43,15 +43,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapecraft.llm.files import open_store
+from tapecraft.llm.memory import release_unused
 from tapecraft.llm.words import text_blocks, word_hashes
 from tapecraft.session import scratch_path
 
 #: Distinct words whose ids are told to every task, at most: about 20 bytes each.
 TOLD_WORDS = 8_000_000
 #: Text bytes of a block of documents, about; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 #: Hashes of words that a listing task remembers.
-WORDS_KEPT = 2_000_000
+WORDS_KEPT = 1_000_000
 #: Characters of the state: an id is the character this far on; two beyond all ids stand for
 #: no rank and for the ends of a word.
 FIRST = 0x100
@@ -233,6 +234,7 @@ def _signed(hashes: np.ndarray) -> np.ndarray:
 
 def _list_words(batches):
     """Distinct words of a task's texts and their hashes (again once the task has forgotten a word)."""
+    release_unused()
     seen = np.zeros(0, np.uint64)
     for batch in batches:
         for _, offsets, data in text_blocks(batch.column(0), BLOCK_BYTES):
@@ -252,17 +254,20 @@ class Vocabulary:
     _held: dict[str, Vocabulary] = {}
 
     def __init__(self, folder: str):
-        hashes, sizes, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.uint16)]
         store, path = open_store(folder)
         names = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
+        words = sum(pq.read_metadata(store.open_input_file(name)).num_rows for name in names)
+        self.hashes = np.empty(words, np.int64)
+        self.ends = np.zeros(words + 1, np.uint32)  # no more than TOLD_WORDS words, so 32 bits hold their ids' places
+        ids, at = [np.zeros(0, np.uint16)], 0
         for name in names:  # files and their rows are in the order of the hashes
-            for batch in pq.ParquetFile(store.open_input_file(name)).iter_batches(1 << 16, columns=["hash", "ids"]):
-                lists = batch.column(1)
-                hashes.append(batch.column(0).to_numpy())
-                sizes.append(np.diff(lists.offsets.to_numpy()).astype(np.uint32))
+            for batch in pq.ParquetFile(store.open_input_file(name)).iter_batches(1 << 15, columns=["hash", "ids"]):
+                lists, n = batch.column(1), batch.num_rows
+                self.hashes[at:at + n] = batch.column(0).to_numpy()
+                self.ends[at + 1:at + n + 1] = np.cumsum(np.diff(lists.offsets.to_numpy())) + self.ends[at]
                 ids.append(lists.flatten().to_numpy().astype(np.uint16))
-        self.hashes, self.ids = np.concatenate(hashes), np.concatenate(ids)
-        self.ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes), dtype=np.int64)])
+                at += n
+        self.ids = np.concatenate(ids)
 
     @classmethod
     def of(cls, folder: str) -> Vocabulary:
@@ -302,7 +307,8 @@ class Block:
     def ids(self, folded: list[list[int]]) -> pa.ListArray:
         """Ids of each text; ``folded`` are those of the missing words, in their order."""
         ends = self.vocabulary.ends
-        begin, sizes = ends[self.place], ends[self.place + 1] - ends[self.place]
+        begin = ends[self.place].astype(np.int64)
+        sizes = ends[self.place + 1].astype(np.int64) - begin
         own = [np.array(x, np.uint16) for x in folded]
         sizes[self.untold] = [len(x) for x in own]
         told = self.place >= 0
@@ -319,7 +325,8 @@ class Block:
 def _blocks(batches):
     """(doc_ids, texts, offsets, data) of runs of documents; a NULL text is an empty one."""
     for batch in batches:
-        texts = batch.column(1).fill_null("")
+        texts = batch.column(1)
+        texts = texts.fill_null("") if texts.null_count else texts
         for first, offsets, data in text_blocks(texts, BLOCK_BYTES):
             rows = len(offsets) - 1
             yield batch.column(0).slice(first, rows), texts.slice(first, rows), offsets, data
@@ -361,6 +368,7 @@ def encode_documents(docs: DataFrame, rank_file: str, told_words: int = TOLD_WOR
 
     if complete:
         def encode(batches):
+            release_unused()
             told = Vocabulary.of(vocabulary)
             for ids, texts, offsets, data in _blocks(batches):
                 block = Block(offsets, data, told)
@@ -371,6 +379,7 @@ def encode_documents(docs: DataFrame, rank_file: str, told_words: int = TOLD_WOR
         return rows.mapInArrow(encode, out)
 
     def gather(batches):
+        release_unused()
         told = Vocabulary.of(vocabulary)
         for ids, texts, offsets, data in _blocks(batches):
             columns = [pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([texts.to_pylist()], pa.list_(pa.string())),

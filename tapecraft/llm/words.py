@@ -88,7 +88,7 @@ def rolling(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix64(out + np.uint64(n))
 
 
-def text_blocks(column: pa.Array, limit: int = 1 << 21):
+def text_blocks(column: pa.Array, limit: int = 1 << 19):
     """Cut a string column into runs of rows of about ``limit`` bytes.
 
     Yields ``(first_row, offsets, data)``: ``offsets`` (one more than the rows)
