@@ -105,8 +105,11 @@ def _rank_arrays(rank_file: str) -> tuple[str, str, str, str]:
     pieces = [""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece.hex().upper()
-    return (json.dumps(keys), json.dumps(values), json.dumps([chr(ranks[bytes([b])] + FIRST) for b in range(256)]),
-            json.dumps(pieces))
+    letters = [chr(ranks[bytes([b])] + FIRST) for b in range(256)]
+    made = tuple(json.dumps(x, ensure_ascii=False, separators=(",", ":")) for x in (keys, values, letters, pieces))
+    del ranks, keys, values, pieces
+    release_unused()  # the driver's memory is small beside the lists and maps that made these
+    return made
 
 
 def _let(value: Column, body) -> Column:
@@ -361,6 +364,7 @@ def told_vocabulary(spark: SparkSession, docs: DataFrame, rank_file: str, folder
 def encode_documents(docs: DataFrame, rank_file: str, told_words: int = TOLD_WORDS) -> DataFrame:
     """``doc_id, text, ids`` of every document; a NULL text becomes an empty one."""
     spark = docs.sparkSession
+    release_unused()
     folder = scratch_path(spark, "bpe")
     vocabulary, complete = told_vocabulary(spark, docs, rank_file, folder, told_words)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
