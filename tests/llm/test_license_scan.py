@@ -1,8 +1,10 @@
 import re
+import textwrap
 
 import pytest
 
-from tapecraft.llm.license_scan import TEMPLATES, license_scan, signature, template_bigrams
+from tapecraft.llm.license_scan import TEMPLATES, license_scan, signature, telling, template_bigrams
+from tapecraft.llm.license_texts import PASSAGES
 from tests.llm.util import ODD_TEXTS, docs_table, prose
 
 
@@ -54,3 +56,44 @@ def test_empty_table_and_plan(spark):
     assert license_scan(docs_table(spark, [])).collect() == []
     plan = license_scan(docs_table(spark, [(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def wrapped(text, width, mark=""):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_wrapped_embedded_and_full_texts(spark):
+    body = {n: t for n, t in PASSAGES if n in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Unlicense")}
+    header = {n: t for n, t in PASSAGES if "Foundation" in t}
+    gpl3 = next(w for n, w in TEMPLATES if n == "GPL-3.0")
+    bsd3 = body["BSD-3-Clause"].replace("COPYRIGHT HOLDERS", "REGENTS").replace("copyright holder", "University")
+    cases = [(wrapped("The MIT License (MIT) Copyright (c) 2020 A. Name " + body["MIT"], 76), "MIT"),
+             (wrapped("Copyright (c) 2011, X. All rights reserved. " + body["BSD-2-Clause"], 70), "BSD-2-Clause"),
+             (wrapped("Copyright (c) 2011, X. All rights reserved. " + bsd3, 70), "BSD-3-Clause"),
+             (wrapped(body["ISC"], 60, " * "), "ISC"), (wrapped(body["Unlicense"], 72), "Unlicense"),
+             ("The code and data are released under the MIT License.", "MIT"),
+             ("Unless noted otherwise: " + gpl3 + ", or any later version.", "GPL-3.0"),
+             (prose(5, 400) + " " + gpl3 + " " + prose(6, 400), "GPL-3.0"),
+             (prose(7, 3000) + "\n" + wrapped(body["MIT"], 40) + "\n" + prose(8, 3000), "MIT")]
+    cases += [(prose(9, 40) + "\n" + wrapped(t, 68, "# ") + "\n" + prose(10, 900), n) for n, t in header.items()]
+    cases += [(wrapped(t, 75), n) for n, t in TEMPLATES]
+    rows = license_scan(docs_table(spark, [(i, t) for i, (t, _) in enumerate(cases)])).collect()
+    got = {i: {r.license for r in rows if r.doc_id == i} for i in range(len(cases))}
+    assert [got[i] for i in range(len(cases))] == [{n} for _, n in cases]
+
+
+def test_each_passage_of_a_long_text_is_found_where_it_begins(spark):
+    mit, isc = (next(t for n, t in PASSAGES if n == name) for name in ("MIT", "ISC"))
+    text = "\n".join([prose(1, 30), wrapped(mit, 50), wrapped(isc, 50), prose(2, 30), wrapped(mit, 50)])
+    starts = [i for i, line in enumerate(text.split("\n"), 1) if line.startswith("Permission")]
+    got = sorted((r.line, r.license) for r in license_scan(docs_table(spark, [(1, text)])).collect())
+    assert got == sorted(zip(starts, ["MIT", "ISC", "MIT"]))
+    assert license_scan(docs_table(spark, [(1, "The software is provided with a copyright notice. " * 30)])).collect() == []
+
+
+def test_a_match_cannot_avoid_the_telling_words():
+    known = [template_bigrams(w) for _, w in TEMPLATES]
+    marks = set(telling(known, 0.8))
+    for own in known:
+        rest = [b for b in own if b not in marks and not marks & set(b.split())]
+        assert 2 * len(rest) / (len(rest) + len(own)) < 0.8
