@@ -5,7 +5,8 @@ result as Parquet in the cluster's shared folder and reads it again for the next
 
 1. language_id: documents whose language cannot be told (no letter, or a score
    below ``LEAST_SCORE``) go.
-2. quality_rules: documents that fail the base or the repetition rules go.
+2. quality_rules: documents that fail the base or the repetition rules go, by the
+   limits below (op6's own, stated in its SQL, let all but the base rule pass).
 3. near_duplicates: of each component of linked documents the one with the
    smallest ``doc_id`` stays, one row of it; rows without a ``doc_id`` stay.
 4. mix_sources: a document appears as often as the mix takes it, 0 to 2 times:
@@ -32,6 +33,9 @@ from tapecraft.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.5
+#: Shares of a text's word characters in later copies of windows of n words, and in lines equal to an earlier one.
+MAX_NGRAM_SHARE = {5: 0.15, 7: 0.13, 10: 0.10}
+MAX_LINE_SHARE = 0.20
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +44,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repetition_rules(docs, keep=("text", "lang", "source", "n_chars")).filter("kept").select(*COLUMNS)
+    judged = repetition_rules(docs, MAX_NGRAM_SHARE, MAX_LINE_SHARE, keep=("text", "lang", "source", "n_chars"))
+    return judged.filter("kept").select(*COLUMNS)
 
 
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

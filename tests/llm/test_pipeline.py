@@ -7,10 +7,11 @@ import public_tokenizers
 from tapecraft.llm.bpe import read_ranks
 from tapecraft.llm.language_id import identify_languages
 from tapecraft.llm.mixing import mix_sources
+from tapecraft.llm.repetition import repetition_rules
 from tests.llm.test_language_id import text_of
 from tests.llm.test_ngram_join import brute as brute_components
 from tests.llm.test_repetition import brute as brute_quality
-from tests.llm.util import ODD_TEXTS, docs_table
+from tests.llm.util import ODD_TEXTS, docs_table, prose
 
 ENCODING = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN,
                              mergeable_ranks=read_ranks(corpus_pipeline.RANK_FILE), special_tokens={})
@@ -61,3 +62,17 @@ def test_run_and_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/a").columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     docs_table(spark, []).write.parquet(f"{tmp_path}/b/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/b").collect() == []
+
+
+def test_repeats_that_pass_the_base_rule_are_rejected(spark):
+    def unlike(seed, words):
+        return prose(seed, words, 5000)
+
+    line = unlike(1, 20)
+    texts = {1: " ".join([unlike(2, 45), unlike(3, 110), unlike(2, 45)]),  # 45 % one passage said twice
+             2: " ".join([unlike(4, 30), unlike(5, 60), unlike(4, 30), unlike(6, 60), unlike(4, 30)]),
+             3: "\n".join([line, unlike(7, 40), line, unlike(8, 40), line]),
+             4: unlike(9, 300), 5: " ".join([unlike(10, 12), unlike(11, 276), unlike(10, 12)])}
+    docs = docs_table(spark, list(texts.items()))
+    assert not any(r.base_failed for r in repetition_rules(docs).collect())
+    assert sorted(r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, "").collect()) == [4, 5]
