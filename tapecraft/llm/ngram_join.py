@@ -18,7 +18,7 @@ of a pair of documents. Partial results are summed per document or per pair.
 4. Pairs. Classes that share a prefix shingle are compared with a pivot, the one
    of them with the fewest rarer shingles; linked classes become components.
    Then shingles whose classes are still in different components are joined for
-   exactly those pairs. A group of near copies costs about one comparison a
+   exactly those pairs, by bands of lengths that can satisfy the bounds. A group of near copies costs about one comparison a
    member, not a comparison a pair; length and position bounds, which never drop
    a link, keep unrelated classes apart.
 5. Overlap. A pair's overlap is the sum of its fragments' overlaps; it is linked
@@ -54,6 +54,8 @@ WORDS = 5
 PERCENT = 80
 #: Eighths of the hash space that the screen looks at.
 SCREEN_EIGHTHS = 3
+#: Length bands for each factor of e in the lengths, in the join of classes still apart.
+BANDS = 20
 #: Shingles a fragment holds, about, once the screen is over.
 FRAGMENT_SHINGLES = 2_000_000
 #: Documents up to which the remaining ones are told to every task (8 bytes each); more are joined by shuffle.
@@ -250,6 +252,30 @@ def _possible(a: str, b: str, percent: int):
             & ((100 + percent) * F.least(ca, cb) >= percent * (na + nb)))
 
 
+def _band(n):
+    """Number of a length band; a band is about a twentieth wide."""
+    return F.floor(F.log(n.cast("double")) * F.lit(BANDS))
+
+
+def banded_sides(entries: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The entries as smaller and as larger member of a pair, with the bands in which they can meet.
+
+    ``_possible`` holds for a pair if the larger length is within the smaller one's
+    ``most`` and the smaller within the larger one's: ``most`` is the length up to
+    which a partner may go by the entry's cap. Entries that no length band of their
+    key can satisfy are in neither side.
+    """
+    most = F.floor((100 + percent) * F.col("cap") / percent) - F.col("n")
+    up = F.least("most", F.floor(100 * F.col("n") / percent))
+    down = F.least("most", "n")
+    every = entries.withColumn("most", most)
+    small = (every.filter(F.col("most") >= F.col("n")).withColumn("small", _band(F.col("n")))
+             .withColumn("large", F.explode(F.sequence(F.col("small"), _band(up)))))
+    large = (every.filter(100 * F.col("most") >= percent * F.col("n")).withColumn("large", _band(F.col("n")))
+             .withColumn("small", F.explode(F.sequence(_band(F.ceil(percent * F.col("n") / 100)), _band(down)))))
+    return small.drop("most"), large.drop("most")
+
+
 def pivot_pairs(entries: DataFrame, percent: int) -> DataFrame:
     pivots = entries.groupBy("key").agg(
         F.max(F.struct((F.col("cap") / F.col("n")).alias("rate"), "cls", "n", "cap")).alias("p"), F.count("*").alias("m"))
@@ -266,9 +292,15 @@ def remaining_pairs(entries: DataFrame, components: DataFrame, done: DataFrame,
               .withColumn("root", F.coalesce("root", "cls")))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
     open_ = placed.join(mixed, "key", "left_semi")
-    pairs = (open_.alias("a").join(open_.alias("b"), "key")
-             .filter((F.col("a.cls") < F.col("b.cls")) & (F.col("a.root") != F.col("b.root")) & _possible("a", "b", percent))
-             .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b"), F.col("a.n").alias("na"), F.col("b.n").alias("nb"))
+    small, large = banded_sides(open_, percent)
+    # of equal lengths the smaller class is the smaller member; results name the smaller class first
+    ahead = (F.col("s.n") < F.col("l.n")) | ((F.col("s.n") == F.col("l.n")) & (F.col("s.cls") < F.col("l.cls")))
+    first = F.col("s.cls") < F.col("l.cls")
+    pairs = (small.alias("s").join(large.alias("l"), ["key", "small", "large"])
+             .filter(ahead & (F.col("s.root") != F.col("l.root")) & _possible("s", "l", percent))
+             .select(F.least("s.cls", "l.cls").alias("a"), F.greatest("s.cls", "l.cls").alias("b"),
+                     F.when(first, F.col("s.n")).otherwise(F.col("l.n")).alias("na"),
+                     F.when(first, F.col("l.n")).otherwise(F.col("s.n")).alias("nb"))
              .distinct())
     either = done.select("a", "b").unionByName(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return pairs.join(either, ["a", "b"], "left_anti")

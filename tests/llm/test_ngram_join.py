@@ -4,7 +4,7 @@ import pytest
 
 from tapecraft.llm import ngram_join
 from tapecraft.llm.components import connected_components
-from tapecraft.llm.ngram_join import near_duplicates
+from tapecraft.llm.ngram_join import banded_sides, near_duplicates, remaining_pairs
 from tests.llm.util import ODD_TEXTS, docs_table, lower_ascii, prose, words_of
 
 
@@ -87,3 +87,29 @@ def test_components_of_long_paths(spark):
     for part in (nodes[:100], nodes[100:200], nodes[200:]):
         assert {got[n] for n in part} == {min(part)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+ENTRY = "key long, cls long, n long, cap long"
+
+
+@pytest.mark.parametrize("percent", [70, 80, 90])
+def test_banded_join_finds_every_possible_pair(spark, percent):
+    rng = random.Random(percent)
+    entries = [(rng.randrange(3), c, n, n - rng.randrange(n - (percent * n + 99) // 100 + 1))
+               for c in range(150) for n in [rng.choice([rng.randint(1, 12), rng.randint(80, 130)])]]
+    want = {(a[1], b[1], a[2], b[2]) for a in entries for b in entries
+            if a[0] == b[0] and a[1] < b[1] and 100 * min(a[2], b[2]) >= percent * max(a[2], b[2])
+            and (100 + percent) * min(a[3], b[3]) >= percent * (a[2] + b[2])}
+    found = remaining_pairs(spark.createDataFrame(entries, ENTRY), spark.createDataFrame([], "node long, root long"),
+                            spark.createDataFrame([], "a long, b long"), percent).collect()
+    assert len(found) == len(want) > 100 and {tuple(r) for r in found} == want
+
+
+def test_a_hot_shingle_of_classes_without_partners_forms_no_pairs(spark):
+    rng = random.Random(1)
+    weak = [(7, c, 100, rng.randint(81, 88)) for c in range(500)]
+    strong = [(7, 500 + c, 100, 100) for c in range(3)] + [(7, 600 + c, 160, 160) for c in range(3)]
+    small, large = banded_sides(spark.createDataFrame(weak, ENTRY), 80)
+    assert small.isEmpty()
+    small, large = banded_sides(spark.createDataFrame(weak + strong, ENTRY), 80)
+    assert small.join(large, ["key", "small", "large"]).count() < 100
