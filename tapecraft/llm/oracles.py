@@ -190,3 +190,44 @@ SELECT doc_id, line::BIGINT AS line, license, shared, dice
 FROM scored WHERE dice >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license, shared) = 1
 """
+
+FILTER_AUDIT = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), l AS (
+  SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT w.doc_id, part, coalesce(good, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS toxic,
+         [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+          100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+          regexp_matches(text, '[#$%&*|]'),
+          coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY text), false)] AS fails
+  FROM w LEFT JOIN l ON l.doc_id = w.doc_id
+), m AS (
+  SELECT part, good, toxic, fails, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x: fails[ascii(x) - 64]) AS bad,
+         count(*) AS n
+  FROM (SELECT part, good, toxic, fails FROM f) GROUP BY ALL
+), letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS own, string_split(substr(filter_order, 1, step - 1), '') AS before
+  FROM orders CROSS JOIN (SELECT unnest(range(1, 6))::INTEGER AS step) AS s
+), counted AS (
+  SELECT part, filter_order, step, own,
+         sum(CASE WHEN NOT list_contains(bad, own) AND NOT list_has_any(bad, before) THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN list_contains(bad, own) AND NOT list_has_any(bad, before) THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN list_contains(bad, own) AND list_has_any(bad, before) THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN bad = [own] THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN good AND list_contains(bad, own) AND NOT list_has_any(bad, before) THEN n ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN toxic AND list_contains(bad, own) AND NOT list_has_any(bad, before) THEN n ELSE 0 END)::BIGINT AS toxic_lost
+  FROM m CROSS JOIN steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM counted
+"""

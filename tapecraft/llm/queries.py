@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from tapecraft.llm import oracles
 from tapecraft.llm.bpe import round_trip
+from tapecraft.llm.filter_audit import audit
 from tapecraft.llm.hnsw import nearest_neighbours
 from tapecraft.llm.language_id import identify_languages
 from tapecraft.llm.license_scan import license_scan
+from tapecraft.llm.merkle import verified_manifest
 from tapecraft.llm.mixing import mix_sources
 from tapecraft.llm.ngram_join import near_duplicates
 from tapecraft.llm.repetition import repetition_rules
@@ -72,6 +74,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), RANK_FILE)
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(spark, _table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_hnsw_shards": op2_hnsw_shards,
@@ -83,6 +93,8 @@ LLM_QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_ngram_join": op9_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 LLM_ORACLES = {
@@ -90,4 +102,5 @@ LLM_ORACLES = {
     "op3_license_scan": oracles.LICENSE_SCAN,
     "op4_mix_sources": oracles.MIX_SOURCES,
     "op6_repetition_rules": oracles.REPETITION_RULES,
+    "op12_filter_audit": oracles.FILTER_AUDIT,
 }
