@@ -16,6 +16,7 @@ from tapecraft.llm.merkle import verified_manifest
 from tapecraft.llm.mixing import mix_sources
 from tapecraft.llm.ngram_join import near_duplicates
 from tapecraft.llm.repetition import repetition_rules
+from tapecraft.llm.simhash import fingerprint_report
 from tapecraft.llm.token_files import encode_to_files, read_token_files
 from tapecraft.llm.url_filters import fetch_days, judge_captures, list_log, validity_intervals
 from tapecraft.llm.warc import archive_round_trip
@@ -74,6 +75,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), RANK_FILE)
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(spark, _table(spark, sf_dir, "documents"), F.col("doc_id") % 50 == 0)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -93,6 +98,7 @@ LLM_QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_ngram_join": op9_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_simhash": op11_simhash,
     "op12_filter_audit": op12_filter_audit,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

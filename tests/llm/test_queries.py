@@ -17,7 +17,7 @@ def rows(columns, records):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in LLM_QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in LLM_QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(LLM_QUERIES) | {"pipeline"} <= set(queries())
 
 
@@ -25,7 +25,7 @@ def test_one_query_for_each_operator():
 @pytest.mark.parametrize("name", sorted(LLM_ORACLES))
 def test_query_matches_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     df = LLM_QUERIES[name](spark, SF)
     found = duck.execute(LLM_ORACLES[name])
