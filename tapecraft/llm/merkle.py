@@ -97,7 +97,7 @@ def _joined(columns: list[str]) -> str:
     return f"concat_ws('', {', '.join(columns)})" if columns else "''"
 
 
-def pivot_tier(nodes: DataFrame, fanout: int, payload: list[str], height: int = TIER) -> DataFrame:
+def pivot_tier(nodes: DataFrame, fanout: int, payload: list[str], height: int) -> DataFrame:
     """One row per ancestor, ``height`` levels above ``g, n, idx, h``: its children in slots
     ``c0, c1, ...`` (structs of ``h`` and the payload), the levels between as ``v<level>_<k>``,
     its own hash as ``top``."""
@@ -134,7 +134,7 @@ def build(spark: SparkSession, nodes: DataFrame, folder: str, fanout: int, paylo
     tiers, width = [], fanout ** TIER
     while True:
         path = f"{folder}/tier{len(tiers)}"
-        pivot_tier(nodes, fanout, payload if not tiers else []).write.mode("overwrite").parquet(path)
+        pivot_tier(nodes, fanout, payload if not tiers else [], TIER).write.mode("overwrite").parquet(path)
         tiers.append(spark.read.parquet(path))
         longest = -(-longest // width)
         if longest <= 1:
