@@ -213,7 +213,7 @@ def q_upsert_minutes(spark, sf_dir):
     U.upsert_minutes(spark, target, minute_bars_stream(early, WIDTH))
     U.upsert_minutes(spark, target, U.recompute_touched(clean, U.touched_minutes(late), WIDTH,
                                                         horizon=None))
-    return spark.read.parquet(target).select(*BARS_STREAM_COLUMNS)
+    return U.read_silver(spark, target).select(*BARS_STREAM_COLUMNS)
 
 
 @register("stream_upsert", _BARS_S_SQL + select_rounded(BARS_STREAM_COLUMNS, _BARS_S_DOUBLES, "bars_s"))
@@ -231,7 +231,7 @@ def q_stream_upsert(spark, sf_dir):
     q = U.stream_upsert(spark, stream, lambda: L.read_landed(spark, landing), target, ckpt,
                         WIDTH, horizon=None, trigger={"availableNow": True}, event_day="dt")
     q.awaitTermination()
-    return spark.read.parquet(target).select(*BARS_STREAM_COLUMNS)
+    return U.read_silver(spark, target).select(*BARS_STREAM_COLUMNS)
 
 
 _WIDE = "7 hours"
@@ -316,4 +316,4 @@ def q_stream_upsert_horizon(spark, sf_dir):
     for b in range(8):
         handle(clean_trades(tape.where(F.col("_batch") == b).drop("_at", "_batch"), WIDTH), b)
     tape.unpersist()
-    return spark.read.parquet(target).select(*BARS_STREAM_COLUMNS)
+    return U.read_silver(spark, target).select(*BARS_STREAM_COLUMNS)

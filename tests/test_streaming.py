@@ -74,9 +74,9 @@ def test_h15_replay_is_idempotent(spark):
     target = scratch_path(spark, "test-upsert")
     handler = U.upsert_handler(spark, lambda: make_trades(spark, rows), target, "1 minute", horizon=None)
     handler(clean, 0)
-    once = sorted(tuple(r) for r in spark.read.parquet(target).collect())
+    once = sorted(tuple(r) for r in U.read_silver(spark, target).collect())
     handler(clean, 0)
-    twice = sorted(tuple(r) for r in spark.read.parquet(target).collect())
+    twice = sorted(tuple(r) for r in U.read_silver(spark, target).collect())
     assert once == twice and len(once) == 3
 
 
@@ -85,10 +85,10 @@ def test_upsert_updates_and_keeps_untouched(spark):
     clean = clean_trades(make_trades(spark, rows))
     target = scratch_path(spark, "test-upsert2")
     U.upsert_minutes(spark, target, minute_bars_stream(clean.where(F.col("trade_id") < 4)))
-    assert spark.read.parquet(target).count() == 2
+    assert U.read_silver(spark, target).count() == 2
     U.upsert_minutes(spark, target, U.recompute_touched(
         clean, U.touched_minutes(clean.where(F.col("trade_id") >= 4)), "1 minute", horizon=None))
-    got = {r.window_start: r.trade_count for r in spark.read.parquet(target).collect()}
+    got = {r.window_start: r.trade_count for r in U.read_silver(spark, target).collect()}
     assert got == {T0: 3, T0 + dt.timedelta(minutes=1): 3, T0 + dt.timedelta(minutes=2): 3}
 
 
@@ -111,7 +111,7 @@ def test_foreach_batch_speed_layer(spark):
     run()
     write_file(f"{root}/in", "b.json", b)
     run()
-    got = {r.window_start: r for r in spark.read.parquet(target).collect()}
+    got = {r.window_start: r for r in U.read_silver(spark, target).collect()}
     assert got[T0].trade_count == 2 and got[T0].close == 12.0           # recomputed in full
     assert got[T0 + dt.timedelta(minutes=1)].trade_count == 1
 
@@ -164,7 +164,7 @@ def test_handler_reads_only_touched_days(spark):
     handle = U.upsert_handler(spark, read_all, target, horizon=None, event_day="dt")
     handle(clean, 0)
     handle(clean.where(F.col("trade_id") == 2), 1)
-    assert spark.read.parquet(target).count() == 5
+    assert U.read_silver(spark, target).count() == 5
     landed = clean_trades(L.read_landed(spark, path))
     touched = U.touched_minutes(clean.where(F.col("trade_id") == 2))
     plan = U.recompute_touched(landed, touched, horizon=None, event_day="dt")._jdf.queryExecution().executedPlan().toString()
@@ -179,6 +179,6 @@ def test_horizon_moves_with_the_batches_and_counts_what_it_skips(spark):
                               on_skipped=lambda batch, n: skipped.append((batch, n)))
     handle(clean.where(F.col("trade_id") <= 1), 0)
     handle(clean.where(F.col("trade_id") > 1), 1)                                             # last trade at +60
-    got = {r.window_start for r in spark.read.parquet(target).collect()}
+    got = {r.window_start for r in U.read_silver(spark, target).collect()}
     assert got == {T0 + dt.timedelta(minutes=m) for m in (0, 10, 40, 50, 60)}
     assert skipped == [(1, 2)]
