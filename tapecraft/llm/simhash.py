@@ -157,9 +157,11 @@ def with_next(docs: DataFrame, cells: int) -> DataFrame:
     places = F.array(F.struct(F.col("_cell").alias("at"), F.lit(False).alias("copy")),
                      F.when(head, F.struct(F.col("_before").alias("at"), F.lit(True).alias("copy"))))
     dealt = joined.select("doc_id", "text", "f", "_k", "_tie", F.explode(F.array_compact(places)).alias("_p"))
-    order = Window.partitionBy("_p.at").orderBy("_p.copy", F.col("_k").asc_nulls_first(), "_tie")
-    return (dealt.withColumn("next_text", F.lead("text").over(order)).withColumn("next_f", F.lead("f").over(order))
-            .filter(~F.col("_p.copy")).select("doc_id", "text", "f", "next_text", "next_f"))
+    dealt = dealt.select("doc_id", "text", "f", "_k", "_tie", F.col("_p.at").alias("_at"), F.col("_p.copy").alias("_copy"))
+    order = Window.partitionBy("_at").orderBy("_copy", F.col("_k").asc_nulls_first(), "_tie")
+    return (dealt.select("doc_id", "text", "f", "_copy", F.lead("text").over(order).alias("next_text"),
+                         F.lead("f").over(order).alias("next_f"))
+            .filter(~F.col("_copy")).drop("_copy"))
 
 
 def edited_fingerprints(docs: DataFrame, cells: int) -> DataFrame:
