@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapecraft.functions.columns import SYMBOLS, ms_to_ts
+from tapecraft.functions.columns import MS_RANGE, SYMBOLS, ms_to_ts
 from tapecraft.schemas import TRADE
 
 
@@ -43,10 +43,10 @@ def partitioned_landing(trades: DataFrame, path: str, day: str | None = None,
 
 def land_metadata(meta: DataFrame, path: str, day: str | None = None, mode: str = "append") -> None:
     """Write flattened metadata as JSON lines under ``path/dt=YYYY-MM-DD/``
-    (``day`` of the landing run, or each record's own UTC day)."""
-    dt = F.lit(day) if day is not None else F.date_format(
-        F.timestamp_add("SECOND", F.col("timestamp"), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")),
-        "yyyy-MM-dd")
+    (``day`` of the landing run, or each record's own UTC day; a time outside
+    the years 1 to 9999 has none)."""
+    seconds = F.when(F.col("timestamp").between(MS_RANGE[0] // 1000, MS_RANGE[1] // 1000), F.col("timestamp"))
+    dt = F.lit(day) if day is not None else F.date_format(ms_to_ts(seconds * 1000), "yyyy-MM-dd")
     (_by_bytes(meta.withColumn("dt", dt), ["dt"])
          .write.mode(mode).partitionBy("dt").json(path))
 

@@ -168,3 +168,45 @@ def test_landed_unknown_fields_ignored(spark):
     assert [r.trade_id for r in rows] == [1, 2]
     assert rows[0].symbol == "BTCUSDT" and rows[0].is_buyer_maker == "false" and rows[1].trade_time is None
     assert "extra" not in L.read_landed(spark, path).columns
+
+
+def test_messages_that_are_no_trade_go_to_the_dead_letters(spark):
+    import json
+
+    from tapecraft.schemas import TRADE
+    from tapecraft.session import scratch_path
+    from tapecraft.sources import messages as M
+    good = {"event_type": "trade", "event_time": 1, "symbol": "BTCUSDT", "trade_id": 7, "price": "1.5", "quantity": "2",
+            "trade_time": 5, "is_buyer_maker": "true"}
+    other = dict(good, symbol="ñ")
+    values = [(None, "empty"), (b"", "empty"), (b"\xff\xfe{}", "not_utf8"), (b"{", "malformed"), (b"7", "malformed"),
+              (json.dumps(dict(good, trade_id="x")).encode(), "malformed"), (json.dumps(dict(good, symbol=None)).encode(), "no_symbol"),
+              (json.dumps(dict(good, symbol="")).encode(), "no_symbol"), (b"{}", "no_symbol"),
+              (json.dumps(dict(good, trade_time=None)).encode(), "no_time"), (json.dumps(dict(good, price="a")).encode(), "bad_price"),
+              (json.dumps({k: v for k, v in good.items() if k != "quantity"}).encode(), "bad_quantity"),
+              (json.dumps(good).encode(), None), (json.dumps(other, ensure_ascii=False).encode(), None)]
+    raw = spark.createDataFrame([(v if v is None else bytearray(v),) for v, _ in values], "value binary")
+    judged = M.judge_messages(raw).collect()
+    assert sorted((bytes(r["value"]) if r["value"] is not None else None, r["reason"]) for r in judged if r["value"] is not None) == sorted(
+        ((v, why) for v, why in values if v is not None), key=lambda x: x[0])
+    assert [r["reason"] for r in judged if r["value"] is None] == ["empty"]
+    root, told = scratch_path(spark, "test-dead"), {}
+    handle = M.dead_letter_handler(f"{root}/good", f"{root}/bad", on_counts=lambda b, c: told.update({b: c}))
+    for _ in range(2):                                                                      # a replay replaces the batch
+        handle(raw, 3)
+    trades = spark.read.schema(TRADE).parquet(f"{root}/good").collect()
+    assert sorted(r["symbol"] for r in trades) == ["BTCUSDT", "ñ"] and trades[0]["trade_id"] == 7
+    assert spark.read.parquet(f"{root}/bad").count() == 12
+    assert told[3]["good"] == 2 and told[3]["malformed"] == 3 and told[3]["empty"] == 2
+    assert M.decode_trades_json(raw).count() == len(values)                                 # broken bytes fail no job
+
+
+def test_metadata_with_a_broken_time_lands_without_a_day(spark):
+    from tapecraft.session import scratch_path
+    from tapecraft.sources import landing as L
+    path = scratch_path(spark, "test-meta-time")
+    meta = spark.createDataFrame([("a", "A", 1.0, 900_000_000_000_000_000, 1.0, "s"), ("b", "B", 1.0, 86_400, 1.0, "s")],
+                                 "coin_id string, symbol string, price double, timestamp long, confidence double, source string")
+    L.land_metadata(meta, path)
+    found = spark.read.schema("symbol string, dt string").json(path).collect()
+    assert sorted((r["symbol"], r["dt"]) for r in found) == [("A", None), ("B", "1970-01-02")]

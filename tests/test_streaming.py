@@ -182,3 +182,48 @@ def test_horizon_moves_with_the_batches_and_counts_what_it_skips(spark):
     got = {r.window_start for r in U.read_silver(spark, target).collect()}
     assert got == {T0 + dt.timedelta(minutes=m) for m in (0, 10, 40, 50, 60)}
     assert skipped == [(1, 2)]
+
+
+def burst(rng, n, span_ms, ids=None):
+    """Trades of one symbol within a span of a minute; ids ascend unless given."""
+    out = []
+    for i in range(n):
+        out.append(t("BTCUSDT", ids[i] if ids else i, round(100 + rng.random() * 5, 3), rng.randint(1, 9),
+                     WINDOW_MS + 10_000 + rng.randrange(span_ms), "true" if rng.random() < 0.5 else "false"))
+    return out
+
+
+def test_bounded_runs_give_the_batch_bars_and_no_row_above_the_bound(spark):
+    import random
+    rng = random.Random(5)
+    rows = burst(rng, 300, 3) + burst(rng, 40, 50_000, [-(k * 3) for k in range(40)]) + [t("ETHUSDT", None, 5, 1, WINDOW_MS)]
+    clean = clean_trades(make_trades(spark, rows))
+    from tapecraft.streaming import append as A
+    runs = A.run_summaries(A.with_event_time(clean, "1 minute"), "1 minute", "1 second", 4)
+    assert runs.agg(F.max("n")).first()[0] <= 4 and runs.agg(F.sum("n")).first()[0] == 341
+    want = {(r.symbol, r.minute): r for r in minute_bars(clean).collect()}
+    for bound in (1, 4, None):
+        got = stream_minute_append(clean, "1 minute", "1 minute", bipower=True, max_run_trades=bound).collect()
+        assert len(got) == len(want) == 2
+        for r in got:
+            w = want[r.symbol, r.window_start].asDict()
+            for name, value in r.asDict().items():
+                if name in w:
+                    assert value == w[name] or abs(value - w[name]) < 1e-9 * max(1, abs(value)), (bound, name, value, w[name])
+
+
+def test_repeats_across_batches_are_dropped_within_the_watermark(spark):
+    from tapecraft.streaming.append import deduplicated
+    root = scratch_path(spark, "test-dedup")
+    one = [t("BTCUSDT", 1, 100, 1, WINDOW_MS + 1_000), t("BTCUSDT", 2, 110, 1, WINDOW_MS + 2_000), t("ETHUSDT", 1, 7, 1, WINDOW_MS)]
+    none = [t("BTCUSDT", None, 5, 1, WINDOW_MS + 3_000), t("BTCUSDT", None, 6, 1, WINDOW_MS + 3_000)]
+    write_file(f"{root}/in", "a.json", one + one[:1] + none)
+    write_file(f"{root}/in", "b.json", one + none[:1] + [t("BTCUSDT", 3, 120, 1, WINDOW_MS + 4_000)])
+    write_file(f"{root}/in", "c.json", one[1:2] + [t("BTCUSDT", 9, 1, 1, WINDOW_MS + 900_000)])
+    raw = spark.readStream.schema(TRADE).option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    out = stream_minute_append(deduplicated(clean_trades(raw, "1 minute"), "5 minutes"), "1 minute")
+    q = (out.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r.symbol, r.window_start): r.trade_count for r in spark.read.parquet(f"{root}/out").collect()}
+    assert got == {("BTCUSDT", T0): 5, ("ETHUSDT", T0): 1}
