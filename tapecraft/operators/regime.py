@@ -20,7 +20,7 @@ BLOCK_ROWS = 1 << 16
 
 def rolling_vol_baseline(fact: DataFrame, rows: int = ROLL_ROWS, key: str = "asset_id",
                          order: str = "window_start", value: str = "realized_vol",
-                         chunk: str = "1 day", block_rows: int = BLOCK_ROWS) -> DataFrame:
+                         chunk: str = "1 day", block_rows: int = BLOCK_ROWS, flag: str | None = None) -> DataFrame:
     """Trailing mean / sample stddev / count of ``value`` over the ``rows``
     rows before each row of a series (ROWS frame, rows not time).
 
@@ -31,6 +31,9 @@ def rolling_vol_baseline(fact: DataFrame, rows: int = ROLL_ROWS, key: str = "ass
     runs per (series, block); halo copies are dropped afterwards. Exact for
     any block size >= rows.
 
+    ``flag`` names a boolean column; ``flagged`` then says whether it holds in a row
+    or in one of the ``rows`` before it.
+
     The input is read twice (day counts of ``key``/``order`` only, then the
     rows): pass a materialized table, not a long lazy lineage.
     """
@@ -50,6 +53,9 @@ def rolling_vol_baseline(fact: DataFrame, rows: int = ROLL_ROWS, key: str = "ass
     halo = (F.col("_idx") % F.lit(block_rows)) >= F.lit(block_rows - rows)
     blocked = (indexed.withColumn("_own", own)
                .withColumn("_blk", F.explode(F.when(halo, F.array(own, own + 1)).otherwise(F.array(own)))))
+    if flag is not None:
+        near = Window.partitionBy(key, "_blk").orderBy("_idx").rowsBetween(-rows, 0)
+        blocked = blocked.withColumn("flagged", F.max(F.coalesce(F.col(flag), F.lit(False))).over(near))
     w = Window.partitionBy(key, "_blk").orderBy("_idx").rowsBetween(-rows, -1)
     out = (blocked
            .withColumn("roll_mean_vol", F.avg(value).over(w))
@@ -100,5 +106,10 @@ def ofi_return_by_regime(fact: DataFrame, rows: int = ROLL_ROWS, min_rows: int =
                          ratio: float = JUMP_RATIO, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """The regime mart: rolling baseline, z-score, regime, jump flag."""
     rolled = rolling_vol_baseline(fact, rows=rows, block_rows=block_rows)
-    out = jump_minutes(volatility_regime(vol_zscore(rolled), min_rows, calm, turbulent), ratio)
-    return out.select(*REGIME_COLUMNS)
+    return classified(rolled, min_rows, calm, turbulent, ratio).select(*REGIME_COLUMNS)
+
+
+def classified(rolled: DataFrame, min_rows: int = MIN_ROWS, calm: float = CALM_Z, turbulent: float = TURBULENT_Z,
+               ratio: float = JUMP_RATIO) -> DataFrame:
+    """Rows with a rolling baseline, with z-score, regime and jump flag added."""
+    return jump_minutes(volatility_regime(vol_zscore(rolled), min_rows, calm, turbulent), ratio)

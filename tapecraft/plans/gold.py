@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapecraft.functions.columns import (
     asset_name, base_symbol, is_us_market_hours, is_weekend, market_cap_tier,
     surrogate_key, time_id, trading_session,
 )
+from tapecraft.sources.versioned import VersionedTable
 
 _STG_RENAMES = [
     ("open", "open_price"), ("high", "high_price"), ("low", "low_price"), ("close", "close_price"),
@@ -170,8 +171,13 @@ def dim_asset(fact: DataFrame, meta: DataFrame, with_loaded_at: bool = True,
     return out
 
 
+def model_table(spark: SparkSession, root: str, name: str) -> VersionedTable:
+    """The versioned table of a model, unpartitioned."""
+    return VersionedTable(spark, f"{root.rstrip('/')}/{name}", None)
+
+
 def write_model(model: DataFrame, root: str, name: str) -> DataFrame:
-    """Write a model as a table (parquet folder ``root/name``, replaced) and read it back."""
-    path = f"{root.rstrip('/')}/{name}"
-    model.write.mode("overwrite").parquet(path)
-    return model.sparkSession.read.parquet(path)
+    """Write a model as a table and read it back. Readers see the version before
+    until the new one is whole (``sources.versioned``)."""
+    table = model_table(model.sparkSession, root, name)
+    return table.read(version=table.replace(model))
