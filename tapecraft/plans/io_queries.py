@@ -13,17 +13,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapecraft.functions.columns import SYMBOLS, ntz_literal
-from tapecraft.operators.bars import minute_bars_stream
+from tapecraft.operators import incremental as I
+from tapecraft.operators import regime as R
+from tapecraft.operators.bars import as_stream_shape, minute_bars, minute_bars_stream
 from tapecraft.operators.clean import clean_trades, recent_trades
+from tapecraft.plans import gold as G
 from tapecraft.plans import oracle as O
-from tapecraft.plans.registry import WIDTH, register, select_rounded
+from tapecraft.plans.models import build_models, read_models
+from tapecraft.plans.registry import _NULL_SQL, REGIME_DOUBLES, REGIME_SQL, WIDTH, register, select_rounded
 from tapecraft.schemas import BARS_STREAM_COLUMNS, TRADE
 from tapecraft.session import scratch_path
 from tapecraft.sources import landing as L
 from tapecraft.sources import messages as M
 from tapecraft.sources import tables as S
+from tapecraft.sources.versioned import VersionedTable
 from tapecraft.streaming import upsert as U
-from tapecraft.streaming.append import stream_minute_append
+from tapecraft.streaming.append import deduplicated, stream_minute_append
+from tapecraft.streaming.ledger import SkippedWindows
 
 TRADE_TEXT_COLS = ["event_type", "event_time", "symbol", "trade_id", "price", "quantity",
                    "trade_time", "is_buyer_maker"]
@@ -282,20 +288,55 @@ def q_stream_append_out_of_order(spark, sf_dir):
     minutes late, under a watermark of 30 minutes: no trade is lost, closed
     windows equal the batch bars."""
     root = scratch_path(spark, "stream-late")
-    tape = _arrival_batches(spark, sf_dir).persist()
-    files = 4
+    raw = _stream_of_arrivals(spark, _arrival_batches(spark, sf_dir), root)
+    return _appended(spark, stream_minute_append(clean_trades(raw, WIDTH), WIDTH, "30 minutes"), root)
+
+
+def _stream_of_arrivals(spark, tape, root, files=4):
+    """The tape's batches as a file stream, a micro-batch each or thereabouts."""
+    tape = tape.persist()
     for b in range(8):   # one write a batch, so that file times follow the arrivals
         (tape.where(F.col("_batch") == b).drop("_at", "_batch").repartition(files)
          .write.mode("append").json(f"{root}/in"))
     tape.unpersist()
-    raw = spark.readStream.schema(TRADE).option("maxFilesPerTrigger", files).json(f"{root}/in")
-    out = stream_minute_append(clean_trades(raw, WIDTH), WIDTH, "30 minutes")
-    q = (out.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
+    return spark.readStream.schema(TRADE).option("maxFilesPerTrigger", files).json(f"{root}/in")
+
+
+def _appended(spark, bars, root):
+    """Run a stream of bars over all its input into an append-mode parquet sink; the sink."""
+    q = (bars.writeStream.outputMode("append").format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out")
 
 
+@register("stream_append_bounded", _BARS_S_SQL + select_rounded(
+    BARS_STREAM_COLUMNS, _BARS_S_DOUBLES, "bars_s",
+    " WHERE window_end <= (SELECT max(ts) FROM clean) - INTERVAL 30 MINUTE"))
+def q_stream_append_bounded(spark, sf_dir):
+    """The same stream with at most four trades in a state row, stitched three times."""
+    root = scratch_path(spark, "stream-bounded")
+    raw = _stream_of_arrivals(spark, _arrival_batches(spark, sf_dir), root)
+    return _appended(spark, stream_minute_append(clean_trades(raw, WIDTH), WIDTH, "30 minutes", max_run_trades=4), root)
+
+
+@register("stream_append_deduplicated", _BARS_S_SQL + select_rounded(
+    BARS_STREAM_COLUMNS, _BARS_S_DOUBLES, "bars_s",
+    " WHERE window_end <= (SELECT max(ts) - to_seconds((max(trade_time) - min(trade_time)) // 4000 + 3600) FROM clean)"))
+def q_stream_append_deduplicated(spark, sf_dir):
+    """The same stream with every fifth message twice more, once in its batch and once
+    in the next one, under a watermark of a quarter of the tape and an hour: it
+    remembers trades for two batches, so all repeats go and no trade is late."""
+    root = scratch_path(spark, "stream-repeats")
+    tape = _arrival_batches(spark, sf_dir)
+    again = tape.where(F.col("trade_id") % 5 == 0)
+    repeated = tape.unionByName(again).unionByName(again.withColumn("_batch", F.least(F.col("_batch") + 1, F.lit(7))))
+    ends = clean_trades(tape, WIDTH).agg(F.min("trade_time").alias("lo"), F.max("trade_time").alias("hi")).first()
+    delay = ((ends["hi"] or 0) - (ends["lo"] or 0)) // 4000 + 3600
+    raw = _stream_of_arrivals(spark, repeated, root)
+    return _appended(spark, stream_minute_append(deduplicated(clean_trades(raw, WIDTH), f"{delay} seconds"), WIDTH), root)
+
+
 @register("stream_upsert_horizon", _BARS_S_SQL.rstrip() + _ARRIVAL_SQL + """,
 edges AS (SELECT b, max(ts) AS last FROM batches GROUP BY b),
 seen AS (
@@ -317,3 +358,170 @@ def q_stream_upsert_horizon(spark, sf_dir):
         handle(clean_trades(tape.where(F.col("_batch") == b).drop("_at", "_batch"), WIDTH), b)
     tape.unpersist()
     return U.read_silver(spark, target).select(*BARS_STREAM_COLUMNS)
+
+
+@register("stream_upsert_repaired", _BARS_S_SQL + select_rounded(BARS_STREAM_COLUMNS, _BARS_S_DOUBLES, "bars_s"))
+def q_stream_upsert_repaired(spark, sf_dir):
+    """The speed layer as a stream with a horizon of ten minutes, which most late trades
+    miss: windows before it go to the ledger, and a repair pass drains it. Only the landing
+    folders of a batch's windows are read. In the end silver has all bars of the tape."""
+    root = scratch_path(spark, "speed-repaired")
+    L.partitioned_landing(S.trades(spark, sf_dir), f"{root}/landing")
+    raw = _stream_of_arrivals(spark, _arrival_batches(spark, sf_dir), root)
+    ledger = SkippedWindows(spark, f"{root}/ledger")
+
+    def read_days(days):
+        return L.read_landed(spark, f"{root}/landing", days)
+
+    U.stream_upsert(spark, raw, None, f"{root}/silver", f"{root}/checkpoint", WIDTH, {"availableNow": True},
+                    horizon="10 minutes", read_days=read_days, ledger=ledger).awaitTermination()
+    U.repair_skipped(spark, ledger, None, f"{root}/silver", WIDTH, read_days=read_days)
+    return U.read_silver(spark, f"{root}/silver").select(*BARS_STREAM_COLUMNS)
+
+
+_FAULTY = "trade_id % 211 = 3"
+
+
+@register("speed_layer_checks", _BARS_S_SQL.rstrip() + _ARRIVAL_SQL + f""",
+faulty AS (SELECT DISTINCT symbol, minute FROM clean WHERE {_FAULTY})
+SELECT CAST(b AS BIGINT) AS batch, count(*) AS bars, count(f.symbol) AS not_finite, count(f.symbol) > 0 AS rejected
+FROM (SELECT DISTINCT b, symbol, minute FROM batches) t LEFT JOIN faulty f ON f.symbol = t.symbol AND f.minute = t.minute
+GROUP BY b""")
+def q_speed_layer_checks(spark, sf_dir):
+    """The gate's reports over eight batches of a tape in which some prices are the text
+    'NaN': batches that touch such a window are rejected, the others upserted."""
+    valid = (F.col("price").try_cast("double") > 0) & (F.col("quantity").try_cast("double") > 0)
+    tape = _arrival_batches(spark, sf_dir)
+    tape = tape.withColumn("price", F.when(F.expr(_FAULTY) & valid, F.lit("NaN")).otherwise(F.col("price"))).persist()
+    root, reports = scratch_path(spark, "speed-checks"), []
+    L.partitioned_landing(tape.drop("_at", "_batch"), f"{root}/landing")
+    handle = U.upsert_handler(spark, None, f"{root}/silver", WIDTH, horizon=None, on_report=reports.append,
+                              read_days=lambda days: L.read_landed(spark, f"{root}/landing", days),
+                              ledger=SkippedWindows(spark, f"{root}/ledger"))
+    for b in range(8):
+        handle(clean_trades(tape.where(F.col("_batch") == b).drop("_at", "_batch"), WIDTH), b)
+    tape.unpersist()
+    return spark.createDataFrame([(r.batch, r.bars, r.failing["not_finite"], r.rejected) for r in reports],
+                                 "batch long, bars long, not_finite long, rejected boolean")
+
+
+@register("upsert_null_windows", _NULL_SQL.rstrip() + """,
+bars_s AS (
+  SELECT symbol, minute AS window_start, minute + INTERVAL 3600 SECOND AS window_end,
+         open, high, low, close, volume, trade_count, vwap, realized_variance, realized_vol,
+         buy_volume, sell_volume, signed_volume, ofi
+  FROM bars)
+""" + select_rounded(BARS_STREAM_COLUMNS, _BARS_S_DOUBLES, "bars_s"))
+def q_upsert_null_windows(spark, sf_dir):
+    """Bars with NULL symbols and NULL windows, merged in three steps: all from half the
+    trades, then the full ones of some symbols, then those of the rest. No row is lost."""
+    tape = S.trades(spark, sf_dir)
+    tape = (tape.withColumn("symbol", F.when(F.col("trade_id") % 31 != 5, F.col("symbol")))
+            .withColumn("trade_time", F.when(F.col("trade_id") % 50 != 7, F.col("trade_time"))))
+    clean, target = clean_trades(tape, WIDTH), scratch_path(spark, "silver-null")
+    some = F.coalesce(F.col("symbol") != "ETHUSDT", F.lit(True))
+    for trades in (clean.where("trade_id % 2 = 0"), clean.where(some), clean.where(~some)):
+        U.upsert_minutes(spark, target, minute_bars_stream(trades, WIDTH))
+    return U.read_silver(spark, target).select(*BARS_STREAM_COLUMNS)
+
+
+# --- SRC10: messages with dead letters ----------------------------------------------------
+
+# Every message of the tape by its id: some are broken, each in one way.
+_MESSAGES_SQL = TAPE_TEXT.rstrip() + """,
+texts AS (
+  SELECT *, trade_id % 13 AS fault, to_json({'event_type': event_type, 'event_time': event_time,
+           'symbol': CASE WHEN trade_id % 13 = 4 THEN '' ELSE symbol END, 'trade_id': trade_id,
+           'price': CASE WHEN trade_id % 13 = 6 THEN 'abc' ELSE price END,
+           'quantity': CASE WHEN trade_id % 13 = 7 THEN '' ELSE quantity END,
+           'trade_time': trade_time, 'is_buyer_maker': is_buyer_maker = 'true'})::VARCHAR AS whole,
+         to_json({'event_type': event_type, 'event_time': event_time, 'symbol': symbol, 'trade_id': trade_id,
+           'price': price, 'quantity': quantity, 'is_buyer_maker': is_buyer_maker = 'true'})::VARCHAR AS timeless
+  FROM tape_text)
+"""
+
+
+def _messages(spark, sf_dir):
+    """The tape as UTF-8 JSON messages, seven in thirteen ids broken, each class in its way."""
+    fault = F.col("trade_id") % 13
+    tape = (S.trades(spark, sf_dir).withColumn("_fault", fault)
+            .withColumn("symbol", F.when(fault == 4, F.lit("")).otherwise(F.col("symbol")))
+            .withColumn("trade_time", F.when(fault != 5, F.col("trade_time")))
+            .withColumn("price", F.when(fault == 6, F.lit("abc")).otherwise(F.col("price")))
+            .withColumn("quantity", F.when(fault == 7, F.lit("")).otherwise(F.col("quantity"))))
+    text = F.to_json(F.struct(*TRADE.fieldNames()))
+    value = (F.when(fault == 1, F.lit("").cast("binary")).when(fault == 2, F.concat(F.unhex(F.lit("FF")), text.cast("binary")))
+             .when(fault == 3, F.left(text, F.lit(20)).cast("binary")).otherwise(text.cast("binary")))
+    return tape.select(value.alias("value"))
+
+
+def _run_messages(spark, sf_dir):
+    root = scratch_path(spark, "messages")
+    _messages(spark, sf_dir).repartition(6).write.parquet(f"{root}/in")
+    raw = spark.readStream.schema("value binary").option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    q = (raw.writeStream.foreachBatch(M.dead_letter_handler(f"{root}/trades", f"{root}/rejects"))
+         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return root
+
+
+@register("message_stream_trades", _MESSAGES_SQL + "SELECT " + ", ".join(TRADE_TEXT_COLS) +
+          " FROM texts WHERE fault NOT BETWEEN 1 AND 7")
+def q_message_stream_trades(spark, sf_dir):
+    """A stream of binary messages, judged batch by batch: the trades sink."""
+    return spark.read.schema(TRADE).parquet(_run_messages(spark, sf_dir) + "/trades").select(*TRADE_TEXT_COLS)
+
+
+@register("message_stream_rejects", _MESSAGES_SQL + """
+SELECT ['empty', 'not_utf8', 'malformed', 'no_symbol', 'no_time', 'bad_price', 'bad_quantity'][fault] AS reason,
+       CASE fault WHEN 1 THEN '' WHEN 2 THEN 'FF' || hex(encode(whole)) WHEN 3 THEN hex(encode(left(whole, 20)))
+                  WHEN 5 THEN hex(encode(timeless)) ELSE hex(encode(whole)) END AS bytes
+FROM texts WHERE fault BETWEEN 1 AND 7""")
+def q_message_stream_rejects(spark, sf_dir):
+    """The dead letters of the same stream: each rejected message with its reason."""
+    rejects = spark.read.schema("reason string, value binary").parquet(_run_messages(spark, sf_dir) + "/rejects")
+    return rejects.select("reason", F.hex("value").alias("bytes"))
+
+
+# --- MD4-MD9: models kept up to date ------------------------------------------------------
+
+def _split_bars(spark, sf_dir):
+    """Clean trades, bars of the trades before a cut that splits a window, and (lazily) all bars
+    of the windows that later trades touch."""
+    clean = clean_trades(S.trades(spark, sf_dir), WIDTH)
+    cut = ntz_literal(_max_ts(clean) - timedelta(days=1, minutes=30))
+    late = U.touched_minutes(clean.where(F.col("ts") >= cut))
+    return (clean, minute_bars(clean.where(F.col("ts") < cut), WIDTH),
+            minute_bars(clean.join(late, ["symbol", "minute"], "left_semi"), WIDTH))
+
+
+@register("regime_mart_incremental", REGIME_SQL + select_rounded(R.REGIME_COLUMNS, REGIME_DOUBLES, "classified"))
+def q_regime_mart_incremental(spark, sf_dir):
+    """The mart of the early fact, brought up to date after the later windows are upserted
+    into it: equal to a rebuild, read from the affected days."""
+    root = scratch_path(spark, "mart")
+    fact, mart, counts = (VersionedTable(spark, f"{root}/{n}") for n in ("fact", "mart", "counts"))
+    _, early, late = _split_bars(spark, sf_dir)
+    fact.replace(I.with_day(G.fct_market_window(G.stg_trades_minute(early))))
+    I.update_regime_mart(fact, mart, counts)
+    upserts = I.with_day(G.fct_market_window(G.stg_trades_minute(late))).persist()
+    fact.merge(upserts, I.MART_KEYS)
+    I.update_regime_mart(fact, mart, counts, upserts)
+    upserts.unpersist()
+    return mart.read().select(*R.REGIME_COLUMNS)
+
+
+@register("gold_models", REGIME_SQL + select_rounded(R.REGIME_COLUMNS, REGIME_DOUBLES, "classified"))
+def q_gold_models(spark, sf_dir):
+    """The star schema as versioned models: built from early silver, then rebuilt where the
+    complete batch silver changes them; returns the regime mart, the last of the chain."""
+    root = scratch_path(spark, "models")
+    clean, early, _ = _split_bars(spark, sf_dir)
+    sources = {n: VersionedTable(spark, f"{root}/{n}", None) for n in ("silver", "silver_stream", "metadata")}
+    sources["silver"].replace(early)
+    sources["silver_stream"].replace(as_stream_shape(early, WIDTH))
+    sources["metadata"].replace(S.metadata(spark, sf_dir))
+    build_models(spark, f"{root}/gold", sources)
+    sources["silver"].replace(minute_bars(clean, WIDTH))
+    build_models(spark, f"{root}/gold", sources)
+    return read_models(spark, f"{root}/gold", ["fct_ofi_return_by_regime"])["fct_ofi_return_by_regime"]
