@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import base64
 import json
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -51,6 +52,8 @@ from tapecraft.session import scratch_path
 TOLD_WORDS = 8_000_000
 #: Text bytes of a block of documents, about; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 19
+#: Characters of a plan's description that Spark keeps of the fold: its literal has millions.
+PLAN_TEXT = 1 << 16
 #: Hashes of words that a listing task remembers.
 WORDS_KEPT = 1_000_000
 #: Characters of the state: an id is the character this far on; two beyond all ids stand for
@@ -335,12 +338,26 @@ def _blocks(batches):
             yield batch.column(0).slice(first, rows), texts.slice(first, rows), offsets, data
 
 
+@contextmanager
+def _short_plan_texts(spark: SparkSession):
+    """Bound the plan texts that the driver makes and keeps of the queries inside."""
+    name = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), PLAN_TEXT)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def told_vocabulary(spark: SparkSession, docs: DataFrame, rank_file: str, folder: str, most: int) -> tuple[str, bool]:
     """Fold the corpus's distinct words and write (hash, ids); returns the folder and whether it holds all words."""
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     listed = docs.select("text").mapInArrow(_list_words, "hash long, word string")
     words = listed.repartition(parts, "word").groupBy("word", "hash").agg(F.count("*").alias("tasks"))
-    words.write.mode("overwrite").parquet(f"{folder}/words")
+    # dealt anew here, for the fold takes longer than it reads; its own plan then has no shuffle, so that the
+    # literal is planned and described once and not at every adaptive step
+    words.repartition(parts).write.mode("overwrite").parquet(f"{folder}/words")
     words = spark.read.parquet(f"{folder}/words")
     total = words.count()
     if total > most:
@@ -351,10 +368,10 @@ def told_vocabulary(spark: SparkSession, docs: DataFrame, rank_file: str, folder
                 break
             least = row["tasks"]
         words = words.filter(F.col("tasks") >= least) if least else words.limit(0)
-    # words are dealt anew for the fold, which takes longer than it reads
-    folded = words.repartition(parts).select(
+    folded = words.select(
         "hash", F.get(encode_words(F.array("word"), rank_file), F.lit(0)).alias("ids"))
-    folded.write.mode("overwrite").parquet(f"{folder}/folded")
+    with _short_plan_texts(spark):
+        folded.write.mode("overwrite").parquet(f"{folder}/folded")
     # sorted once here, so that no task has to sort or gather the whole
     (spark.read.parquet(f"{folder}/folded").repartitionByRange(parts, "hash").sortWithinPartitions("hash")
      .write.mode("overwrite").parquet(f"{folder}/vocabulary"))
