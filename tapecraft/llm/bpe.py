@@ -343,7 +343,7 @@ def _short_plan_texts(spark: SparkSession):
     """Bound the plan texts that the driver makes and keeps of the queries inside."""
     name = "spark.sql.maxPlanStringLength"
     before = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(before), PLAN_TEXT)))
+    spark.conf.set(name, str(PLAN_TEXT))
     try:
         yield
     finally:
