@@ -118,6 +118,8 @@ def _cut_runs(runs: DataFrame, key: str, fixed: str | None, max_rows: int, ways:
                                           *([F.min(fixed).alias("_a"), F.max(fixed).alias("_b")] if fixed else []))
            .where((F.col("_n") > F.lit(max_rows)) & (F.col("_a") == F.col("_b") if fixed else F.lit(True)))
            .select("_pk", "_sub", "_lo").checkpoint(eager=True))
+    if hot.isEmpty():   # reads the checkpoint: nothing to cut, no sketch, no join
+        return runs
     d = "decimal(38,0)"   # a difference of two longs may not fit one
     offset = (F.col(key).cast(d) - F.col("_lo").cast(d)).cast("double")
     # both small sides are checkpointed, so their size check reads them, not the trades

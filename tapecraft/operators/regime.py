@@ -39,16 +39,14 @@ def rolling_vol_baseline(fact: DataFrame, rows: int = ROLL_ROWS, key: str = "ass
     """
     if block_rows < rows:
         raise ValueError("block_rows must be >= rows")
-    f = fact.withColumn("_chunk", window_start(order, chunk))
-    counts = f.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col(key).alias("_okey"), F.col("_chunk").alias("_ochunk"),
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    in_chunk = Window.partitionBy(key, "_chunk").orderBy(order)
-    # null-safe: a series without a key and rows without a time are kept
-    indexed = (f.join(offsets, F.col(key).eqNullSafe(F.col("_okey")) & F.col("_chunk").eqNullSafe(F.col("_ochunk")))
-               .drop("_okey", "_ochunk")
-               .withColumn("_idx", F.col("_off") + F.row_number().over(in_chunk) - F.lit(1)))
+    # one struct key: joins and groups on it match NULL fields (a series without a key, rows
+    # without a time), and the join shares the shuffle of the window inside the chunk
+    f = fact.withColumn("_pk", F.struct(F.col(key).alias("k"), window_start(order, chunk).alias("c")))
+    counts = f.groupBy("_pk").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_pk.k").orderBy("_pk.c").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    in_chunk = Window.partitionBy("_pk").orderBy(order)
+    indexed = f.join(offsets, "_pk").withColumn("_idx", F.col("_off") + F.row_number().over(in_chunk) - F.lit(1))
     own = (F.col("_idx") / F.lit(block_rows)).cast("long")
     halo = (F.col("_idx") % F.lit(block_rows)) >= F.lit(block_rows - rows)
     blocked = (indexed.withColumn("_own", own)
@@ -62,7 +60,7 @@ def rolling_vol_baseline(fact: DataFrame, rows: int = ROLL_ROWS, key: str = "ass
            .withColumn("roll_std_vol", F.stddev_samp(value).over(w))
            .withColumn("roll_n", F.count(F.lit(1)).over(w))
            .where(F.col("_blk") == F.col("_own")))
-    return out.drop("_chunk", "_off", "_idx", "_own", "_blk")
+    return out.drop("_pk", "_off", "_idx", "_own", "_blk")
 
 
 def _z() -> Column:
