@@ -46,8 +46,8 @@ WITH t AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND line_chars <= 0.32 * word_chars
-         AND c5 <= 0.40 * word_chars AND c7 <= 0.36 * word_chars AND c10 <= 0.32 * word_chars AS kept
+         AND line_chars <= 0.20 * word_chars
+         AND c5 <= 0.15 * word_chars AND c7 <= 0.13 * word_chars AND c10 <= 0.10 * word_chars AS kept
 FROM m
 """
 

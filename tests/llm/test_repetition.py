@@ -47,6 +47,15 @@ def test_repeats_are_rejected_and_clean_texts_kept(spark):
     assert kept[1] and not brute(rows[1][1])[-1] == kept[1] and kept[2] == brute(rows[1][1])[-1]
 
 
+def test_a_passage_said_twice_passes_the_base_and_is_rejected(spark):
+    passage = prose(13, 30, 4000)
+    twice = " ".join([passage, prose(14, 80, 4000), passage])                        # 43 % of words repeat, 21 % are copies
+    lines = "\n".join([prose(15, 25, 4000), *[prose(k, 20, 4000) for k in range(16, 19)], prose(15, 25, 4000)])
+    once = " ".join([passage, prose(14, 80, 4000)])
+    found = {r.doc_id: (r.base_failed, r.kept) for r in repetition_rules(docs_table(spark, [(1, twice), (2, lines), (3, once)])).collect()}
+    assert found == {1: (False, False), 2: (False, False), 3: (False, True)}
+
+
 def test_empty_table_and_carried_columns(spark):
     empty = repetition_rules(docs_table(spark, []), keep=("text", "n"))
     assert empty.collect() == [] and {"text", "n", "kept"} <= set(empty.columns)
