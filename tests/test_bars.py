@@ -326,13 +326,15 @@ def test_hot_part_with_null_symbol_is_split(spark):
         check(got[(sym, dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=start))], e)
 
 
-def test_hot_part_guard_plan_shape(spark):
-    """With hot parts present, the cut tables of the two rounds join the trades by
-    broadcast and the bars keep their two exchanges (trades once, part summaries once)."""
-    rows = [("BTCUSDT", i, f"{100 + i % 5}", "1", WINDOW_MS + 2000 + i % 30, "false") for i in range(300)]
+@pytest.mark.parametrize("joins, offset", [(0, lambda i: 700 * i), (1, lambda i: i % 30), (2, lambda i: i % 30 if i % 2 else 0)])
+def test_hot_part_guard_plan_shape(spark, joins, offset):
+    """The cut table of each round that has something to cut (hot parts, then hot timestamps)
+    joins the trades by broadcast; the bars keep their two exchanges (trades once, part
+    summaries once). A round with nothing hot adds nothing."""
+    rows = [("BTCUSDT", i, f"{100 + i % 5}", "1", WINDOW_MS + 2000 + offset(i), "false") for i in range(300)]
     clean = clean_trades(make_trades(spark, rows))
     df = B.minute_bars(clean, "1 minute", max_part_rows=20, hot_ways=8)
     df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("BroadcastHashJoin") == 2 and "NestedLoopJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == joins and "NestedLoopJoin" not in plan
     assert plan.count("Exchange hashpartitioning") == 2
