@@ -122,7 +122,7 @@ def q_bronze_scan_count(spark, sf_dir):
     return L.bronze_scan_count(S.trades(spark, sf_dir))
 
 
-_EXPECTED = ", ".join(f"('{s}')" for s in SYMBOLS)
+_EXPECTED = ", ".join(f"('{s}')" for s in O.EXPECTED_SYMBOLS)
 
 
 @register("symbol_coverage", f"""WITH {O.tape_cte()},

@@ -361,11 +361,12 @@ def q_ofi_return_by_regime(spark, sf_dir):
 # --- 2.11: data quality -----------------------------------------------------------
 
 def _dq_sql() -> str:
-    from tapecraft.operators.quality import GOLD_CHECKS
-    tables = {"fct_market_window": "fct", "fct_market_window_stream": "fct_s",
-              "dim_asset": "dim_asset", "dim_time": "dim_time"}
+    """The checks of the star schema, one row each, written out."""
+    tables = {"fct_market_window": "fct", "fct_market_window_stream": "fct_s", "dim_asset": "dim_asset", "dim_time": "dim_time"}
     parts = []
-    for i, (check, table, col, ptable, pcol) in enumerate(GOLD_CHECKS, start=1):
+    for i, line in enumerate(O.DQ_CHECKS.strip().splitlines(), start=1):
+        check, place, *parent = line.split()
+        table, col = place.split(".")
         t = tables[table]
         if check == "unique":
             cnt = (f"(SELECT count(*) FROM (SELECT {col} FROM {t} WHERE {col} IS NOT NULL "
@@ -373,8 +374,8 @@ def _dq_sql() -> str:
         elif check == "not_null":
             cnt = f"(SELECT count(*) FROM {t} WHERE {col} IS NULL)"
         else:
-            p = tables[ptable]
-            cnt = (f"(SELECT count(*) FROM {t} c LEFT JOIN {p} p ON c.{col} = p.{pcol} "
+            ptable, pcol = parent[0].split(".")
+            cnt = (f"(SELECT count(*) FROM {t} c LEFT JOIN {tables[ptable]} p ON c.{col} = p.{pcol} "
                    f"WHERE c.{col} IS NOT NULL AND p.{pcol} IS NULL)")
         parts.append(f"SELECT CAST({i} AS BIGINT) AS check_order, '{check}' AS check_name, "
                      f"'{table}' AS table_name, '{col}' AS column_name, "
