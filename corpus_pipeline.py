@@ -6,7 +6,7 @@ result as Parquet in the cluster's shared folder and reads it again for the next
 1. language_id: documents whose language cannot be told (no letter, or a score
    below ``LEAST_SCORE``) go.
 2. quality_rules: documents that fail the base or the repetition rules go, by the
-   limits below (op6's own, stated in its SQL, let all but the base rule pass).
+   limits below.
 3. near_duplicates: of each component of linked documents the one with the
    smallest ``doc_id`` stays, one row of it; rows without a ``doc_id`` stay.
 4. mix_sources: a document appears as often as the mix takes it, 0 to 2 times:
