@@ -196,19 +196,23 @@ class VersionedTable:
         self._add_version(version)
         return version
 
-    def merge(self, updates: DataFrame, keys: Sequence[str], batch: tuple[str, int] | None = None) -> Version | None:
+    def merge(self, updates: DataFrame, keys: Sequence[str], batch: tuple[str, int] | None = None,
+              materialized: bool = False) -> Version | None:
         """Update-or-insert by ``keys`` (NULL keys match NULL keys); one row a key in ``updates``.
 
         Only partitions with an update are read and written, and rows of a key stay
         in its partition: the partition is a function of the keys. The updates are
-        checkpointed, as they are read for their partitions, keys and rows. None if
-        there is nothing to do: no update, or the batch is applied already.
+        checkpointed, as they are read for their partitions, keys and rows, unless they
+        are ``materialized`` already. None if there is nothing to do: no update, or the
+        batch is applied already.
         """
         base = self.version()
         if self.is_applied(batch, base):
             return None
-        checkpoint_root(self.spark)
-        ups = updates.withColumn(self.partition, F.col(self.partition).cast("string")).checkpoint(eager=True)
+        ups = updates.withColumn(self.partition, F.col(self.partition).cast("string"))
+        if not materialized:
+            checkpoint_root(self.spark)
+            ups = ups.checkpoint(eager=True)
         values = [row[0] for row in ups.select(self.partition).distinct().collect()]   # calendar days
         if not values and batch is None:
             return None

@@ -104,20 +104,21 @@ def read_silver(spark: SparkSession, target: str, days: list[str | None] | None
 
 
 def upsert_minutes(spark: SparkSession, target: str, updates: DataFrame, keys=KEYS, day_of: str = "window_start",
-                   batch: tuple[str, int] | None = None, attempts: int = 3) -> Version | None:
+                   batch: tuple[str, int] | None = None, materialized: bool = False, attempts: int = 3) -> Version | None:
     """Keyed update-or-insert of ``updates`` (one row per key) into the silver table at ``target``.
 
     Keys match null-safe: bars of the NULL window have a partition of their own and
     are updated like any other, untouched rows stay. Only the days of the updates
     are read and written. ``batch`` (a writer's name and its batch number) is
     applied at most once. A merge that meets another writer's new version starts
-    over on that one, ``attempts`` times at most.
+    over on that one, ``attempts`` times at most. ``materialized``: the updates are
+    a written or checkpointed frame and are not checkpointed again.
     """
     table = silver_table(spark, target)
     rows = updates.withColumn("dt", F.date_format(F.col(day_of), "yyyy-MM-dd"))
     for left in reversed(range(attempts)):
         try:
-            return table.merge(rows, keys, batch)
+            return table.merge(rows, keys, batch, materialized)
         except VersionConflict:
             if not left:
                 raise
@@ -177,7 +178,7 @@ def upsert_handler(spark: SparkSession, read_all: Callable[[], DataFrame] | None
                     if ledger is not None:
                         ledger.record(keys, batch_id, "checks")
                     return
-            upsert_minutes(spark, target, bars, batch=number)
+            upsert_minutes(spark, target, bars, batch=number, materialized=checks is not None)
         finally:
             touched.unpersist()
 
@@ -204,7 +205,7 @@ def repair_skipped(spark: SparkSession, ledger: SkippedWindows, read_all: Callab
     bars, report = check_bars(bars, checks or {}, -1)
     if report.rejected:
         return report
-    upsert_minutes(spark, target, bars)
+    upsert_minutes(spark, target, bars, materialized=True)
     ledger.drain(entries)
     return report
 
