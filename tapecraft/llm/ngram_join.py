@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapecraft.llm.components import connected_components
+from tapecraft.llm.memory import release_unused
 from tapecraft.llm.words import block_words, shingle_set, text_blocks
 from tapecraft.session import scratch_path
 
@@ -82,6 +83,7 @@ def _fingerprint(keys: np.ndarray) -> tuple[int, int]:
 
 def _screen_rows(batches, words, fragments):
     """Per batch: one row of facts on its documents, and one per fragment with the shingles seen there."""
+    release_unused()  # of the stages before, in a worker that serves many tasks
     task = TaskContext.get().partitionId()
     names = ["fragment", "batch", "facts", "counts", "once", "again"]
     types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
@@ -140,14 +142,17 @@ def _own_counts(part: pd.DataFrame) -> pd.DataFrame:
         once = [np.frombuffer(x, "<u4") for x in rows["once"]]
         again = [np.frombuffer(x, "<u4") for x in rows["again"]]
         every = np.concatenate([*once, *again, *again])  # what occurs again is never single
-        values, back, times = np.unique(every, return_inverse=True, return_counts=True)
-        alone = (times == 1)[back]
-        at = 0
+        every.sort()
+        differs = np.concatenate([[True], every[1:] != every[:-1], [True]])
+        single = every[differs[1:] & differs[:-1]]
+        del every, differs
         for b, counts, keys in zip(rows["batch"], rows["counts"], once):
             counts = np.frombuffer(counts, "<u4")
             doc = np.repeat(np.arange(len(counts)), counts)
-            own = np.bincount(doc[alone[at:at + len(keys)]], minlength=len(counts))
-            at += len(keys)
+            at = np.searchsorted(single, keys)
+            alone = np.zeros(len(keys), bool)
+            alone[at < len(single)] = single[at[at < len(single)]] == keys[at < len(single)]
+            own = np.bincount(doc[alone], minlength=len(counts))
             out.append((int(b), None, own.astype("<u4").tobytes()))
     return pd.DataFrame(out, columns=["batch", "facts", "own"])
 
