@@ -124,6 +124,11 @@ def upsert_minutes(spark: SparkSession, target: str, updates: DataFrame, keys=KE
                 raise
 
 
+def _running_stream(spark: SparkSession) -> str | None:
+    """The id of the streaming query whose batch is being handled: new with every new checkpoint."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def upsert_handler(spark: SparkSession, read_all: Callable[[], DataFrame] | None, target: str,
                    width: str = "1 minute", as_of: datetime | Callable[[], datetime] | None = None,
                    horizon: str | None = "20 minutes", part: str | None = None,
@@ -141,11 +146,13 @@ def upsert_handler(spark: SparkSession, read_all: Callable[[], DataFrame] | None
     ``horizon=None`` recomputes all touched windows. ``checks`` (None: no gate) are
     conditions that no bar may meet; a batch with such bars is entered in the ledger
     instead of being upserted. Every batch's counts go to ``on_report``. ``writer``
-    names the stream: its batches are applied once.
+    (the running streaming query's id by default) names the stream: its batches are
+    applied once. Batches of direct calls have no number.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        number = None if writer is None else (writer, batch_id)
+        name = writer or _running_stream(spark)
+        number = None if name is None else (name, batch_id)
         if silver_table(spark, target).is_applied(number):
             return
         # touched keys are used several times (emptiness, days, semi join):
@@ -213,9 +220,10 @@ def repair_skipped(spark: SparkSession, ledger: SkippedWindows, read_all: Callab
 def stream_upsert(spark: SparkSession, trades_stream: DataFrame, read_all: Callable[[], DataFrame] | None,
                   target: str, checkpoint: str, width: str = "1 minute", trigger: dict | None = None, **options):
     """Start the speed-layer query; returns the StreamingQuery. ``options`` are those of
-    ``upsert_handler``; batches are numbered under the checkpoint location's name."""
+    ``upsert_handler``; batches are numbered under the query's id, which a restart from
+    the same checkpoint keeps and a new checkpoint, whose batches begin at 0, does not."""
     clean = clean_trades(trades_stream, width)
-    handler = upsert_handler(spark, read_all, target, width, **{"writer": checkpoint, **options})
+    handler = upsert_handler(spark, read_all, target, width, **options)
     writer = (clean.writeStream.outputMode("append").foreachBatch(handler)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(**(trigger or {"processingTime": "30 seconds"}))

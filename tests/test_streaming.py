@@ -107,10 +107,11 @@ def test_foreach_batch_speed_layer(spark):
         q = U.stream_upsert(spark, stream, read_all, target, ckpt, "1 minute", horizon=None,
                             trigger={"availableNow": True})
         q.awaitTermination()
+        return str(q.id)
 
-    run()
+    first = run()
     write_file(f"{root}/in", "b.json", b)
-    run()
+    assert run() == first and U.silver_table(spark, target).version().batches == {first: 1}   # batches 0 and 1, once each
     got = {r.window_start: r for r in U.read_silver(spark, target).collect()}
     assert got[T0].trade_count == 2 and got[T0].close == 12.0           # recomputed in full
     assert got[T0 + dt.timedelta(minutes=1)].trade_count == 1
