@@ -10,8 +10,8 @@ of a pair of documents. Partial results are summed per document or per pair.
    partner shares at least 80 % of the set, so a document with more own shingles
    than 20 % of its set has none and leaves. What remains is a superset of all
    documents with partners; nothing depends on the sampled share but cost.
-2. Classes. Documents with equal sets form a class (128-bit fingerprint); only
-   one of them goes on, so copies are never paired with one another.
+2. Classes. Documents with equal sets form a class; only one of them goes on, so
+   copies are never paired with one another.
 3. Order. Each fragment counts its shingles over the remaining classes; a class
    keeps the prefix of its shingles in the order (rarest first, hash) in which
    any partner must meet it.
@@ -26,13 +26,15 @@ of a pair of documents. Partial results are summed per document or per pair.
 
 Nothing is collected to the driver but counts and flags; intermediate tables go
 to the shared folder. Sets are compared by 64-bit hashes: two of a pair's
-shingles agree by chance with probability about n^2 / 2^64.
+shingles agree by chance with probability about n^2 / 2^64. Classes are named by
+126 bits of their fingerprint.
 
 Cases with a defined result: a NULL, empty or blank text has an empty set and is
 linked with nothing; a text of one to four words is one shingle; a NULL
-``doc_id`` counts as a copy of its class but is never a component's name (it
-gets the class's component, or NULL if it is alone); repeated rows are copies,
-one result row each; an empty table gives no rows; other columns are not read.
+``doc_id`` links like any other row but is never a component's name (it gets the
+smallest ``doc_id`` that it reaches, or NULL if it reaches none); repeated rows
+are copies, one result row each; an empty table gives no rows; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -42,9 +44,11 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StructField, StructType
 
 from tapecraft.llm.components import connected_components
 from tapecraft.llm.memory import release_unused
@@ -57,10 +61,14 @@ PERCENT = 80
 SCREEN_EIGHTHS = 3
 #: Length bands for each factor of e in the lengths, in the join of classes still apart.
 BANDS = 20
+#: Bytes of text a fragment of the screen stands for; its shingles take about 0.3 bytes for each.
+SCREEN_BYTES = 256 << 20
 #: Shingles a fragment holds, about, once the screen is over.
 FRAGMENT_SHINGLES = 2_000_000
 #: Documents up to which the remaining ones are told to every task (8 bytes each); more are joined by shuffle.
 TOLD_DOCUMENTS = 2_000_000
+NAME = np.dtype([("low", "<u8"), ("high", "<u8")])
+FACT = np.dtype([("doc_id", "<i8"), ("present", "u1"), ("n", "<i8"), ("cls", NAME)])
 
 
 def _fragment_of(keys: np.ndarray, fragments: int) -> np.ndarray:
@@ -76,7 +84,29 @@ def _text_sets(ids: pa.Array, texts: pa.Array, words: int):
 
 
 def _fingerprint(keys: np.ndarray) -> tuple[int, int]:
-    return tuple(np.frombuffer(hashlib.blake2b(keys.tobytes(), digest_size=16).digest(), "<i8").tolist())
+    """The low 64 and the high 62 bits of a class's name."""
+    low, high = np.frombuffer(hashlib.blake2b(keys.tobytes(), digest_size=16).digest(), "<u8").tolist()
+    return low, high >> 2
+
+
+def _names(fingerprints: np.ndarray) -> pa.Array:
+    """Fingerprints (NAME) as decimals: a type of fixed size that Spark aggregates in place."""
+    return pa.Array.from_buffers(pa.decimal128(38, 0), len(fingerprints), [None, pa.py_buffer(fingerprints.tobytes())])
+
+
+def class_names(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` with ``cls``, the class of their text (NULL for an empty set)."""
+    def name(batches):
+        for batch in batches:
+            found = np.zeros(batch.num_rows, NAME)
+            some = np.zeros(batch.num_rows, bool)
+            for i, keys in _text_sets(None, batch.column("text"), words):
+                if len(keys):
+                    found[i], some[i] = _fingerprint(keys), True
+            cls = pc.if_else(pa.array(some), _names(found), pa.scalar(None, pa.decimal128(38, 0)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, cls], names=[*batch.schema.names, "cls"])
+
+    return docs.mapInArrow(name, StructType([*docs.schema.fields, StructField("cls", DecimalType(38, 0))]))
 
 
 # --- 1. screen -------------------------------------------------------------------------------------------------
@@ -88,16 +118,15 @@ def _screen_rows(batches, words, fragments):
     names = ["fragment", "batch", "facts", "counts", "once", "again"]
     types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
     for number, batch in enumerate(batches):
-        facts = np.zeros(batch.num_rows, dtype=[("doc_id", "<i8"), ("present", "u1"), ("n", "<i8"), ("cls", "<i8"),
-                                                ("check", "<i8")])
+        facts = np.zeros(batch.num_rows, FACT)
         ids = batch.column(0).cast(pa.int64())
         facts["present"] = np.asarray(ids.is_valid())
         facts["doc_id"] = np.asarray(ids.fill_null(0)) if len(ids) else 0
         kept, owner = [], []
         for i, keys in _text_sets(ids, batch.column(1), words):
             if len(keys):
-                facts[i]["n"] = len(keys)
-                facts[i]["cls"], facts[i]["check"] = _fingerprint(keys)
+                facts["n"][i] = len(keys)
+                facts["cls"][i] = _fingerprint(keys)
                 keys = keys[(keys & np.uint64(7)) < SCREEN_EIGHTHS]
                 kept.append(keys)
                 owner.append(np.full(len(keys), i, np.int32))
@@ -123,7 +152,7 @@ def _screen_rows(batches, words, fragments):
                 mine = single[s_edge[f]:s_edge[f + 1]]
                 more = multi[m_edge[f]:m_edge[f + 1]]
                 if len(mine) or len(more):
-                    rows.append((f, name, None, np.bincount(doc[mine], minlength=batch.num_rows).astype("<u4").tobytes(),
+                    rows.append((f, name, None, _packed(doc[mine], batch.num_rows),
                                  _short(keys[mine]).tobytes(), _short(keys[more]).tobytes()))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
@@ -133,6 +162,21 @@ def _short(keys: np.ndarray) -> np.ndarray:
     return ((keys >> np.uint64(3)) & np.uint64(0xFFFFFFFF)).astype("<u4")
 
 
+def _packed(doc: np.ndarray, rows: int) -> bytes:
+    """How often each of a batch's documents is in an ascending list: all counts, or those that are not 0 if shorter."""
+    where, times = np.unique(doc, return_counts=True)
+    body = [where, times] if 2 * len(where) < rows else [np.bincount(doc, minlength=rows)]
+    return np.concatenate([[rows, len(body)], *body]).astype("<u4").tobytes()
+
+
+def _unpacked(raw: bytes) -> tuple[int, np.ndarray]:
+    """Number of documents and the list of ``_packed``."""
+    data = np.frombuffer(raw, "<u4")
+    rows, form, body = int(data[0]), data[1], data[2:]
+    where, times = (np.arange(rows), body) if form == 1 else (body[:len(body) // 2], body[len(body) // 2:])
+    return rows, np.repeat(where, times)
+
+
 def _own_counts(part: pd.DataFrame) -> pd.DataFrame:
     """Per batch: how many of each document's shingles in this fragment nothing else has. Facts pass through."""
     facts = part[part["facts"].notna()]
@@ -147,54 +191,56 @@ def _own_counts(part: pd.DataFrame) -> pd.DataFrame:
         single = every[differs[1:] & differs[:-1]]
         del every, differs
         for b, counts, keys in zip(rows["batch"], rows["counts"], once):
-            counts = np.frombuffer(counts, "<u4")
-            doc = np.repeat(np.arange(len(counts)), counts)
+            size, doc = _unpacked(counts)
             at = np.searchsorted(single, keys)
             alone = np.zeros(len(keys), bool)
             alone[at < len(single)] = single[at[at < len(single)]] == keys[at < len(single)]
-            own = np.bincount(doc[alone], minlength=len(counts))
-            out.append((int(b), None, own.astype("<u4").tobytes()))
+            out.append((int(b), None, _packed(doc[alone], size)))
     return pd.DataFrame(out, columns=["batch", "facts", "own"])
 
 
-def _verdicts(part: pd.DataFrame, percent: int) -> pd.DataFrame:
+def _verdicts(part: pa.Table, percent: int) -> pa.Table:
     """Documents of one batch: doc_id, set size, class, and whether a partner is possible."""
-    raw = part["facts"].dropna().iloc[0]
-    facts = np.frombuffer(raw, dtype=[("doc_id", "<i8"), ("present", "u1"), ("n", "<i8"), ("cls", "<i8"), ("check", "<i8")])
+    raw = next(x for x in part["facts"].to_pylist() if x is not None)
+    facts = np.frombuffer(raw, FACT)
     own = np.zeros(len(facts), np.int64)
-    for x in part["own"].dropna():
-        own += np.frombuffer(x, "<u4")
+    for x in part["own"]:
+        if x.is_valid:
+            own += np.bincount(_unpacked(x.as_py())[1], minlength=len(facts))
     n = facts["n"]
-    spare = n - (percent * n + 99) // 100  # shingles a partner may lack
-    ids = pd.array(facts["doc_id"], dtype="Int64")
-    ids[facts["present"] == 0] = pd.NA
     some = n > 0
-    cls, check = pd.array(facts["cls"], dtype="Int64"), pd.array(facts["check"], dtype="Int64")
-    cls[~some], check[~some] = pd.NA, pd.NA
-    return pd.DataFrame({"doc_id": ids, "n": n, "cls": cls, "check": check, "open": some & (own <= spare)})
+    spare = n - (percent * n + 99) // 100  # shingles a partner may lack
+    return pa.table({
+        "doc_id": pa.array(facts["doc_id"], mask=facts["present"] == 0), "n": pa.array(n),
+        "cls": pc.if_else(pa.array(some), _names(np.ascontiguousarray(facts["cls"])), pa.scalar(None, pa.decimal128(38, 0))),
+        "open": pa.array(some & (own <= spare))})
 
 
 def screen(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n, cls, check, open`` for every row: its class, and whether it may have a partner."""
-    fragments = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """``doc_id, n, cls, open`` for every row: its class, and whether it may have a partner."""
+    volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    fragments = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-volume // SCREEN_BYTES))
     rows = docs.select("doc_id", "text").mapInArrow(
         lambda batches: _screen_rows(batches, words, fragments),
         "fragment int, batch long, facts binary, counts binary, once binary, again binary")
     own = rows.groupBy("fragment").applyInPandas(_own_counts, "batch long, facts binary, own binary")
-    return own.groupBy("batch").applyInPandas(
-        lambda part: _verdicts(part, percent), "doc_id long, n long, cls long, check long, open boolean")
+    return own.groupBy("batch").applyInArrow(
+        lambda part: _verdicts(part, percent), "doc_id long, n long, cls decimal(38,0), open boolean")
 
 
 # --- 2.-3. classes, fragments, order ---------------------------------------------------------------------------
 
 def _segment_rows(batches, words, fragments):
-    schema = pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("fragment", pa.int32()), ("keys", pa.list_(pa.int64()))])
+    """One row per class and fragment. Copies that a task meets again are left out, so a class has at most one row a task."""
+    schema = pa.schema([("cls", pa.decimal128(38, 0)), ("n", pa.int64()), ("fragment", pa.int32()), ("keys", pa.list_(pa.int64()))])
+    seen = set()
     for batch in batches:
         cls, n, part, keys_of = [], [], [], []
         for _, keys in _text_sets(batch.column(0), batch.column(1), words):
-            if not len(keys):
+            name = _fingerprint(keys) if len(keys) else None
+            if name is None or name in seen:
                 continue
-            name = _fingerprint(keys)[0]
+            seen.add(name)
             place = _fragment_of(keys, fragments)
             edges = np.flatnonzero(np.diff(place)) + 1
             for piece in np.split(np.arange(len(keys)), edges):
@@ -205,25 +251,27 @@ def _segment_rows(batches, words, fragments):
         lengths = np.array([0, *map(len, keys_of)], np.int64).cumsum().astype(np.int32)
         flat = np.concatenate(keys_of) if keys_of else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cls, pa.int64()), pa.array(n, pa.int64()), pa.array(part, pa.int32()),
+            [_names(np.array(cls, NAME)), pa.array(n, pa.int64()), pa.array(part, pa.int32()),
              pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))], schema=schema)
 
 
-def _shared_shingles(part: pd.DataFrame) -> pd.DataFrame:
+def _shared_shingles(part: pa.Table) -> pa.Table:
     """Per class of a fragment: shingles only it has, and the others with the number of classes that have them."""
-    part = part.drop_duplicates("cls")
-    sizes = part["keys"].map(len).to_numpy()
-    every = np.concatenate(part["keys"].to_list())
+    names = np.concatenate([np.frombuffer(c.buffers()[1], NAME)[c.offset:c.offset + len(c)] for c in part["cls"].chunks])
+    if len(np.unique(names["low"])) < len(names):  # several tasks met a class
+        part = part.take(pa.array(np.sort(np.unique(names, return_index=True)[1])))
+    lists = pa.concat_arrays(part["keys"].chunks)
+    every = lists.flatten().to_numpy()
+    edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     _, back, times = np.unique(every, return_inverse=True, return_counts=True)
     times = times[back]
-    ends = np.cumsum(sizes)
-    own, keys, counts = [], [], []
-    for a, b in zip(ends - sizes, ends):
-        many = times[a:b] > 1
-        own.append(int((~many).sum()))
-        keys.append(every[a:b][many])
-        counts.append(times[a:b][many])
-    return pd.DataFrame({"cls": part["cls"].to_numpy(), "n": part["n"].to_numpy(), "own": own, "keys": keys, "counts": counts})
+    many = times > 1
+    kept = np.concatenate([[0], np.cumsum(many)])[edges]  # where each class's shared shingles begin
+    offsets = pa.array(kept, pa.int32())
+    return pa.table({
+        "cls": part["cls"], "n": part["n"], "own": pa.array(np.diff(edges) - np.diff(kept), pa.int64()),
+        "keys": pa.ListArray.from_arrays(offsets, pa.array(every[many], pa.int64())),
+        "counts": pa.ListArray.from_arrays(offsets, pa.array(times[many], pa.int64()))})
 
 
 def _need(n, percent):
@@ -237,8 +285,8 @@ def prefix_entries(segments: DataFrame, percent: int) -> DataFrame:
     ``cap`` bounds the overlap of a pair whose first common shingle this is: the
     class's shingles from here on in the order.
     """
-    shared = segments.groupBy("fragment").applyInPandas(
-        _shared_shingles, "cls long, n long, own long, keys array<long>, counts array<long>")
+    shared = segments.select("fragment", "cls", "n", "keys").groupBy("fragment").applyInArrow(
+        _shared_shingles, "cls decimal(38,0), n long, own long, keys array<long>, counts array<long>")
     each = shared.withColumn("pairs", F.arrays_zip("counts", "keys"))
     ordered = (each.groupBy("cls").agg(F.max("n").alias("n"), F.sum("own").alias("own"),
                                        F.flatten(F.collect_list("pairs")).alias("pairs"))
@@ -331,30 +379,38 @@ def _written(spark: SparkSession, df: DataFrame, folder: str, name: str) -> Data
     return spark.read.parquet(f"{folder}/{name}")
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every document."""
+def near_duplicate_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n, cls`` of every row, and ``cls, root, component_id`` of every class.
+
+    ``root`` is a class that names the component even where no row of it has a ``doc_id``.
+    """
     spark = docs.sparkSession
     folder = scratch_path(spark, "ngram-join")
     facts = _written(spark, screen(docs, words, percent), folder, "facts")
     classes = (facts.filter("cls IS NOT NULL").groupBy("cls")
-               .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("open").alias("open"),
-                    F.min("check").alias("lo"), F.max("check").alias("hi")))
+               .agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("open").alias("open")))
     classes = _written(spark, classes, folder, "classes")
-    known = classes.agg(F.count(F.when(F.col("lo") != F.col("hi"), 1)).alias("clash"),
-                        F.count(F.when(F.col("open"), 1)).alias("open"),
+    known = classes.agg(F.count(F.when(F.col("open"), 1)).alias("open"),
+                        F.count(F.when(F.col("open") & F.col("doc_id").isNull(), 1)).alias("unnamed"),
                         F.sum(F.when(F.col("open"), F.col("n"))).alias("shingles")).first()
-    if known["clash"]:
-        raise ValueError("two different texts share 64 bits of their fingerprints")
 
-    roots = spark.createDataFrame([], "node long, root long")
+    roots = spark.createDataFrame([], "node decimal(38,0), root decimal(38,0)")
     if known["open"]:
         fragments = max(8, -(-known["shingles"] // FRAGMENT_SHINGLES))
-        chosen = classes.filter("open AND doc_id IS NOT NULL").select("doc_id")
-        if known["open"] <= TOLD_DOCUMENTS:
-            chosen = F.broadcast(chosen)
-        texts = docs.select("doc_id", "text").join(chosen, "doc_id", "left_semi")
-        segments = texts.mapInArrow(lambda batches: _segment_rows(batches, words, fragments),
-                                    "cls long, n long, fragment int, keys array<long>")
+
+        def segments_of(texts):
+            return texts.select("doc_id", "text").mapInArrow(
+                lambda batches: _segment_rows(batches, words, fragments),
+                "cls decimal(38,0), n long, fragment int, keys array<long>")
+
+        def told(some):
+            return F.broadcast(some) if known["open"] <= TOLD_DOCUMENTS else some
+
+        segments = segments_of(docs.select("doc_id", "text").join(
+            told(classes.filter("open AND doc_id IS NOT NULL").select("doc_id")), "doc_id", "left_semi"))
+        if known["unnamed"]:  # classes without an id are found by their texts
+            unnamed = told(classes.filter("open AND doc_id IS NULL").select("cls"))
+            segments = segments.unionByName(segments_of(docs.filter("doc_id IS NULL")).join(unnamed, "cls", "left_semi"))
         segments = _written(spark, segments, folder, "segments")
         entries = _written(spark, prefix_entries(segments, percent), folder, "entries")
         first = _written(spark, pivot_pairs(entries, percent), folder, "pairs-1")
@@ -368,7 +424,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     named = (classes.select("cls", "doc_id").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
              .withColumn("root", F.coalesce("root", "cls")))
     names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of_class = named.join(names, "root").select("cls", "component_id")
-    return (facts.join(of_class, "cls", "left")
+    return facts.select("doc_id", "n", "cls"), named.join(names, "root").select("cls", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every document."""
+    facts, classes = near_duplicate_classes(docs, words, percent)
+    return (facts.join(classes.select("cls", "component_id"), "cls", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))

@@ -4,7 +4,7 @@ import pytest
 
 from tapecraft.llm import ngram_join
 from tapecraft.llm.components import connected_components
-from tapecraft.llm.ngram_join import banded_sides, near_duplicates, remaining_pairs
+from tapecraft.llm.ngram_join import banded_sides, class_names, near_duplicate_classes, near_duplicates, remaining_pairs
 from tests.llm.util import ODD_TEXTS, docs_table, lower_ascii, prose, words_of
 
 
@@ -78,6 +78,46 @@ def test_nulls_repeated_rows_and_empty_table(spark):
     assert near_duplicates(docs_table(spark, [])).collect() == []
 
 
+def chain(seed):
+    """Three texts: the first and last are linked only through the second."""
+    words = prose(seed, 60, 3000).split(" ")
+    texts = [" ".join(words[k:k + 50]) for k in (0, 4, 8)]
+    near = [len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) for a, b in zip(texts, texts[1:] + texts[:1])]
+    assert near[0] >= 0.8 and near[1] >= 0.8 > near[2]
+    return texts
+
+
+def test_links_through_documents_without_an_id(spark):
+    a, b, c = chain(31)
+    d, e, f = chain(32)
+    rows = [(1, a), (None, b), (2, c), (None, b), (None, d), (None, e), (None, e + " "), (None, f), (None, "")]
+    got = sorted(((r.doc_id, r.component_id) for r in near_duplicates(docs_table(spark, rows)).collect()), key=str)
+    assert got == sorted([(1, 1), (2, 1)] + [(None, 1)] * 2 + [(None, None)] * 5, key=str)
+    facts, classes = near_duplicate_classes(docs_table(spark, rows))
+    assert sorted(r["count"] for r in classes.groupBy("root").count().collect()) == [3, 3]
+    named = class_names(docs_table(spark, rows).select("doc_id", "text")).select("cls").collect()
+    assert sorted(map(str, named)) == sorted(str(r) for r in facts.select("cls").collect())
+
+
+def test_sets_that_share_64_bits_of_their_names():
+    keys = [list(range(k, k + 10)) for k in (0, 1, 100)]
+    parts = ngram_join.pa.table({
+        "fragment": ngram_join.pa.array([0] * 4, ngram_join.pa.int32()),
+        "cls": ngram_join._names(ngram_join.np.array([(7, 0), (7, 1), (7, 2), (7, 0)], ngram_join.NAME)),
+        "n": [10] * 4, "keys": [*keys, keys[0]]})
+    got = ngram_join._shared_shingles(parts).to_pylist()
+    assert [int(r["cls"]) for r in got] == [7, (1 << 64) + 7, (2 << 64) + 7]
+    assert [(r["own"], r["keys"], set(r["counts"])) for r in got] == [
+        (1, list(range(1, 10)), {2}), (1, list(range(1, 10)), {2}), (10, [], set())]
+
+
+def test_counts_of_a_batch_are_packed_either_way():
+    np = ngram_join.np
+    for rows, doc in [(100, [3, 3, 70]), (3, [0, 0, 1, 2]), (5, [])]:
+        size, back = ngram_join._unpacked(ngram_join._packed(np.array(doc, np.int64), rows))
+        assert (size, back.tolist()) == (rows, doc)
+
+
 def test_components_of_long_paths(spark):
     rng = random.Random(2)
     nodes = list(range(300))
