@@ -8,7 +8,8 @@ result as Parquet in the cluster's shared folder and reads it again for the next
 2. quality_rules: documents that fail the base or the repetition rules go, by the
    limits below.
 3. near_duplicates: of each component of linked documents the one with the
-   smallest ``doc_id`` stays, one row of it; rows without a ``doc_id`` stay.
+   smallest ``doc_id`` stays, one row of it; of a component without any
+   ``doc_id`` one row stays. Blank texts are linked with nothing and stay.
 4. mix_sources: a document appears as often as the mix takes it, 0 to 2 times:
    its words taken over its size, rounded half up.
 5. bpe_round_trip: token counts and digests of every remaining document.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from tapecraft.llm.bpe import round_trip
 from tapecraft.llm.language_id import UNDETERMINED, identify_languages
 from tapecraft.llm.mixing import mix_sources
-from tapecraft.llm.ngram_join import near_duplicates
+from tapecraft.llm.ngram_join import class_names, near_duplicate_classes
 from tapecraft.llm.queries import RANK_FILE
 from tapecraft.llm.repetition import repetition_rules
 from tapecraft.session import scratch_path
@@ -49,13 +50,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_duplicates(docs)
-    first = found.filter("doc_id = component_id").select("doc_id").distinct()
+    facts, classes = near_duplicate_classes(docs)
+    apart = F.col("cls").isNull() & F.col("doc_id").isNotNull()
+    first = (facts.join(classes, "cls", "left").filter(apart | (F.col("doc_id") == F.col("component_id")))
+             .select("doc_id").distinct())
     kept = docs.select(*COLUMNS).join(first, "doc_id", "left_semi")
     # repeated rows of a doc_id are copies as well: one stays, the same in every run
     one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text", "lang", "source", "n_chars"))
     kept = kept.withColumn("_r", F.row_number().over(one)).filter("_r = 1").select(*COLUMNS)
-    return kept.unionByName(docs.select(*COLUMNS).filter("doc_id IS NULL"))
+    # rows without an id: those that a kept row stands for go, of every other component one stays
+    unnamed = class_names(docs.select(*COLUMNS).filter("doc_id IS NULL")).join(classes, "cls", "left")
+    others = COLUMNS[1:]
+    single = (unnamed.filter("cls IS NOT NULL AND component_id IS NULL").groupBy("root")
+              .agg(F.min(F.struct(F.xxhash64(*others).alias("_h"), *others)).alias("row"))
+              .select(F.lit(None).cast("long").alias("doc_id"), *(f"row.{c}" for c in others)))
+    blank = unnamed.filter("cls IS NULL").select(*COLUMNS)
+    return kept.unionByName(single).unionByName(blank)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
