@@ -18,8 +18,8 @@ What is learned from: text and non-NULL lang of documents whose
 ``crc32(doc_id as text) mod 5`` is not 0. Predictions use the text alone.
 
 Cases with a defined result: a NULL text or one without a letter is ``und`` with
-score 0; a NULL ``doc_id`` is held out; repeated rows are judged alike and learned
-from once each; with no learning documents every text is ``und`` with score 0;
+score 0; a NULL ``doc_id`` is held out; repeated rows are judged alike, and the
+weights learn from one of them; with no learning documents every text is ``und`` with score 0;
 equal scores go to the smaller language name; very long texts are read whole;
 other columns are not read.
 """
@@ -184,6 +184,27 @@ def _count_documents(batches):
                                      names=["bucket", "documents"])
 
 
+def learning_sample(learning: DataFrame) -> DataFrame:
+    """``doc_id, lang, text``: at most ``SAMPLE`` distinct rows a language, those of the smallest hashes of their ids.
+
+    A share of each language by hash holds its sample, but for bad luck; the exact
+    bound is then on distinct (id, language, text hash), so repeated rows count once
+    and are not moved.
+    """
+    place = F.xxhash64("doc_id")
+    sizes = learning.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("_n"))  # one row a language
+    grid = 1 << 20
+    near = F.pmod(place, F.lit(grid)) * F.col("_n") < F.lit(2 * SAMPLE * grid)
+    row = ["doc_id", "lang", "_text"]
+    marked = learning.select("doc_id", "lang", "text", F.xxhash64("text").alias("_text"))
+    chosen = (marked.select(*row, place.alias("_place")).join(F.broadcast(sizes), "lang").filter(near)
+              .select(*row, "_place").distinct()
+              .withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("_place", "doc_id", "_text")))
+              .filter(F.col("_r") <= SAMPLE).select(*row))
+    return (marked.join(F.broadcast(chosen), row, "left_semi").groupBy(*row).agg(F.min("text").alias("text"))
+            .select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text"))
+
+
 def fit_model(docs: DataFrame):
     """``(names, weights, temperature, idf)`` from the learning documents, or None without any."""
     learning = docs.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -198,17 +219,6 @@ def fit_model(docs: DataFrame):
             idf[bucket] = np.log((1.0 + frequency[-1]) / (1 + documents)) + 1
     idf = idf.astype(np.float32)
 
-    place = F.xxhash64("doc_id")
-    # a share of each language by hash that holds its sample, but for bad luck; then the exact bound.
-    # One row a language, like the model's weights.
-    sizes = learning.groupBy("lang").agg(F.count("*").alias("_n"))
-    grid = 1 << 20
-    near = F.pmod(place, F.lit(grid)) * F.col("_n") < F.lit(2 * SAMPLE * grid)
-    chosen = (learning.select("doc_id", "lang", place.alias("_place")).join(F.broadcast(sizes), "lang").filter(near)
-              .withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("_place", "doc_id")))
-              .filter(F.col("_r") <= SAMPLE).select("doc_id").distinct())
-    sampled = learning.select("doc_id", "lang", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
-
     def features(batches):
         for batch in batches:
             out = []
@@ -221,7 +231,7 @@ def fit_model(docs: DataFrame):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
                                                  names=["lang", "doc_id", "found", "weight"])
 
-    examples = (sampled.mapInArrow(features, "lang string, doc_id long, found binary, weight binary")
+    examples = (learning_sample(learning).mapInArrow(features, "lang string, doc_id long, found binary, weight binary")
                 .select("lang", "found", "weight", F.xxhash64("doc_id").alias("place")))
     fitted = (examples.groupBy(F.lit(0).alias("all"))
               .applyInPandas(_fit, "lang string, weights binary, temperature double").collect())

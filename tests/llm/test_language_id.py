@@ -1,10 +1,14 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 
-from tapecraft.llm.language_id import fit_temperature, identify_languages, text_counts
+from tapecraft.llm import language_id
+from tapecraft.llm.language_id import (ALPHA, BETA, CALIBRATION, EPOCHS, L1, L2, _fit, fit_temperature, identify_languages,
+                                       text_counts)
 from tests.llm.util import ODD_TEXTS, docs_table
 
 SYLLABLES = {"aa": ["tha", "er", "ing", "ly", "wh"], "bb": ["eau", "oi", "que", "ment", "é"],
@@ -65,7 +69,60 @@ def test_temperature_minimises_the_loss():
 
 
 def test_counts_are_those_of_character_n_grams():
-    found, counts = text_counts("Ab  ab!")
-    assert counts.sum() == 6 + 5 + 4 + 1 + 0 or counts.sum() > 0
+    for text, plain in [("Ab  ab!", " ab ab "), ("x1Y", " x y "), ("É ß—é", " é ß é "), ("好好", " 好好 "), ("𝒳a", " 𝒳a ")]:
+        grams = Counter(plain[k:k + n] for n in (1, 2, 3) for k in range(len(plain) - n + 1))
+        _, counts = text_counts(text)
+        assert sorted(counts.tolist()) == sorted(grams.values())  # no two of these share a bucket
     assert text_counts("12 !?") is None and text_counts(None) is None and text_counts("") is None
-    assert text_counts("AB") [0].tolist() == text_counts("ab")[0].tolist()
+    assert text_counts("AB")[0].tolist() == text_counts("ab")[0].tolist()
+
+
+def naive_fit(examples, classes):
+    """FTRL by its formulas, number by number: examples are (place, {bucket: value}, label)."""
+    z, n = {}, {}
+
+    def weight(b, c):
+        s = z.get((b, c), 0.0)
+        if abs(s) <= L1:
+            return 0.0
+        return -(s - math.copysign(L1, s)) / ((BETA + math.sqrt(n.get((b, c), 0.0))) / ALPHA + L2)
+
+    ordered = sorted(examples, key=lambda e: e[0])
+    for _ in range(EPOCHS):
+        for k, (_, values, label) in enumerate(ordered):
+            if k % CALIBRATION == CALIBRATION - 1:
+                continue
+            w = {(b, c): weight(b, c) for b in values for c in range(classes)}
+            e = [math.exp(sum(v * w[b, c] for b, v in values.items())) for c in range(classes)]
+            for b, v in values.items():
+                for c in range(classes):
+                    g = v * (e[c] / sum(e) - (c == label))
+                    before = n.get((b, c), 0.0)
+                    z[b, c] = z.get((b, c), 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / ALPHA * w[b, c]
+                    n[b, c] = before + g * g
+    return {(b, c): weight(b, c) for b, c in z}
+
+
+def test_weights_are_those_of_a_naive_fit():
+    rng = random.Random(3)
+    examples = []
+    for place in range(60):
+        label = rng.randrange(3)
+        values = {b: float(np.float32(rng.random())) for b in rng.sample(range(20 * label, 20 * label + 40), 6)}
+        examples.append((place, values, label))
+    frame = pd.DataFrame([("abc"[label], np.array(sorted(v), "<i4").tobytes(), np.array([v[b] for b in sorted(v)], "<f4").tobytes(), place)
+                          for place, v, label in examples], columns=["lang", "found", "weight", "place"])
+    fitted = _fit(frame.sample(frac=1, random_state=1))
+    got = np.stack([np.frombuffer(w, "<f4") for w in fitted["weights"]], axis=1)
+    want = np.zeros_like(got)
+    for (b, c), w in naive_fit(examples, 3).items():
+        want[b, c] = w
+    assert np.abs(want).max() > 0.1 and np.allclose(got, want, atol=1e-5)
+
+
+def test_repeated_rows_do_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE", 30)
+    rows = [(i, text_of("aa", i), "aa") for i in range(40)] + [(7, "said again " * 500, "aa")] * 300 + [(50, "one b", "bb")] * 50
+    got = [tuple(r) for r in language_id.learning_sample(docs_table(spark, rows)).select("doc_id", "text", "lang").collect()]
+    assert len(got) == len(set(got)) and sum(r[2] == "bb" for r in got) == 1
+    assert sum(r[2] == "aa" for r in got) == 30 and set(got) <= set(rows)
