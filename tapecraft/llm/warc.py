@@ -47,6 +47,8 @@ from tapecraft.llm.files import RangeReader, write_file
 ARCHIVE_BYTES = 256 << 20
 BLOCK_LINES = 1000
 READ_BYTES = 8 << 20
+#: Bytes of records that one task reads back, about, where there are enough for every core.
+TASK_BYTES = 256 << 20
 GZIP_LEVEL = 4
 #: WARC-Date of records whose table has no fetch time.
 NO_DATE = "1970-01-01T00:00:00Z"
@@ -249,7 +251,7 @@ def lookup(urls: DataFrame, parts: list[tuple[str, str]]) -> DataFrame:
         return frame.astype({"page_id": "Int64"})
 
     keys = urls.select(urls.columns[0]).mapInArrow(lambda batches: _keys_in_parts(batches, firsts), "part int, urlkey string")
-    return keys.distinct().groupBy("part").applyInPandas(search, CAPTURE)
+    return keys.distinct().repartition(len(parts), "part").groupBy("part").applyInPandas(search, CAPTURE)
 
 
 def _read_records(batches, folder):
@@ -280,8 +282,12 @@ def _read_records(batches, folder):
 def read_captures(captures: DataFrame, folder: str) -> DataFrame:
     """The records at the captures' byte ranges; a revisit's ``payload_bytes`` is that of its response."""
     spark = captures.sparkSession
-    ordered = (captures.select("archive", "offset", "length").repartitionByRange("archive", "offset")
-               .sortWithinPartitions("archive", "offset"))
+    captures.select("archive", "offset", "length").write.mode("overwrite").parquet(f"{folder}/found")
+    found = spark.read.parquet(f"{folder}/found")
+    # tasks by the bytes of the records that they read, not of these rows
+    volume = found.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-volume // TASK_BYTES))
+    ordered = found.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     ordered.mapInArrow(lambda batches: _read_records(batches, folder), schema).write.mode("overwrite").parquet(
         f"{folder}/records")
