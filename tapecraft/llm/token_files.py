@@ -21,7 +21,7 @@ Cases with a defined result: a NULL or empty text has the end id alone; a NULL
 ``doc_id`` sorts first; repeated rows are each a document, ordered by text hash;
 an empty table writes no shard and reads back as no rows; very long texts are
 one frame; other columns are not read. The dictionary is fitted on a bounded
-sample (``DICTIONARY_SAMPLE`` documents chosen by hash); below
+sample (``DICTIONARY_SAMPLE`` documents chosen by hash, ``SAMPLE_IDS`` ids of each, in one task); below
 ``DICTIONARY_LEAST`` documents there is none and frames stand alone.
 """
 
@@ -51,6 +51,8 @@ MAGIC = b"TKZS0001"
 LEVEL = 3
 DICTIONARY_BYTES = 64 << 10
 DICTIONARY_SAMPLE = 1000
+#: Ids of a sampled document that the dictionary is fitted on, at most.
+SAMPLE_IDS = 8192
 DICTIONARY_LEAST = 16
 PIECES_KEPT = 1_000_000
 INDEX_ROW = np.dtype([("doc_id", "<i8"), ("present", "u1"), ("position", "<i8"), ("offset", "<i8")])
@@ -144,26 +146,42 @@ def _rows(batches):
 
 
 def train_dictionary(docs: DataFrame, tokenizer_file: str, end_id: int) -> bytes:
-    """A zstandard dictionary fitted on the serialised ids of a bounded sample of documents."""
+    """A zstandard dictionary fitted on pieces of the serialised ids of a bounded sample of documents.
+
+    Of a sampled document goes at most one piece of ``SAMPLE_IDS`` ids, from a place
+    by hash; one task trains on at most ``2 * DICTIONARY_SAMPLE`` pieces, and the
+    driver gets the dictionary alone.
+    """
     rows = docs.count()
     every = max(1, rows // DICTIONARY_SAMPLE)
 
     def serialise(batches):
         encoder = PieceEncoder.of(tokenizer_file)
         end = encoder.serialise([end_id])
+        most = SAMPLE_IDS * encoder.width
         for batch in batches:
-            ids = [encoder.encode(t or "") + end for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], names=["ids"])
+            pieces = []
+            for text in batch.column(1).to_pylist():
+                ids = encoder.encode(text or "") + end
+                places = max(len(ids) - most, 0) // encoder.width + 1
+                begin = zlib.crc32(ids) % places * encoder.width
+                pieces.append(ids[begin:begin + most])
+            yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.binary())], names=["ids"])
+
+    def train(batches):
+        samples = sorted(x for batch in batches for x in batch.column(0).to_pylist())
+        if len(samples) < DICTIONARY_LEAST:
+            return
+        try:
+            fitted = zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+        except zstandard.ZstdError:  # too little variety to fit one
+            return
+        yield pa.RecordBatch.from_arrays([pa.array([fitted], pa.binary())], names=["dictionary"])
 
     sample = (docs.filter(F.pmod(F.xxhash64(F.col("doc_id")), F.lit(every)) == 0)
               .select("doc_id", "text").mapInArrow(serialise, "ids binary"))
-    samples = [bytes(r["ids"]) for r in sample.limit(2 * DICTIONARY_SAMPLE).collect()]
-    if len(samples) < DICTIONARY_LEAST:
-        return b""
-    try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:  # too little variety to fit one
-        return b""
+    fitted = sample.limit(2 * DICTIONARY_SAMPLE).repartition(1).mapInArrow(train, "dictionary binary").collect()
+    return bytes(fitted[0]["dictionary"]) if fitted else b""
 
 
 def _write_shard(batches, folder, tokenizer_file, end_id, dictionary, dictionary_hash):
@@ -219,9 +237,9 @@ def encode_to_files(docs: DataFrame, folder: str, tokenizer_file: str, end_id: i
     def write(batches):
         yield from _write_shard(iter(batches), folder, tokenizer_file, end_id, dictionary, name)
 
-    ordered = (docs.select("doc_id", "text")
-               .repartitionByRange(F.col("doc_id").asc_nulls_first())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")))
+    # the text's hash is part of the key, so that rows of a repeated id are spread
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
+    ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     shards = ordered.mapInArrow(write, "shard int, uri string, documents long, ids long").collect()
     return sorted(tuple(r) for r in shards)
 

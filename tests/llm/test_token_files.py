@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from tapecraft.llm import token_files
 from tapecraft.llm.pieces import split_pieces
 from tapecraft.llm.token_files import PieceEncoder, encode_to_files, read_document, read_token_files
 from tests.llm.util import ODD_TEXTS, docs_table, prose
@@ -31,6 +32,18 @@ def test_round_trip(spark, tmp_path):
     assert sum(s[2] for s in shards) == len(rows)
 
 
+def test_dictionary_learns_from_bounded_pieces(spark, tmp_path, monkeypatch):
+    rows = [(i, prose(i, 900)) for i in range(40)] + [(1, prose(2, 30 + i)) for i in range(30)]
+    monkeypatch.setattr(token_files, "SAMPLE_IDS", 100)
+    assert 0 < len(token_files.train_dictionary(docs_table(spark, rows), FILE, 2)) <= token_files.DICTIONARY_BYTES
+    assert token_files.train_dictionary(docs_table(spark, rows[:3]), FILE, 2) == b""
+    shards = encode_to_files(docs_table(spark, rows), str(tmp_path), FILE, 2)
+    got = [tuple(r) for r in read_token_files(spark, shards).collect()]
+    want = {(d, n, c) for d, _, n, c in expected(rows)}
+    assert {(d, n, c) for d, _, n, c in got} == want and len(got) == len(rows)
+    assert [r[0] for r in sorted(got, key=lambda r: r[1])] == sorted(d for d, _ in rows)
+
+
 def test_one_document_by_range_reads(spark, tmp_path):
     shards = encode_to_files(docs_table(spark, [(i, prose(i, 50)) for i in range(60)]), str(tmp_path), FILE, 2)
     found = [x for x in (read_document(s[1], 17) for s in shards) if x is not None]
