@@ -10,6 +10,7 @@ from tapecraft.llm.mixing import mix_sources
 from tapecraft.llm.repetition import repetition_rules
 from tests.llm.test_language_id import text_of
 from tests.llm.test_ngram_join import brute as brute_components
+from tests.llm.test_ngram_join import chain
 from tests.llm.test_repetition import brute as brute_quality
 from tests.llm.util import ODD_TEXTS, docs_table, prose
 
@@ -64,6 +65,16 @@ def test_run_and_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, f"{tmp_path}/b").collect() == []
 
 
+def test_rows_without_an_id_that_others_stand_for_go(spark):
+    a, b, c = chain(41)
+    d, e, f = chain(42)
+    rows = [(1, a), (None, b), (None, a), (2, c), (None, d), (None, e), (None, f), (None, d), (None, None), (3, None), (4, "")]
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.duplicates(spark, docs_table(spark, rows), "").collect()]
+    single = [t for i, t in kept if i is None and t]
+    assert len(single) == 1 and single[0] in (d, e, f)
+    assert sorted(kept, key=str) == sorted([(1, a), (None, single[0]), (None, None), (3, None), (4, "")], key=str)
+
+
 def test_repeats_that_pass_the_base_rule_are_rejected(spark):
     def unlike(seed, words):
         return prose(seed, words, 5000)
