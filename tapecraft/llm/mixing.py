@@ -19,7 +19,10 @@ How it runs. Ranks and stream offsets are prefix sums over hash cells (see
 ``running_start``): a window over a cell's rows plus one over the cells' sums,
 so a source with a third of all documents is spread over many tasks. Slots meet
 sources by a join on cells of the grid, blocks by (source, block number). No
-text is shuffled: the plan carries ids, sizes and offsets.
+text is shuffled: the plan carries ids, sizes and offsets. Sizes, targets, pieces
+and dealt slots are written to the shared folder, each by a query of its own: in
+one plan the driver would hold every step's plan again for each use of a table,
+and describe it all anew at each adaptive step.
 
 Cases with a defined result: a NULL or empty text has size 0 and takes 0 words;
 NULL sources form one source; rows that share ``doc_id`` and source count as one
@@ -31,9 +34,11 @@ agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tapecraft.session import scratch_path
+
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MAX_EPOCHS = 2
@@ -103,6 +108,11 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, budget=BUDGET, max_epochs=
             .select("source", "documents", "source_size", "target", "_rank"))
 
 
+def _written(spark: SparkSession, df: DataFrame, folder: str, name: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    return spark.read.parquet(f"{folder}/{name}")
+
+
 def mixing_plan(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, max_epochs=MAX_EPOCHS,
                 block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(documents, targets, plan)`` of a mix.
@@ -111,10 +121,12 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, max_epochs=MAX_
     ``slot, source, doc_id, epoch, first_word, words``; sorted by slot it is the
     training order.
     """
-    own = (docs.select("doc_id", "source", word_count(F.col("text")).alias("_n"))
-           .groupBy("doc_id", "source").agg(F.sum("_n").alias("size"))).persist()
+    spark = docs.sparkSession
+    folder = scratch_path(spark, "mixing")
+    own = _written(spark, docs.select("doc_id", "source", word_count(F.col("text")).alias("_n"))
+                   .groupBy("doc_id", "source").agg(F.sum("_n").alias("size")), folder, "sizes")
     per_source = own.groupBy("source").agg(F.count("*").alias("documents"), F.sum("size").alias("source_size"))
-    targets = source_targets(per_source, weights, budget, max_epochs).persist()
+    targets = _written(spark, source_targets(per_source, weights, budget, max_epochs), folder, "targets")
     totals = targets.agg(F.sum("documents").alias("d"),
                          F.sum(F.ceil(F.round("target") / block_words)).alias("k")).first()
     rows, slots_needed = int(totals["d"] or 0), int(totals["k"] or 0)
@@ -145,9 +157,9 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, max_epochs=MAX_
               .withColumn("_b", F.least("_to", (F.col("block") + 1) * block_words))
               .select("source", "block", "doc_id", "epoch", (F.col("_a") - F.col("_from")).alias("first_word"),
                       (F.col("_b") - F.col("_a")).alias("words"), F.col("_from").alias("_order")))
+    pieces = _written(spark, pieces, folder, "pieces")
 
     # 2. schedule: golden-ratio points through the cumulative block counts
-    spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slots = (spark.range(0, slots_needed, 1, parts).withColumnRenamed("id", "slot")
              .withColumn("_u", (F.col("slot") % F.lit(GRID)) * F.lit(GOLDEN_STEP) % F.lit(GRID))
@@ -165,6 +177,7 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, max_epochs=MAX_
     width = max(1, slots_needed // _cells_for(docs, slots_needed))
     ranked = running_start(mapped, ["source"], [F.col("slot")], F.floor(F.col("slot") / width),
                            "_one", "block").filter(F.col("block") < F.col("_blocks"))
+    ranked = _written(spark, ranked.select("slot", "source", "block"), folder, "slots")
     dealt = ranked.groupBy("source").agg(F.count("*").alias("_dealt"))
     closing = (targets_int.alias("t").join(dealt.alias("d"), F.col("t.source").eqNullSafe(F.col("d.source")), "left")
                .select("t.source", "t._rank", "t._blocks", F.coalesce("d._dealt", F.lit(0)).alias("_dealt"))
@@ -172,7 +185,7 @@ def mixing_plan(docs: DataFrame, weights=WEIGHTS, budget=BUDGET, max_epochs=MAX_
                .withColumn("block", F.explode(F.sequence(F.col("_dealt"), F.col("_blocks") - 1)))
                .select((F.lit(slots_needed) + F.col("block") * F.lit(1 << 20) + F.col("_rank")).alias("slot"),
                        "source", "block"))
-    schedule = ranked.select("slot", "source", "block").unionByName(closing)
+    schedule = ranked.unionByName(closing)
 
     # 3. slots take blocks
     plan = (schedule.alias("s").join(pieces.alias("p"), [F.col("s.source").eqNullSafe(F.col("p.source")),

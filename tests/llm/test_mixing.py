@@ -71,3 +71,9 @@ def test_empty_and_wordless_tables(spark):
 def test_repeated_rows_are_one_document(spark):
     got = mix_sources(docs_table(spark, [(1, "a b c"), (1, "a b c"), (2, "d")])).collect()
     assert sorted((r.doc_id, r.size) for r in got) == [(1, 6), (2, 1)]
+
+
+def test_plan_text_stays_short(spark):
+    # the driver keeps it, and makes it anew at each adaptive step
+    plan = mix_sources(docs_table(spark, rows_of(60)))._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 50_000
