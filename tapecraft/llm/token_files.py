@@ -27,6 +27,7 @@ sample (``DICTIONARY_SAMPLE`` documents chosen by hash, ``SAMPLE_IDS`` ids of ea
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import json
 import os
@@ -34,6 +35,8 @@ import struct
 import sys
 import zlib
 from array import array
+from collections.abc import Iterable
+from operator import attrgetter
 
 import numpy as np
 import public_tokenizers
@@ -59,6 +62,18 @@ INDEX_ROW = np.dtype([("doc_id", "<i8"), ("present", "u1"), ("position", "<i8"),
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
+_ID = attrgetter("id")
+
+
+class _Filled(dict):
+    """A dictionary that makes a missing key's value."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        found = self[key] = self.make(key)
+        return found
 
 
 class PieceEncoder:
@@ -80,14 +95,14 @@ class PieceEncoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        if any(s.isalpha() for s in self.special):
-            raise ValueError(f"{tokenizer_file} has a special token of letters alone")
+        if any(s.isalpha() or any(c in s for c in " \n.,") for s in self.special):
+            raise ValueError(f"{tokenizer_file} has a special token of letters alone, or one that would be cut")
         self.matches = regex.compile(public_tokenizers.PATTERN).findall
         # the printable stand-ins of bytes: Latin-1 graphic characters for themselves, the others from U+0100 on
         graphic = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = (b for b in range(256) if b not in graphic)
-        self.stand_in = {b: chr(256 + k) for k, b in enumerate(others)}
-        self.kept: dict[str, bytes] = {}
+        others = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in graphic)}
+        self.stand_in = "".join(others.get(b, chr(b)) for b in range(256))
+        self.kept = _Filled(self._piece_ids)
 
     @classmethod
     def of(cls, tokenizer_file: str) -> PieceEncoder:
@@ -96,47 +111,33 @@ class PieceEncoder:
             _ENCODERS[tokenizer_file] = cls(tokenizer_file)
         return _ENCODERS[tokenizer_file]
 
-    def serialise(self, ids: list[int]) -> bytes:
+    def serialise(self, ids: Iterable[int]) -> bytes:
         packed = array("H" if self.width == 2 else "I", ids)
         if sys.byteorder == "big":
             packed.byteswap()
         return packed.tobytes()
 
     def _model_ids(self, match: str) -> bytes:
-        found = self.kept.get(match)
-        if found is None:
-            if match.isascii() and match.isprintable():  # of these only the space has a stand-in
-                as_bytes = match.replace(" ", self.stand_in[32])
-            else:
-                as_bytes = match.encode().decode("latin-1").translate(self.stand_in)
-            found = self.kept[match] = self.serialise([t.id for t in self.model.tokenize(as_bytes)])
-        return found
+        as_bytes = codecs.charmap_decode(match.encode(), "strict", self.stand_in)[0]
+        return self.serialise(map(_ID, self.model.tokenize(as_bytes)))
 
     def _piece_ids(self, piece: str) -> bytes:
-        word = piece[1:] if piece[0] == " " else piece
+        if not piece:
+            return b""
         latin = piece.isascii() or max(piece) < "\u0250"
-        if latin and word.isalpha():
+        if latin and (piece[1:] if piece[0] == " " else piece).isalpha():
             return self._model_ids(piece)
-        if latin and word[-1:] in (",", ".") and word[:-1].isalpha():  # the end of a phrase: two matches
-            return self._model_ids(piece[:-1]) + self._model_ids(piece[-1])
         if not latin or any(s in piece for s in self.special):
             return self.serialise(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        return b"".join([self._model_ids(m) for m in self.matches(piece)])
+        matches = self.matches(piece)
+        if len(matches) == 1:
+            return self._model_ids(piece)
+        return b"".join([self.kept[m] for m in matches])
 
     def encode(self, text: str) -> bytes:
-        kept = self.kept
-        if len(kept) > PIECES_KEPT:
-            kept.clear()
-        pieces = split_pieces(text)
-        found = list(map(kept.get, pieces))
-        if None in found:
-            for k, x in enumerate(found):
-                if x is None:
-                    piece = pieces[k]
-                    found[k] = kept.get(piece)
-                    if found[k] is None:
-                        found[k] = kept[piece] = self._piece_ids(piece) if piece else b""
-        return b"".join(found)
+        if len(self.kept) > PIECES_KEPT:
+            self.kept.clear()
+        return b"".join(map(self.kept.__getitem__, split_pieces(text)))
 
 
 def _rows(batches):

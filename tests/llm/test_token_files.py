@@ -66,6 +66,19 @@ def test_pieces_encode_like_whole_texts():
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_texts_are_cut_into_words():
+    assert split_pieces("The end.\nNext, été, 4.") == ["The", " end", ".", "\n", "Next", ",", " été", ",", " 4", "."]
+    for text in ["a..b c", "a, .b c", "(a). b", ".a b", "a_. b", "a\u0345. b", "\u4f60. b"]:  # a stop after no letter: cut at spaces alone
+        assert split_pieces(text) == [" " * (k > 0) + x for k, x in enumerate(text.split(" "))]
+    encoder, tokenizer = PieceEncoder(FILE), Tokenizer.from_file(FILE)
+    rng = random.Random(8)
+    parts = ["a", "été", "7", ".", ",", "\n", " ", "'", "'s", "\t", ")", "\r", "\u0345", "ß", "你", "\0", "\x85"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 9))) for _ in range(6000)]
+    for text, found in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert "".join(split_pieces(text)) == text
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == found.ids, repr(text)
+
+
 def test_random_texts_encode_like_the_tokenizer():
     rng = random.Random(6)
     letters = ["a", "Z", "é", "ß", "Œ", "ƀ", "×", "1", " ", " ", " ", "\n", "\t", "\xa0", "\x1c", "'s", "'", ",", ".", "—", "你", "🙂",
